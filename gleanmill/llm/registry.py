@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanmill.llm import quality_rules
+from gleanmill.llm import byte_bpe, ogg_media, pii_boosting, quality_rules, token_histogram
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ogg_media": ogg_media.op1_ogg_media,
+        "op3_pii_boosting": pii_boosting.op3_pii_boosting,
+        "op4_byte_bpe": byte_bpe.op4_byte_bpe,
         "op8_quality_rules": quality_rules.op8_quality_rules,
+        "op10_token_histogram": token_histogram.op10_token_histogram,
     }
 
 
