@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanmill.llm import byte_bpe, ogg_media, pii_boosting, quality_rules, reply_trees, token_histogram
+from gleanmill.llm import byte_bpe, ogg_media, pfair_mixing, pii_boosting, quality_rules, reply_trees, token_histogram
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ogg_media": ogg_media.op1_ogg_media,
+        "op2_pfair_mixing": pfair_mixing.op2_pfair_mixing,
         "op3_pii_boosting": pii_boosting.op3_pii_boosting,
         "op4_byte_bpe": byte_bpe.op4_byte_bpe,
         "op8_quality_rules": quality_rules.op8_quality_rules,
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_pfair_mixing": pfair_mixing.ORACLE_SQL,
         "op8_quality_rules": quality_rules.ORACLE_SQL,
         "op9_reply_trees": reply_trees.ORACLE_SQL,
     }
