@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanmill.llm import byte_bpe, ogg_media, pfair_mixing, pii_boosting, quality_rules, reply_trees, token_histogram
+from gleanmill.llm import byte_bpe, ogg_media, pfair_mixing, pii_boosting, quality_rules, reply_trees, token_histogram, wrapper_induction
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_pfair_mixing": pfair_mixing.op2_pfair_mixing,
         "op3_pii_boosting": pii_boosting.op3_pii_boosting,
         "op4_byte_bpe": byte_bpe.op4_byte_bpe,
+        "op7_wrapper_induction": wrapper_induction.op7_wrapper_induction,
         "op8_quality_rules": quality_rules.op8_quality_rules,
         "op9_reply_trees": reply_trees.op9_reply_trees,
         "op10_token_histogram": token_histogram.op10_token_histogram,
