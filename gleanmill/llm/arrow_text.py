@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute
 
 #: A slice holds whole rows of about this many bytes, or one longer row.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 3 << 20
 
 
 def flat_utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from gleanmill.llm.arrow_text import slices
 from gleanmill.session import table
 
-MEMORY_WORDS = 400_000
+MEMORY_WORDS = 300_000
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
