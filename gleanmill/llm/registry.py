@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanmill.llm import byte_bpe, language_id, ogg_media, pfair_mixing, pii_boosting, quality_rules, reply_trees, token_histogram, wrapper_induction
+from gleanmill.llm import byte_bpe, language_id, ngram_join, ogg_media, pfair_mixing, pii_boosting, quality_rules, reply_trees, token_histogram, wrapper_induction
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_pii_boosting": pii_boosting.op3_pii_boosting,
         "op4_byte_bpe": byte_bpe.op4_byte_bpe,
         "op5_language_id": language_id.op5_language_id,
+        "op6_ngram_join": ngram_join.op6_ngram_join,
         "op7_wrapper_induction": wrapper_induction.op7_wrapper_induction,
         "op8_quality_rules": quality_rules.op8_quality_rules,
         "op9_reply_trees": reply_trees.op9_reply_trees,
