@@ -1,4 +1,557 @@
-"""All queries of the library by name, with DuckDB SQL for the same rows."""
+"""All queries of the library by name, with DuckDB SQL for the same rows.
 
-QUERIES = {}
-ORACLES = {}
+Queries over ``pages`` and ``documents`` read whole tables; fixed small tables
+cover what these tables cannot show.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from gleanmill.functions import classify, dates, text, urls
+from gleanmill.functions import constants as C
+from gleanmill.operators import html_trees, setops
+from gleanmill.plans import duck as D
+from gleanmill.plans import fixtures as X
+from gleanmill.plans import pipelines
+from gleanmill.session import table
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+KEYWORDS = ["the", "und", "pour", "tion", "que", "heit", "ment", "zzz", "ing that", "mente"]
+TOPIC = [["the", "die", "le"], ["ing", "heit", "tion"], ["on"]]
+
+
+def query(sql: str | None = None):
+    """Register a function under its name, with its SQL where there is one."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _pages(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "pages")
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents")
+
+
+# --- documents: keyword scores, words, topics ---------------------------------
+
+
+@query(f"SELECT doc_id, {D.keyword_score('lower(coalesce(text, chr(32)))', KEYWORDS)} AS score FROM documents")
+def kw_score(spark, d):
+    return _docs(spark, d).select("doc_id", text.keyword_score(F.col("text"), KEYWORDS).alias("score"))
+
+
+@query(f"""SELECT CASE WHEN score >= {C.MIN_SCORE} THEN 'kept' ELSE 'rejected' END AS outcome, count(*) AS n, round(max(score), 4) AS best
+FROM (SELECT {D.keyword_score('lower(coalesce(text, chr(32)))', KEYWORDS)} AS score FROM documents) GROUP BY 1""")
+def kw_score_summary(spark, d):
+    scored = kw_score(spark, d)
+    outcome = F.when(F.col("score") >= C.MIN_SCORE, F.lit("kept")).otherwise(F.lit("rejected"))
+    return scored.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"), F.round(F.max("score"), 4).alias("best"))
+
+
+@query(f"SELECT doc_id, array_to_string({D.keywords_found('lower(text)', KEYWORDS)}, ', ') AS found FROM documents")
+def kw_found_list(spark, d):
+    return _docs(spark, d).select("doc_id", F.array_join(text.keywords_found(F.col("text"), KEYWORDS), ", ").alias("found"))
+
+
+@query(f"SELECT doc_id, {D.word_count('text')}::BIGINT AS words, ({D.blank_count('text')})::BIGINT AS blank_words FROM documents")
+def word_counts(spark, d):
+    t = F.col("text")
+    return _docs(spark, d).select("doc_id", text.word_count(t).cast("long").alias("words"), text.blank_count(t).cast("long").alias("blank_words"))
+
+
+@query("SELECT doc_id, " + " AND ".join("(" + " OR ".join(f"contains(t, '{x}')" for x in g) + ")" for g in TOPIC) + f" AS on_topic FROM (SELECT doc_id, {D.squeeze('lower(text)')} AS t FROM documents)")
+def topic_match(spark, d):
+    return _docs(spark, d).select("doc_id", text.matches_topic(F.col("text"), TOPIC).alias("on_topic"))
+
+
+@query("""SELECT * FROM (VALUES (1, true, false, true), (2, false, false, true), (3, false, false, true), (4, true, false, true), (5, false, false, true), (6, false, false, true)) AS t(id, cnf, empty_group, no_groups)""")
+def cnf_match(spark, d):
+    t, groups = F.col("txt"), [["iran"], ["USA", "Israel"], ["crisis"]]
+    return X.fixture(spark, X.TOPICS).select("id", text.matches_topic(t, groups).alias("cnf"), text.matches_topic(t, [["iran"], []]).alias("empty_group"), text.matches_topic(t, []).alias("no_groups"))
+
+
+@query("""SELECT 'iran AND (USA OR Israel) AND "deep sea"' AS q, 'site:a.test iran AND (USA OR Israel) AND "deep sea"' AS site_q, 'https://duckduckgo.com/html/?q=deep+sea%26x' AS search""")
+def cnf_query_text(spark, d):
+    groups = F.array(F.array(F.lit("iran")), F.array(F.lit("USA"), F.lit("Israel"), F.lit(" ")), F.array(F.lit("")), F.array(F.lit("deep sea")))
+    return spark.range(1).select(urls.boolean_query(groups).alias("q"), urls.site_query(F.lit("a.test"), groups).alias("site_q"), urls.search_url(F.lit("deep sea&x")).alias("search"))
+
+
+# --- URLs ----------------------------------------------------------------------
+
+
+@query(f"SELECT page_id, {D.basic('url')} AS u FROM pages")
+def url_basic(spark, d):
+    return _pages(spark, d).select("page_id", urls.basic(F.col("url")).alias("u"))
+
+
+@query(f"SELECT page_id, {D.seen_key('url')} AS u FROM pages")
+def url_seen_key(spark, d):
+    return _pages(spark, d).select("page_id", urls.seen_key(F.col("url")).alias("u"))
+
+
+@query(f"SELECT page_id, {D.canonical('url')} AS u FROM pages")
+def url_canonical(spark, d):
+    return _pages(spark, d).select("page_id", urls.canonical(F.col("url")).alias("u"))
+
+
+@query(f"SELECT pos, {D.seen_key('url')} AS seen, {D.canonical('url')} AS canon FROM ({X.RESULTS}) WHERE url IS NOT NULL")
+def url_forms_golden(spark, d):
+    return X.fixture(spark, X.RESULTS).filter("url IS NOT NULL").select("pos", urls.seen_key(F.col("url")).alias("seen"), urls.canonical(F.col("url")).alias("canon"))
+
+
+@query(f"SELECT page_id, {D.host_raw('url')} AS host_raw, lower({D.host_raw('url')}) AS host, {D.domain('url')} AS domain FROM pages")
+def url_domain(spark, d):
+    return _pages(spark, d).select("page_id", urls.host_raw(F.col("url")).alias("host_raw"), urls.host(F.col("url")).alias("host"), urls.domain(F.col("url")).alias("domain"))
+
+
+@query("""SELECT * FROM (VALUES (1, 'https://h.test/x'), (2, 'https://h.test/a/c'), (3, 'https://h.test/a/c?x=1'), (4, 'https://h.test/a/b?p=2'), (5, 'https://h.test/a/b?q=1'), (6, 'https://o.test/z'),
+ (7, NULL), (8, NULL), (9, NULL), (10, 'https://h.test/n'), (11, 'https://o.test/k'), (12, NULL), (13, 'https://h.test/a/b')) AS t(id, u)""")
+def url_resolve(spark, d):
+    return X.fixture(spark, X.LINKS).select("id", urls.resolve(F.col("link"), F.col("base")).alias("u"))
+
+
+@query("""SELECT * FROM (VALUES (1, 'https://h.test/x'), (2, 'https://h.test/a/c'), (3, 'https://h.test/a/c?x=1'), (4, 'https://h.test/a/b?p=2'), (5, 'https://h.test/a/b?q=1'), (6, 'https://o.test/z'),
+ (7, NULL), (8, NULL), (9, NULL), (10, 'https://h.test/n'), (11, 'https://o.test/k'), (12, NULL), (13, 'https://h.test/a/b')) AS t(id, resolved)""")
+def url_resolve_full(spark, d):
+    return html_trees.resolve_links(X.fixture(spark, X.LINKS))
+
+
+@query(f"""SELECT s AS source, CASE WHEN trim(s) = '' THEN '' ELSE {D.scheme('l')} || '://' || {D.domain('l')} || rtrim({D.path('l')}, '/') END AS form
+FROM (SELECT s, CASE WHEN starts_with(trim(s), 'http') THEN trim(s) ELSE 'https://' || trim(s) END AS l FROM (VALUES ('exemple.com'), (' https://WWW.Example.com/ '), ('http://www.x.test/news/?a=1#b'), ('')) AS t(s))""")
+def url_source_form(spark, d):
+    rows = spark.sql("SELECT * FROM (VALUES ('exemple.com'), (' https://WWW.Example.com/ '), ('http://www.x.test/news/?a=1#b'), ('')) AS t(s)")
+    return rows.select(F.col("s").alias("source"), urls.source_form(F.col("s")).alias("form"))
+
+
+@query("""SELECT * FROM (VALUES (3, 'https://site.test/news/', 'https://site.test/news/', true), (14, 'https://duckduckgo.com/about', 'https://duckduckgo.com/about', false),
+ (16, 'https://other.test/l/?uddg=https%3A%2F%2Fd.test%2F', 'https://d.test/', false)) AS t(pos, strict, loose, redirect)""")
+def redirect_unwrap(spark, d):
+    rows = X.fixture(spark, X.RESULTS).filter("pos IN (3, 14, 16)")
+    return rows.select("pos", urls.unwrap_redirect(F.col("url")).alias("strict"), urls.unwrap_any_redirect(F.col("url")).alias("loose"), urls.is_redirect(F.col("url")).alias("redirect"))
+
+
+@query("""SELECT * FROM (VALUES (1, 'site.test_a_b_c.html_x_1_y_2.html', 'site.test_a_b_c.html_x_1_y_2.html', 'page_1.html'), (2, 'site.test.html', 'site.test_root.pdf', 'page_2.pdf'),
+ (9, 'site.test_été_ü.html', 'site.test_t.html', 'page_9.html'), (10, 'site.test_--a--_b.html', 'site.test_--a--_b.html', 'page_10.html')) AS t(id, slug, topic, indexed)""")
+def slug_filename(spark, d):
+    rows = X.fixture(spark, X.NAMES).filter("id IN (1, 2, 9, 10)")
+    return rows.select("id", urls.slug_name(F.col("url")).alias("slug"), urls.topic_name(F.col("url"), F.col("kind")).alias("topic"), urls.indexed_name(F.col("id"), F.col("kind")).alias("indexed"))
+
+
+@query(f"SELECT page_id, {D.pagination('url')} AS pagination, {D.article_candidate('url')} AS candidate, {D.any_of('url', C.SAVE_PATTERNS)} AS save, ({D.suffix('url')} = '' OR list_contains({D.lits(C.ALLOWED_SUFFIXES)}, {D.suffix('url')})) AS suffix_ok, {D.any_of('lower(url)', C.EXCLUDED_PARTS)} AS excluded FROM pages")
+def url_predicates(spark, d):
+    return _pages(spark, d).select("page_id", urls.pagination_url(F.col("url")).alias("pagination"), urls.article_candidate(F.col("url")).alias("candidate"), urls.save_pattern(F.col("url")).alias("save"), urls.suffix_allowed(F.col("url")).alias("suffix_ok"), urls.excluded(F.col("url")).alias("excluded"))
+
+
+@query(f"SELECT id, {D.pagination('url')} AS pagination, {D.article_candidate('url')} AS candidate, ({D.suffix('url')} = '' OR list_contains({D.lits(C.ALLOWED_SUFFIXES)}, {D.suffix('url')})) AS suffix_ok, regexp_matches(url, '(?i)/f') AND {D.article_candidate('url')} AS by_pattern FROM ({X.NAMES})")
+def url_predicates_golden(spark, d):
+    return X.fixture(spark, X.NAMES).select("id", urls.pagination_url(F.col("url")).alias("pagination"), urls.article_candidate(F.col("url")).alias("candidate"), urls.suffix_allowed(F.col("url")).alias("suffix_ok"), urls.article_url(F.col("url"), F.lit("/f")).alias("by_pattern"))
+
+
+_LINKS_SQL = "SELECT page_id, url, unnest(list_filter(list_transform(regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1), lambda x: trim(x)), lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(mailto:|javascript:|tel:|#)'))) AS link FROM pages"
+_RESOLVED_SQL = f"SELECT page_id, url, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || link AS target FROM ({_LINKS_SQL}) WHERE starts_with(link, '/') AND NOT contains(link, ' ')"
+
+
+def _links(spark, d):
+    return _pages(spark, d).select("page_id", "url", F.explode(urls.links(F.col("html"))).alias("link")).withColumn("target", urls.resolve(F.col("link"), F.col("url"))).filter("target IS NOT NULL")
+
+
+@query(f"SELECT DISTINCT page_id, target FROM ({_RESOLVED_SQL})")
+def link_explode(spark, d):
+    return _links(spark, d).select("page_id", "target").distinct()
+
+
+@query(f"SELECT page_id, count(DISTINCT target) AS n_links, count(DISTINCT target) >= {C.MIN_LISTING_LINKS} AS listing FROM ({_RESOLVED_SQL}) WHERE NOT {D.any_of(f'lower({D.path(chr(116) + chr(97) + chr(114) + chr(103) + chr(101) + chr(116))})', C.NAVIGATION_PARTS)} AND length(trim({D.path('target')}, '/')) >= 3 GROUP BY page_id")
+def editorial_listing_flag(spark, d):
+    kept = _links(spark, d).filter(urls.editorial_link(F.col("target"), F.col("url")))
+    counted = kept.groupBy("page_id").agg(F.count_distinct("target").alias("n_links"))
+    return counted.withColumn("listing", classify.is_listing(F.col("n_links")))
+
+
+@query(f"""SELECT route, count(*) AS n FROM (SELECT DISTINCT page_id, {D.basic('target')} AS t, CASE WHEN {D.domain(D.basic('target'))} <> {D.domain('url')} THEN 'off_domain' WHEN {D.pagination(D.basic('target'))} THEN 'pagination'
+ WHEN {D.article_candidate(D.basic('target'))} THEN 'article' ELSE 'none' END AS route FROM ({_RESOLVED_SQL})) GROUP BY route""")
+def url_route_counts(spark, d):
+    found = _links(spark, d).withColumn("t", urls.basic(F.col("target"))).withColumn("route", urls.route(F.col("t"), urls.domain(F.col("url"))))
+    return found.select("page_id", "t", "route").distinct().groupBy("route").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT {D.host_raw('url')} AS key, list(url ORDER BY page_id) AS pages FROM pages GROUP BY 1")
+def pages_by_domain(spark, d):
+    return setops.grouped_in_order(_pages(spark, d), urls.host_raw(F.col("url")), "page_id", "url", "pages")
+
+
+@query(f"SELECT a.url, CASE WHEN starts_with(a.url, 'https://h.test/private/open') THEN true WHEN starts_with(a.url, 'https://h.test/private') THEN false ELSE true END AS allowed FROM ({X.ASKED}) a")
+def robots_rules(spark, d):
+    rules = X.fixture(spark, X.ROBOTS).groupBy("host").agg(F.collect_list(F.struct("prefix", "allow")).alias("rules"))
+    asked = X.fixture(spark, X.ASKED).withColumn("host", urls.host(F.col("url")))
+    return asked.join(rules, "host", "left").select("url", urls.robots_allowed(F.coalesce("rules", F.array().cast("array<struct<prefix:string,allow:boolean>>")), F.col("url")).alias("allowed"))
+
+
+# --- pages ---------------------------------------------------------------------
+
+
+@query(f"SELECT page_id, lower({D.page_text('html', C.SCORER_TAGS)}) AS t FROM pages")
+def html_text_scorer(spark, d):
+    return _pages(spark, d).select("page_id", text.scorer_text(F.col("html")).alias("t"))
+
+
+@query(f"SELECT page_id, {D.page_text('html', C.TOPIC_TAGS)} AS t FROM pages")
+def html_text_topics(spark, d):
+    return _pages(spark, d).select("page_id", text.topic_text(F.col("html")).alias("t"))
+
+
+_REASON_SQL = f"""SELECT page_id, html, CASE WHEN w < {C.MIN_WORDS_PAGE} THEN 'trop court (' || w || ' mots < {C.MIN_WORDS_PAGE})'
+ WHEN len(p) > 0 AND list_sum(list_transform(p, lambda x: len(string_split(x, ' '))))::DOUBLE / len(p) < {C.MIN_WORDS_PARAGRAPH} THEN 'paragraphes trop courts' END AS reason
+ FROM (SELECT page_id, html, {D.blank_count(D.page_text('html', C.SCORER_TAGS))} AS w, {D.paragraphs('html')} AS p FROM pages)"""
+
+
+@query(f"SELECT page_id, reason FROM ({_REASON_SQL})")
+def struct_filter(spark, d):
+    return _pages(spark, d).select("page_id", classify.reject_reason(F.col("html")).alias("reason"))
+
+
+@query(f"SELECT page_id, CASE WHEN len(p) > 0 THEN list_sum(list_transform(p, lambda x: len(string_split(x, ' '))))::DOUBLE / len(p) END AS mean, len(p)::BIGINT AS n, array_to_string(p[1:5], chr(10)) AS preview FROM (SELECT page_id, {D.paragraphs('html')} AS p FROM pages)")
+def paragraph_stats(spark, d):
+    return _pages(spark, d).select("page_id", text.mean_paragraph(F.col("html")).alias("mean"), F.size(text.paragraphs(F.col("html"))).cast("long").alias("n"), F.array_join(text.preview(F.col("html")), "\n").alias("preview"))
+
+
+@query(f"""SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN reason IS NOT NULL THEN 'rejected_structure' WHEN {D.keyword_score('t', KEYWORDS)} < {C.MIN_SCORE} THEN 'rejected_score' ELSE 'kept' END AS outcome
+ FROM (SELECT reason, lower({D.page_text('html', C.SCORER_TAGS)}) AS t FROM ({_REASON_SQL}))) GROUP BY outcome""")
+def scorer_summary(spark, d):
+    return pipelines.score_pages(_pages(spark, d), KEYWORDS).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _news_sql(h: str) -> str:
+    types = f"list_transform({D.json_blocks(h)}, lambda b: coalesce(json_extract(b, '$.\"@type\"')::VARCHAR, ''))"
+    hits = f"len(list_filter({types}, lambda t: {D.any_of('t', C.ARTICLE_TYPES)}))"
+    on = lambda c, n: f"CASE WHEN coalesce({c}, false) THEN {n} ELSE 0 END"
+    parts = [
+        f"{hits} * 4", on(f"contains(lower({D.meta(h, 'property', 'og:type')}), 'article')", 3), on(f"regexp_matches({h}, '(?i)<article[\\s>]')", 2),
+        on(f"regexp_matches({h}, '(?i)<time[\\s>]') OR {D.has_class(h, C.DATE_CLASS)}", 2),
+        on(f"regexp_matches({h}, '(?is)<[a-z][^>]*\\srel\\s*=\\s*[\"''][^\"'']*\\bauthor\\b') OR {D.has_class(h, C.AUTHOR_CLASS)}", 1),
+        on(f"regexp_matches({h}, '(?is)<meta\\s[^>]*name\\s*=\\s*[\"'']author[\"'']')", 1), on(D.has_class(h, C.BODY_CLASS), 2),
+    ]
+    return " + ".join(parts)
+
+
+@query(f"SELECT id, ({_news_sql('html')})::INT AS score, ({_news_sql('html')}) >= {C.MIN_NEWS_SCORE} AS news FROM ({X.DATES})")
+def news_score(spark, d):
+    return X.fixture(spark, X.DATES).select("id", classify.news_score(F.col("html")).cast("int").alias("score"), classify.is_news(F.col("html"), F.col("url")).alias("news"))
+
+
+@query(f"SELECT page_id, ({_news_sql('html')})::INT AS score FROM pages")
+def news_score_pages(spark, d):
+    return _pages(spark, d).select("page_id", classify.news_score(F.col("html")).cast("int").alias("score"))
+
+
+def _chain_sql(h: str, u: str, t: str) -> str:
+    block = f"list_filter(list_transform({D.json_blocks(h)}, lambda b: coalesce({', '.join(D.first_year(f'json_extract_string(b, {chr(39)}$.{k}{chr(39)})') for k in C.JSON_DATE_KEYS)})), lambda y: y IS NOT NULL)[1]"
+    time = f"regexp_extract({h}, '(?is)<time\\s[^>]*datetime\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1)"
+    steps = [block, D.first_year(D.meta(h, "property", "article:published_time")), *[D.first_year(D.meta(h, "name", n)) for n in C.META_NAMES_LISTING], D.first_year(time)]
+    steps += [f"nullif(regexp_extract({u}, '/(20\\d{{2}})[/\\-]', 1), '')::INT", D.first_year(f"regexp_extract({t}, '{C.DATE_REGEX}', 0)"), f"nullif(regexp_extract({u}, '\\b(20\\d{{2}})', 1), '')::INT"]
+    return f"coalesce({', '.join(steps)})"
+
+
+def _topic_year_sql(h: str, t: str) -> str:
+    times = f"list_filter(list_transform(regexp_extract_all({h}, '(?is)<time\\b[^>]*>.*?</time>', 0), lambda x: {D.largest_year('(regexp_extract(x, ' + chr(39) + '(?is)datetime\\s*=\\s*[\"' + chr(39) * 2 + ']([^\"' + chr(39) * 2 + ']*)[\"' + chr(39) * 2 + ']' + chr(39) + ', 1) || chr(32) || regexp_replace(x, ' + chr(39) + '<[^>]*>' + chr(39) + ', chr(32), ' + chr(39) + 'g' + chr(39) + '))')}), lambda y: y IS NOT NULL)[1]"
+    blocks = f"list_filter(list_transform({D.json_blocks(h)}, lambda b: {D.largest_year('b')}), lambda y: y IS NOT NULL)[1]"
+    return f"coalesce({', '.join(D.largest_year(D.meta(h, a, n)) for a, n in C.META_DATES_TOPIC)}, {times}, {blocks}, {D.largest_year(t)})"
+
+
+@query(f"""SELECT id, {_chain_sql('html', 'url', 't')} AS article_year, {_topic_year_sql('html', 't')} AS topic_year, coalesce(search_year, {_topic_year_sql('html', 't')}) AS chosen,
+ coalesce(coalesce(search_year, {_topic_year_sql('html', 't')}) >= {C.MIN_YEAR}, false) AS recent, coalesce({_chain_sql('html', 'url', 't')} = 2026, false) AS this_year, coalesce({_chain_sql('html', 'url', 't')} = 2026, true) AS this_or_none
+ FROM (SELECT *, {D.page_text('html', C.TOPIC_TAGS)} AS t FROM ({X.DATES}))""")
+def year_chain(spark, d):
+    t = F.col("t")
+    rows = X.fixture(spark, X.DATES).withColumn("t", text.topic_text(F.col("html")))
+    rows = rows.select("id", dates.article_year(F.col("html"), F.col("url"), t).alias("article_year"), dates.topic_year(F.col("html"), t).alias("topic_year"), "search_year").withColumn("chosen", dates.chosen_year(F.col("search_year"), F.col("topic_year")))
+    year = F.col("article_year")
+    return rows.select("id", "article_year", "topic_year", "chosen", dates.recent(F.col("chosen")).alias("recent"), dates.year_kept(year, 2026).alias("this_year"), dates.year_kept(year, 2026, True).alias("this_or_none"))
+
+
+@query(f"SELECT page_id, {_chain_sql('html', 'url', 't')} AS year, {D.largest_year('t')} AS in_text FROM (SELECT *, {D.page_text('html', C.TOPIC_TAGS)} AS t FROM pages)")
+def year_pages(spark, d):
+    t = F.col("t")
+    return _pages(spark, d).withColumn("t", text.topic_text(F.col("html"))).select("page_id", dates.article_year(F.col("html"), F.col("url"), t).alias("year"), dates.largest_year(t).alias("in_text"))
+
+
+@query(f"SELECT o_orderkey, {D.largest_year('t')} AS year, {D.first_year('t')} AS first_year FROM (SELECT o_orderkey, 'du ' || o_orderdate::DATE || ' au 2001, ' || o_orderkey AS t FROM orders)")
+def year_max_text(spark, d):
+    t = F.concat(F.lit("du "), F.col("o_orderdate").cast("date").cast("string"), F.lit(" au 2001, "), F.col("o_orderkey").cast("string"))
+    return table(spark, d, "orders").select("o_orderkey", dates.largest_year(t).alias("year"), dates.first_year(t).alias("first_year"))
+
+
+_LOW = "lower(html)"
+_PLAIN = "lower(regexp_replace(html, '(?s)<[a-zA-Z/!][^>]*>', '', 'g'))"
+
+
+def _obstacle_sql(source: str, key: str) -> str:
+    return f"""SELECT {key}, {D.any_of(_LOW, C.BLOCK_SIGNS)} AS block, {D.any_of(_LOW, C.CAPTCHA_SIGNS)} AS captcha, {D.any_of(_LOW, C.LOGIN_SIGNS)} AS login, {D.any_of(_PLAIN, C.CONSENT_SIGNS)} AS consent FROM {source}"""
+
+
+def _obstacles(rows: DataFrame, key: str) -> DataFrame:
+    return rows.select(key, classify.is_block(F.col("html")).alias("block"), classify.is_captcha(F.col("html")).alias("captcha"), classify.is_login_wall(F.col("html")).alias("login"), classify.is_consent(F.col("html")).alias("consent"))
+
+
+@query(_obstacle_sql(f"({X.DATES})", "id"))
+def block_reason(spark, d):
+    return _obstacles(X.fixture(spark, X.DATES), "id")
+
+
+@query(_obstacle_sql("pages", "page_id"))
+def block_reason_pages(spark, d):
+    return _obstacles(_pages(spark, d), "page_id")
+
+
+_SUFFIX_CASES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.MEDIA_SUFFIXES.items())
+
+
+@query(f"""SELECT id, CASE lower(trim(split_part(coalesce(content_type, ''), ';', 1))) {_SUFFIX_CASES} ELSE CASE WHEN {D.suffix('url')} <> '' AND length({D.suffix('url')}) <= 8 THEN {D.suffix('url')} ELSE '.bin' END END AS suffix,
+ CASE WHEN lower({D.path('url')}) LIKE '%.pdf' OR coalesce(content_type, '') LIKE '%pdf%' THEN 'pdf' WHEN lower({D.path('url')}) LIKE '%.docx' OR coalesce(content_type, '') LIKE '%docx%' THEN 'docx' WHEN lower({D.path('url')}) LIKE '%.doc' THEN 'doc'
+ WHEN lower({D.path('url')}) LIKE '%.txt' OR coalesce(content_type, '') LIKE '%text/plain%' THEN 'txt' ELSE 'html' END AS kind FROM ({X.NAMES})""")
+def mime_ext(spark, d):
+    return X.fixture(spark, X.NAMES).select("id", classify.guess_suffix(F.col("content_type"), F.col("url")).alias("suffix"), classify.file_kind(F.col("url"), F.col("content_type")).alias("kind"))
+
+
+@query("SELECT * FROM (VALUES (1, 'pdf', '%pdf-1.7'), (2, 'html', ' <html><body>é</body>'), (3, 'other', 'abc'), (4, 'html', 'caf\u00e9'), (5, 'pdf', '')) AS t(id, kind, decoded)")
+def file_type(spark, d):
+    rows = spark.sql("""SELECT * FROM (VALUES (1, 'https://a.test/x', '', CAST('%PDF-1.7' AS BINARY)), (2, 'https://a.test/x', NULL, CAST(' <HTML><body>é</body>' AS BINARY)), (3, 'https://a.test/x', 'x/y', CAST('abc' AS BINARY)),
+      (4, 'https://a.test/x', 'text/html; charset=latin-1', X'636166E9'), (5, 'https://a.test/x.pdf', 'text/html', CAST('' AS BINARY))) AS t(id, url, content_type, content)""")
+    return rows.select("id", classify.content_kind(F.col("url"), F.col("content_type"), F.col("content")).alias("kind"), text.bytes_text(F.col("content")).alias("decoded"))
+
+
+@query("SELECT * FROM (VALUES (1, true), (2, false), (3, true), (4, NULL), (5, NULL), (6, false), (7, true), (8, false), (9, false), (10, NULL), (11, NULL), (12, NULL)) AS t(id, flag)")
+def json_bool(spark, d):
+    return X.fixture(spark, X.ANSWERS).select("id", classify.answer_flag(F.col("answer")).alias("flag"))
+
+
+@query("SELECT page_id, regexp_replace(html, '(?i)(<head(?:\\s[^>]*)?>)', '\\1<base href=\"' || url || '\"/>') AS html FROM pages")
+def base_tag(spark, d):
+    return _pages(spark, d).select("page_id", text.with_base(F.col("html"), F.col("url")).alias("html"))
+
+
+@query(f"SELECT page_id, '# ' || {D.squeeze(D.unescape('regexp_extract(html, ' + chr(39) + '(?is)<title[^>]*>(.*?)</title>' + chr(39) + ', 1)'))} || chr(10) || chr(10) || '**Source :** ' || url || chr(10) AS md FROM pages")
+def markdown_render(spark, d):
+    none = F.lit(None).cast("string")
+    return _pages(spark, d).select("page_id", text.markdown(text.title(F.col("html")), none, none, F.col("url"), none, none).alias("md"))
+
+
+@query("SELECT 'DATE : ' || chr(10) || 'REQUETE : q' || chr(10) || 'RANG : 3' || chr(10) || 'MOTEUR : ' || chr(10) || 'URL : u' || chr(10) || 'URL FINALE : ' || chr(10) || 'STATUT : SUCCESS' || chr(10) || 'TYPE : ' || chr(10) || 'FICHIER : ' || chr(10) || 'MESSAGE : ' || chr(10) || repeat('-', 60) || chr(10) AS block, 'a b c' AS one")
+def log_render(spark, d):
+    entry = {"query": F.lit("q"), "rank": F.lit(3), "url": F.lit("u"), "status": F.lit("SUCCESS")}
+    return spark.range(1).select(text.log_block(entry).alias("block"), text.one_line(F.lit(" a \n b\n c ")).alias("one"))
+
+
+@query()
+def editorial_links(spark, d):
+    return html_trees.editorial_links(_pages(spark, d))
+
+
+@query()
+def article_parts(spark, d):
+    return html_trees.articles(_pages(spark, d))
+
+
+@query("SELECT * FROM (VALUES (1, 0, 'https://x.test/1', 'One 2024 and 2025', 2025), (1, 1, '/2', 'Two', NULL)) AS t(page_id, pos, url, title, year)")
+def search_page_results(spark, d):
+    page = """<div class="result"><a class="result__a" href="https://x.test/1">One 2024 and <b>2025</b></a></div><div class="result"><a href="/2"> Two </a><a href="https://x.test/1">again</a></div><p><a href="/3">no</a></p>"""
+    return html_trees.search_results(spark.range(1).select(F.lit(1).cast("long").alias("page_id"), F.lit(page).alias("html")))
+
+
+@query("SELECT * FROM (VALUES (1, 'café'), (2, 'café'), (3, 'caf\ufffd'), (4, 'x')) AS t(id, html)")
+def decoded_pages(spark, d):
+    rows = spark.sql("SELECT * FROM (VALUES (1, X'636166E9', 'text/html; charset=iso-8859-1'), (2, CAST('café' AS BINARY), NULL), (3, X'636166E9', ''), (4, CAST('x' AS BINARY), 'text/html; charset=unknown-9')) AS t(id, content, content_type)")
+    return html_trees.decode_pages(rows)
+
+
+@query("SELECT doc_id AS id, false AS interesting FROM documents")
+def judge_stub(spark, d):
+    return html_trees.interest(_docs(spark, d).select(F.col("doc_id").alias("id"), "text"))
+
+
+# --- joins, dedupe, ranking -----------------------------------------------------
+
+
+@query(f"""SELECT pos, url_key, row_number() OVER (ORDER BY pos) AS rank FROM (SELECT pos, {D.seen_key('url')} AS url_key FROM ({X.RESULTS}) QUALIFY row_number() OVER (PARTITION BY url_key ORDER BY pos) = 1) WHERE url_key <> ''""")
+def dedupe_keep_first(spark, d):
+    return setops.dedupe_ranked(X.fixture(spark, X.RESULTS), "url", "pos").select("pos", "url_key", "rank")
+
+
+@query(f"""SELECT page_id, outcome FROM (SELECT page_id, CASE WHEN x THEN 'excluded' WHEN row_number() OVER (PARTITION BY k, x ORDER BY page_id) > 1 THEN 'duplicate' ELSE 'kept' END AS outcome
+ FROM (SELECT page_id, k, {D.any_of('lower(k)', C.EXCLUDED_PARTS)} AS x FROM (SELECT page_id, {D.canonical('url')} AS k FROM pages UNION ALL SELECT page_id + 1000000, {D.canonical('url')} FROM pages)))""")
+def exclude_then_dedupe(spark, d):
+    rows = _pages(spark, d).select(F.col("page_id").alias("pos"), "url")
+    both = setops.union_in_order(rows, rows.withColumn("pos", F.col("pos") + 1000000))
+    return setops.exclude_then_dedupe(both, "url", "part_pos").select(F.col("pos").alias("page_id"), "outcome")
+
+
+@query(f"""WITH r AS (SELECT pos, {D.seen_key('url')} AS k FROM ({X.RESULTS})) SELECT pos, k AS url_key FROM r WHERE k <> '' AND NOT {D.is_redirect('k')} AND lower({D.host_raw('k')}) <> '{C.SEARCH_HOST}' AND k <> 'https://site.test/news'
+ QUALIFY row_number() OVER (PARTITION BY k ORDER BY pos) = 1""")
+def filter_results(spark, d):
+    history = spark.sql("SELECT 'https://site.test/news' AS url_key")
+    return setops.filter_results(X.fixture(spark, X.RESULTS), "url", "pos", history).select("pos", "url_key")
+
+
+@query(f"SELECT url FROM ({X.FRONTIER}) WHERE url NOT IN (SELECT url FROM ({X.STATE}) UNION ALL SELECT url FROM ({X.FAILED}))")
+def seen_antijoin(spark, d):
+    return setops.unseen(X.fixture(spark, X.FRONTIER), "url", X.fixture(spark, X.STATE), X.fixture(spark, X.FAILED))
+
+
+@query("SELECT event_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_id < 1000 AND user_id IS NOT NULL)")
+def state_antijoin_events(spark, d):
+    events = table(spark, d, "events")
+    return setops.unseen(events, "user_id", events.filter("event_id < 1000")).select("event_id")
+
+
+@query(f"SELECT url FROM ({X.FRONTIER}) WHERE url IN (SELECT url FROM ({X.STATE}))")
+def seen_semijoin(spark, d):
+    return setops.seen(X.fixture(spark, X.FRONTIER), "url", X.fixture(spark, X.STATE))
+
+
+@query(f"SELECT uuid, url, domaine, crawled FROM ({X.STATE}) WHERE score IS NULL")
+def unscored_scan(spark, d):
+    return X.fixture(spark, X.STATE).filter("score IS NULL").select("uuid", "url", "domaine", "crawled").orderBy("crawled")
+
+
+@query(f"SELECT uuid, uuid IN ('u1', 'u3') AS has_blob FROM ({X.STATE})")
+def blob_split(spark, d):
+    rows = X.fixture(spark, X.STATE)
+    there, missing = setops.split_by_blob(rows, spark.sql("SELECT * FROM (VALUES ('u1'), ('u3'), ('u9')) AS t(uuid)"), "uuid")
+    return there.select("uuid", F.lit(True).alias("has_blob")).unionByName(missing.select("uuid", F.lit(False).alias("has_blob")))
+
+
+@query("SELECT source, doc_id, rank FROM (SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS rank FROM documents) WHERE rank <= 5")
+def topk_per_site(spark, d):
+    return setops.top_per_group(_docs(spark, d), "source", "doc_id", C.MAX_PER_SOURCE).select("source", "doc_id", "rank")
+
+
+@query(f"SELECT doc_id FROM documents ORDER BY doc_id LIMIT {C.MAX_GLOBAL}")
+def global_limit(spark, d):
+    return setops.first_rows(_docs(spark, d).select("doc_id"), "doc_id", C.MAX_GLOBAL)
+
+
+@query(f"SELECT pos FROM (SELECT pos, coalesce(sum(saved::INT) OVER (PARTITION BY site ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM ({X.VISITS})) WHERE b < 3")
+def quota_running(spark, d):
+    return setops.visited_under_quota(X.fixture(spark, X.VISITS), "site", "pos", "saved").select("pos")
+
+
+@query(f"SELECT pos, CASE WHEN saved THEN 7 + row_number() OVER (PARTITION BY saved ORDER BY pos) - 1 END AS file_index FROM ({X.VISITS})")
+def success_numbers(spark, d):
+    return setops.number_successes(X.fixture(spark, X.VISITS), "pos", "saved", 7).select("pos", "file_index")
+
+
+@query("SELECT 13 AS next_index")
+def next_file_index(spark, d):
+    names = spark.sql("SELECT * FROM (VALUES ('page_3.html'), ('page_12.pdf'), ('other_99.html'), ('page_x.html')) AS t(name)")
+    return setops.next_index(names, "name")
+
+
+@query(f"SELECT pos, stem || CASE WHEN n > 1 THEN '_' || n ELSE '' END || '.' || kind AS unique_name FROM (SELECT *, row_number() OVER (PARTITION BY stem, kind ORDER BY pos) AS n FROM ({X.VISITS}))")
+def unique_names(spark, d):
+    rows = X.fixture(spark, X.VISITS).withColumn("suffix", F.concat(F.lit("."), F.col("kind")))
+    return setops.unique_names(rows, "stem", "suffix", "pos").select("pos", "unique_name")
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n FROM documents WHERE lang = 'en'")
+def global_numbers(spark, d):
+    return setops.numbered(_docs(spark, d).filter("lang = 'en'").select("doc_id"), "doc_id")
+
+
+@query("""SELECT p.place, p.name, coalesce(d.tel, 'phone vide') AS tel, coalesce(d.mail, 'mail vide') AS mail FROM (VALUES ('Lyon', 'Dupont'), ('Paris', 'Martin'), ('Nice', 'Durand')) AS p(place, name)
+ LEFT JOIN (VALUES ('Lyon', 'Dupont', '01 02', 'a@x.test'), ('Paris', 'Martin', NULL, NULL)) AS d(place, name, tel, mail) USING (place, name)""")
+def lookup_enrich(spark, d):
+    return setops.lookup(X.fixture(spark, X.PEOPLE), X.fixture(spark, X.DIRECTORY), ["place", "name"], "pos")
+
+
+@query(f"SELECT query, pos FROM (SELECT *, min(prio) OVER (PARTITION BY query) AS best FROM ({X.RESULTS})) WHERE prio = best")
+def engine_fallback(spark, d):
+    return setops.first_source(X.fixture(spark, X.RESULTS), "query", "prio").select("query", "pos")
+
+
+@query(f"SELECT url FROM ({X.STATE}) UNION SELECT url FROM ({X.FRONTIER})")
+def upsert_ignore(spark, d):
+    new = X.fixture(spark, X.FRONTIER).withColumn("pos", F.monotonically_increasing_id())
+    twice = new.unionByName(new.withColumn("pos", F.col("pos") + 100))
+    return setops.insert_new(X.fixture(spark, X.STATE).select("url"), twice, "url", "pos")
+
+
+@query("SELECT DISTINCT source AS domain, 'site:' || source || ' (the OR die OR le) AND (ing OR heit OR tion) AND on' AS query FROM documents")
+def site_query_product(spark, d):
+    return setops.site_queries(_docs(spark, d).select(F.col("source").alias("domain")).distinct(), TOPIC)
+
+
+def _edges(spark, d):
+    pages = _pages(spark, d).select("url", "html")
+    return pages.select(F.col("url").alias("src"), F.explode(urls.links(F.col("html"))).alias("link")).select("src", urls.resolve(F.col("link"), F.col("src")).alias("dst")).filter("dst IS NOT NULL").distinct()
+
+
+@query(f"SELECT url, min(depth) AS depth FROM (SELECT url, 0 AS depth FROM pages UNION ALL SELECT target, 1 FROM ({_RESOLVED_SQL})) GROUP BY url")
+def frontier_depth1(spark, d):
+    return setops.reachable(_pages(spark, d).select("url"), _edges(spark, d), 1)
+
+
+@query("SELECT * FROM (VALUES ('s', 'a', 1), ('s', 'b', 2), ('t', 'x', 1)) AS t(site, url, nth)")
+def listing_walk(spark, d):
+    starts = spark.sql("SELECT * FROM (VALUES ('s', 'a'), ('t', 'x')) AS t(site, url)")
+    links = spark.sql("SELECT * FROM (VALUES ('a', 'c', 2), ('a', 'b', 1), ('b', 'd', 1), ('x', 'x', 1)) AS t(src, dst, pos)")
+    return setops.listing_walk(starts, links)
+
+
+# --- flows ----------------------------------------------------------------------
+
+
+@query("""SELECT 15 AS total, 1 AS excluded, 1 AS duplicate, 3 AS download_error, 1 AS other_skipped, 1 AS pdf_saved, 1 AS rejected_topic, 1 AS rejected_short, 1 AS rejected_no_date, 1 AS rejected_old, 1 AS rejected_judge, 3 AS html_saved""")
+def funnel_outcomes(spark, d):
+    return setops.outcome_counts(pipelines.topic_funnel(X.fixture(spark, X.FETCHES)), "outcome", pipelines.FUNNEL)
+
+
+@query(f"""SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN NOT ({" AND ".join("(" + " OR ".join(f"contains(t, '{x}')" for x in g) + ")" for g in TOPIC)}) THEN 'rejected_topic' WHEN w < {C.MIN_WORDS_TOPIC} THEN 'rejected_short'
+ WHEN coalesce(quality, 0) <> 1 THEN 'rejected_judge' ELSE 'html_saved' END AS outcome FROM (SELECT {D.squeeze('lower(text)')} AS t, {D.word_count('text')} AS w, quality FROM documents LEFT JOIN labels USING (doc_id))) GROUP BY outcome""")
+def funnel_documents(spark, d):
+    t = F.col("text")
+    labels = table(spark, d, "labels").select("doc_id", (F.col("quality") == 1).alias("interesting"))
+    rows = _docs(spark, d).select("doc_id", text.matches_topic(t, TOPIC).alias("on_topic"), text.word_count(t).alias("words")).join(labels, "doc_id", "left")
+    outcome = pipelines.html_outcome(F.col("on_topic"), F.col("words"), F.lit(C.MIN_YEAR), F.col("interesting"))
+    return rows.groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""SELECT page_id, CASE WHEN ({_news_sql('html')}) < {C.MIN_NEWS_SCORE} THEN 'not_article' WHEN {_chain_sql('html', 'url', 't')} IS DISTINCT FROM 2026 THEN 'skipped_year' ELSE 'saved' END AS outcome FROM (SELECT *, {D.page_text('html', C.TOPIC_TAGS)} AS t FROM pages)""")
+def visit_outcomes(spark, d):
+    rows = _pages(spark, d).select("page_id", F.lit(200).alias("code"), classify.news_score(F.col("html")).alias("news_score"), dates.article_year(F.col("html"), F.col("url"), text.topic_text(F.col("html"))).alias("year"))
+    return pipelines.visit_outcome(rows, 2026).select("page_id", "outcome")
+
+
+@query("SELECT * FROM (VALUES ('error', 5), ('not_article', 2), ('saved', 2), ('skipped_year', 2)) AS t(outcome, n)")
+def visit_report(spark, d):
+    rows = spark.sql("SELECT * FROM (VALUES (403, 9, 2026), (404, 9, 2026), (410, 9, 2026), (429, 9, 2026), (503, 9, 2026), (500, 9, 2026), (NULL, 3, 2026), (200, 2, 2026), (200, 0, NULL), (200, 5, NULL), (200, 5, 2025)) AS t(code, news_score, year)")
+    return pipelines.visit_outcome(rows, 2026).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"""SELECT status, count(*) AS n FROM (SELECT CASE WHEN known THEN 'SKIPPED_ALREADY_SEEN' WHEN code IS NULL THEN 'OPEN_ERROR' WHEN contains(url, '{C.SEARCH_HOST}') THEN 'SEARCH_ENGINE_PAGE_SKIPPED' WHEN code >= 400 THEN 'DOWNLOAD_FAILED' ELSE 'SUCCESS' END AS status FROM ({X.FETCHES})) GROUP BY status""")
+def result_statuses(spark, d):
+    return pipelines.result_status(X.fixture(spark, X.FETCHES)).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT url FROM ({X.FRONTIER}) WHERE url = 'https://d.test/1'")
+def admitted(spark, d):
+    known = X.fixture(spark, X.STATE).select("url").unionByName(X.fixture(spark, X.FAILED).select("url"))
+    return pipelines.admitted(X.fixture(spark, X.FRONTIER), known, "d.test")
+
+
+@query("SELECT source, string_agg(doc_id::VARCHAR, ', ' ORDER BY doc_id) AS docs FROM documents WHERE n_chars < 200 GROUP BY source")
+def string_agg(spark, d):
+    rows = _docs(spark, d).filter("n_chars < 200")
+    return rows.groupBy("source").agg(F.expr("listagg(CAST(doc_id AS STRING), ', ') WITHIN GROUP (ORDER BY doc_id)").alias("docs"))
