@@ -2,12 +2,16 @@
 
 Two documents link when 5 * |A & B| >= 4 * |A | B| over their shingle sets.
 
-1. Documents with equal sets form a class; its smallest id stands for it.
+1. Documents with equal sets form a class, named by a 64-bit hash of the set;
+   classes are what is compared from here on.
 2. Sets are ordered by (frequent, hash). Documents that link share a token among
    the first n - ceil(0.8 n) + 1 of either, so only these tokens are matched.
    Frequent tokens, such as those of passages that many documents share, come
    last: they are the at most ``HOT_TOKENS`` commonest ones by counts over
    slices of all texts. Any such list is right, a good one is fast.
+   A pair must even share o - ceil(0.8 m) + 1 of them, with o = ceil(4/9 (a + b))
+   for sizes a and b and m the larger one: nearly a tenth of the set if the sizes
+   are equal.
 3. Documents that share such a token form a list. Every document is compared
    with the one partner it shares most lists with; the links found give groups of
    similar documents.
@@ -24,9 +28,11 @@ Copies are never paired with each other and no list is expanded into pairs
 of documents: a list gives one row per member and (query, group) pairs only
 between groups that are still apart.
 
+Only sets of documents that pass the counts are shuffled, each once per use.
+
 Defined results: a null or empty text has no shingles and its own id as
-component; a null id takes part only through documents of equal text; repeated
-rows and ids get the same component; other columns are ignored.
+component; a null id takes part only through documents of equal text; rows that
+repeat an id each get the component of their own text; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -61,95 +67,96 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, docs) for tokens in three or more different sets of a slice."""
-    for _, raw, offsets in slices(batches, "text"):
-        distinct = {s.tobytes(): s for s in sets(raw, offsets) if len(s)}
-        if distinct:
-            tokens, docs = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
-            often = docs > 2
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[often].view(np.int64)), pa.array(docs[often].astype(np.int64))], ["token", "docs"])
+def _node(s: np.ndarray) -> int | None:
+    """The name of a set: a hash of its tokens and their number."""
+    return int((mix(s + np.uint64(1)).sum(dtype=np.uint64) + np.uint64(len(s))).view(np.int64)) if len(s) else None
+
 
+def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Two kinds of rows: (doc_id, n, node) of each text, and (token, docs) for tokens in three or more sets of a slice."""
+    for rows, raw, offsets in slices(batches, "text"):
+        every = list(sets(raw, offsets))
+        nodes = [_node(s) for s in every]
+        n, distinct = len(every), list({k: s for k, s in zip(nodes, every, strict=True) if k is not None}.values())
+        tokens, docs = np.unique(np.concatenate(distinct), return_counts=True) if distinct else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        tokens, docs = tokens[docs > 2].view(np.int64), docs[docs > 2].astype(np.int64)
+        none = [None] * len(tokens)
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays([rows.column(0), pa.array(none, pa.int64())]),
+                pa.array([len(s) for s in every] + none, pa.int64()),
+                pa.array(nodes + none, pa.int64()),
+                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(tokens)]),
+                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(docs)]),
+            ],
+            ["doc_id", "n", "node", "token", "docs"],
+        )
 
-def frequent_tokens(docs: DataFrame) -> np.ndarray:
+
+def _common(scanned: DataFrame) -> np.ndarray:
     """The commonest tokens, sorted; at most HOT_TOKENS, whatever the corpus."""
-    counted = _texts(docs).select("text").mapInArrow(_frequent, "token long, docs long").groupBy("token").agg(F.sum("docs").alias("docs"))
+    counted = scanned.filter("token IS NOT NULL").groupBy("token").agg(F.sum("docs").alias("docs"))
     top = counted.filter(F.col("docs") >= HOT_DOCS).orderBy(F.col("docs").desc(), "token").limit(HOT_TOKENS).select("token").toArrow()
     return np.sort(top.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
 
-def _signed(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """doc_id, n, k1, k2 (together the class of equal sets) and the tokens to match, packed."""
-    shipped = docs.sparkSession.sparkContext.broadcast(hot)
+def _matched(s: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """The tokens of a set that are matched: the first ones in the order (common, hash)."""
+    if len(common):
+        at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+        often = common[at] == s
+        s = np.concatenate([s[~often], s[often]])
+    return s[: len(s) - needed(len(s)) + 1]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = shipped.value
-        for rows, raw, offsets in slices(batches, "text"):
-            n, k1, k2, first = [], [], [], []
-            for s in sets(raw, offsets):
-                if len(frequent) and len(s):
-                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                    common = frequent[at] == s
-                    ordered = np.concatenate([s[~common], s[common]])
-                else:
-                    ordered = s
-                n.append(len(s))
-                k1.append(int(mix(s + np.uint64(1)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
-                k2.append(int(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
-                first.append(ordered[: len(s) - needed(len(s)) + 1].tobytes() if len(s) else b"")
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array(first, pa.binary())], ["doc_id", "n", "k1", "k2", "first"])
-
-    return _texts(docs).mapInArrow(run, "doc_id long, n long, k1 long, k2 long, first binary")
-
-
-def _dealt(buckets: int):
-    """Tokens of classes dealt to buckets: packed (token, id) pairs, sorted by token."""
+
+def _dealt(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
+    """The tokens to match, dealt to buckets by their high bits: packed (40 low bits of the token, node) pairs."""
+    shipped = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                rows = batch.slice(at, 2048)
-                ids = rows.column(0).to_numpy()
-                packed = [x.as_buffer() for x in rows.column(1)]
-                tokens = np.frombuffer(b"".join(packed), np.uint64)
-                owner = np.repeat(ids, [x.size // 8 for x in packed])
-                order = np.argsort(tokens, kind="stable")
-                tokens, owner = tokens[order], owner[order]
-                bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                cuts = np.flatnonzero(bucket[1:] != bucket[:-1]) + 1
-                edges = np.concatenate([[0], cuts, [len(tokens)]]) if len(tokens) else np.zeros(1, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(bucket[edges[:-1]], pa.int64()),
-                        pa.array([tokens[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary()),
-                        pa.array([owner[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)], pa.binary()),
-                    ],
-                    ["bucket", "tokens", "ids"],
-                )
-
-    return run
+        for _, raw, offsets in slices(batches, "text"):
+            distinct = {_node(s): s for s in sets(raw, offsets) if len(s)}
+            if not distinct:
+                continue
+            parts = [_matched(s, shipped.value) for s in distinct.values()]
+            tokens = np.concatenate(parts)
+            owner = np.repeat(np.fromiter(distinct, np.int64, len(distinct)), [len(x) for x in parts])
+            order = np.argsort(tokens, kind="stable")
+            tokens, owner = tokens[order], owner[order]
+            bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            edges = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(tokens)]])
+            low, high = tokens.astype(np.uint32), (tokens >> np.uint64(32)).astype(np.uint8)
+            packed = [low[a:b].tobytes() + high[a:b].tobytes() + owner[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]], pa.int64()), pa.array(packed, pa.binary())], ["bucket", "packed"])
+
+    return _texts(docs).filter("doc_id IS NOT NULL").select("text").mapInArrow(run, "bucket long, packed binary")
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by bucket: (list, head, part, members, times) of tokens with two or more classes."""
-    held: list[tuple[bytes, bytes]] = []
+    held: list[bytes] = []
     current = None
     for batch in batches:
-        for bucket, tokens, ids in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+        for bucket, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             if bucket != current and held:
                 yield from _lists(held)
                 held = []
             current = bucket
-            held.append((tokens.as_py(), ids.as_py()))
+            held.append(packed.as_py())
     if held:
         yield from _lists(held)
 
 
-def _lists(held: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
-    tokens = np.frombuffer(b"".join(t for t, _ in held), np.uint64)
-    ids = np.frombuffer(b"".join(i for _, i in held), np.int64)
+def _lists(held: list[bytes]) -> Iterator[pa.RecordBatch]:
+    sizes = [len(x) // 13 for x in held]
+    low = np.concatenate([np.frombuffer(x, np.uint32, n) for x, n in zip(held, sizes, strict=True)])
+    high = np.concatenate([np.frombuffer(x, np.uint8, n, 4 * n) for x, n in zip(held, sizes, strict=True)])
+    ids = np.concatenate([np.frombuffer(x, np.int64, n, 5 * n) for x, n in zip(held, sizes, strict=True)])
+    tokens = (high.astype(np.uint64) << np.uint64(32)) | low
     order = np.lexsort((ids, tokens))
     tokens, ids = tokens[order], ids[order]
+    once = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1])])  # copies met in several slices
+    tokens, ids = tokens[once], ids[once]
     start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
     size = np.diff(np.append(start, len(tokens)))
     key = np.add.reduceat(mix(ids.view(np.uint64)), start)
@@ -172,28 +179,33 @@ def _lists(held: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _chosen(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The texts of the documents in ``ids`` (doc_id); the ids are broadcast only if few."""
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    wanted = ids.select(F.col("doc_id").alias("__gm_id"))
-    return _texts(docs).join(F.broadcast(wanted) if few else wanted, F.col("doc_id") == F.col("__gm_id"), "left_semi")
+def _few(frame: DataFrame) -> DataFrame:
+    """A frame of ids, marked for a broadcast only after a count of its rows."""
+    return F.broadcast(frame) if frame.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else frame
 
 
-def _sets(texts: DataFrame) -> DataFrame:
-    """(doc_id, tokens) with the whole set of each text, sorted."""
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, tokens) with the whole sets of the documents named by ``wanted`` (rep)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, raw, offsets in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([s.view(np.int64) for s in sets(raw, offsets)], _LONGS)], ["doc_id", "tokens"])
+        for _, raw, offsets in slices(batches, "text"):
+            found = [s for s in sets(raw, offsets) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in found], pa.int64()), pa.array([s.view(np.int64) for s in found], _LONGS)], ["node", "tokens"])
+
+    ids = wanted.select(F.col("rep").alias("__gm_id")).distinct()
+    return _texts(docs).join(_few(ids), F.col("doc_id") == F.col("__gm_id"), "left_semi").select("text").mapInArrow(run, "node long, tokens array<bigint>")
+
 
-    return texts.mapInArrow(run, "doc_id long, tokens array<bigint>").dropDuplicates(["doc_id"])
+def _least(a: str, b: str) -> str:
+    """SQL for the number of matched tokens that a linked pair of these sizes shares at least."""
+    return f"greatest(1L, (4 * ({a} + {b}) + 8) div 9 - (4 * greatest({a}, {b}) + 4) div 5 + 1)"
 
 
 def _links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, each document's set compared with its partner's."""
-    left = _sets(_chosen(docs, pairs.select(F.col("a").alias("doc_id")).distinct())).join(pairs, F.col("doc_id") == F.col("a")).select("a", "b", F.col("tokens").alias("x"))
-    right = _sets(_chosen(docs, pairs.select(F.col("b").alias("doc_id")).distinct())).select("doc_id", F.col("tokens").alias("y"))
-    both = left.join(right, F.col("b") == F.col("doc_id"))
+    """The pairs (a, b) that link, out of pairs with a_rep and b_rep; one set is sent to the other."""
+    left = _sets(docs, pairs.select(F.col("a_rep").alias("rep"))).join(_few(pairs.select("a", "b")), F.col("node") == F.col("a")).select("a", "b", F.col("tokens").alias("x"))
+    right = _sets(docs, pairs.select(F.col("b_rep").alias("rep"))).select("node", F.col("tokens").alias("y"))
+    both = left.join(right, F.col("b") == F.col("node"))
     return both.filter(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b")
 
 
@@ -202,9 +214,9 @@ def _opened(key, queries: pa.Table, members: pa.Table) -> pa.Table:
     a, b = [], []
     if queries.num_rows and members.num_rows:
         own = [np.asarray(x.values, np.int64) for x in members.column("tokens")]
-        ids = members.column("doc_id").to_pylist()
+        ids = members.column("node").to_pylist()
         union = np.unique(np.concatenate(own))
-        for query, tokens in zip(queries.column("doc_id").to_pylist(), queries.column("tokens"), strict=True):
+        for query, tokens in zip(queries.column("node").to_pylist(), queries.column("tokens"), strict=True):
             mine = np.asarray(tokens.values, np.int64)
             at = np.minimum(np.searchsorted(union, mine), len(union) - 1)
             if np.count_nonzero(union[at] == mine) < needed(len(mine)):
@@ -219,77 +231,82 @@ def _opened(key, queries: pa.Table, members: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _group_links(docs: DataFrame, members: DataFrame, groups: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Links between groups that meet in a list.
+def _group_links(docs: DataFrame, members: DataFrame, known: DataFrame) -> DataFrame:
+    """Links between groups that meet in lists often enough.
 
-    ``members`` has (list, doc_id), ``groups`` (doc_id, grp) of all listed
-    documents, ``sizes`` (doc_id, n).
+    ``members`` has (list, times, node), ``known`` (node, n, rep, grp) of all
+    listed classes. The documents of the smaller group ask; a group of many
+    queries is split into crowds, a large group into parts.
     """
-    known = groups.join(sizes, "doc_id")
     span = known.groupBy("grp").agg(F.count(F.lit(1)).alias("docs"), F.min("n").alias("low"), F.max("n").alias("high"))
-    listed = members.join(known, "doc_id").join(span, "grp")
+    listed = members.join(known, "node").join(span, "grp").select("list", "times", "node", "n", "grp", "docs", "low", "high")
     met = listed.select("list", F.col("grp").alias("g"), F.col("docs").alias("g_docs"), F.col("low").alias("g_low"), F.col("high").alias("g_high")).distinct()
     several = met.groupBy("list").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("list")
     met = met.join(several, "list", "left_semi")
     asked = (
         listed.join(several, "list", "left_semi").join(met, "list")
         .filter("grp <> g AND (docs < g_docs OR (docs = g_docs AND grp < g)) AND 5 * n >= 4 * g_low AND 4 * n <= 5 * g_high")
-        .select("doc_id", "g", "g_docs").distinct()
+        .groupBy("node", "g", "n", "g_docs", "g_low", "g_high").agg(F.sum("times").alias("times"))
+        .withColumn("lo", F.expr("greatest(g_low, (4 * n + 4) div 5)")).withColumn("hi", F.expr("least(g_high, (5 * n) div 4)"))
+        .filter(f"times + 2 >= least({_least('n', 'lo')}, {_least('n', 'hi')})")  # two less, for rounding between the ends and for tokens that share their 40 bits
+        .select("node", "g", "g_docs")
     ).checkpoint()
     parts = F.expr(f"(g_docs + {PART - 1}) div {PART}")
-    crowd = asked.groupBy("g").agg(F.count(F.lit(1)).alias("asks"))
-    queries = asked.join(crowd, "g").select("doc_id", "g", F.expr("pmod(xxhash64(doc_id), (asks + 255) div 256)").alias("crowd"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
-    held = groups.join(asked.groupBy("g").agg(F.max("g_docs").alias("g_docs")).join(crowd, "g"), F.col("grp") == F.col("g"))
-    held = held.select("doc_id", "g", F.explode(F.expr("sequence(0L, (asks + 255) div 256 - 1)")).alias("crowd"), F.pmod(F.xxhash64("doc_id"), parts).alias("part"))
-    ids = queries.select("doc_id").union(held.select("doc_id")).distinct()
-    whole = _sets(_chosen(docs, ids)).checkpoint()
+    crowd = asked.groupBy("g").agg(F.count(F.lit(1)).alias("asks"), F.max("g_docs").alias("g_docs"))
+    queries = asked.select("node", "g").join(crowd, "g").select("node", "g", F.expr("pmod(xxhash64(node), (asks + 255) div 256)").alias("crowd"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    held = known.select("node", "grp").join(crowd, F.col("grp") == F.col("g")).select("node", "g", F.explode(F.expr("sequence(0L, (asks + 255) div 256 - 1)")).alias("crowd"), F.pmod(F.xxhash64("node"), parts).alias("part"))
+    queries, held = queries.checkpoint(), held.checkpoint()
+    reps = known.select("node", "rep")
     key = ["g", "crowd", "part"]
-    fresh = [F.col(c).alias(c) for c in (*key, "doc_id", "tokens")]  # new columns, so that the two sides differ
-    left = queries.join(whole, "doc_id").select(*fresh).groupBy(*key)
-    right = held.join(whole, "doc_id").select(*fresh).groupBy(*key)
-    return left.cogroup(right).applyInArrow(_opened, "a long, b long")
 
+    def side(rows: DataFrame):
+        tokens = _sets(docs, rows.select("node").distinct().join(reps, "node")).withColumnRenamed("node", "__gm_node")
+        return tokens.join(_few(rows), F.col("__gm_node") == F.col("node")).select(*key, "node", "tokens").groupBy(*key)
 
-def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(documents with n, k1, k2 and packed tokens, one row per class with its smallest id)."""
-    signed = _signed(docs, frequent_tokens(docs)).checkpoint()
-    reps = signed.filter("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"), F.first("first").alias("first"))
-    return signed.select("doc_id", "n", "k1", "k2"), reps
+    return side(queries).cogroup(side(held)).applyInArrow(_opened, "a long, b long")
 
 
-def links(docs: DataFrame, reps: DataFrame) -> DataFrame:
+def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """(doc_id, n, node) of all rows, (node, n, rep) of all classes, and the common tokens."""
+    scanned = _texts(docs).mapInArrow(_scanned, "doc_id long, n long, node long, token long, docs long").checkpoint()
+    named = scanned.filter("token IS NULL").select("doc_id", "n", "node")
+    reps = named.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("rep"))
+    return named, reps, _common(scanned)
+
+
+def links(docs: DataFrame, reps: DataFrame, common: np.ndarray) -> DataFrame:
     """Links (a, b) between classes, enough to connect every linked pair."""
-    spark = docs.sparkSession
-    named = reps.filter("rep IS NOT NULL")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = named.select("rep", "first").mapInArrow(_dealt(16 * partitions), "bucket long, tokens binary, ids binary")
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = _dealt(docs, common, 16 * partitions)
     found = dealt.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(_listed, "list long, head long, part int, members array<bigint>, times long")
     lists = found.groupBy("list", "part").agg(F.first("head").alias("head"), F.first("members").alias("members"), F.sum("times").alias("times"))
-    members = lists.select("list", "head", "times", F.explode("members").alias("doc_id")).checkpoint()
-    sizes = named.select(F.col("rep").alias("doc_id"), "n")
-    listed = members.select("doc_id").distinct()
-    sizes = sizes.join(listed, "doc_id", "left_semi").checkpoint()
-    heads = sizes.select(F.col("doc_id").alias("head"), F.col("n").alias("h"))
-    stars = (
-        members.filter("doc_id <> head").groupBy("doc_id", "head").agg(F.sum("times").alias("times"))
-        .join(sizes, "doc_id").join(heads, "head").filter("5 * least(n, h) >= 4 * greatest(n, h)")
-        .groupBy("doc_id").agg(F.max_by("head", F.struct("times", -F.col("head"))).alias("b"))
-    )
-    first = _links(docs, stars.select(F.col("doc_id").alias("a"), "b").checkpoint()).checkpoint()
-    labels = components(first)
-    groups = sizes.join(labels, F.col("doc_id") == F.col("node"), "left").select("doc_id", F.coalesce("label", "doc_id").alias("grp")).checkpoint()
-    more = _group_links(docs, members.select("list", "doc_id"), groups, sizes)
+    members = lists.select("list", "head", "times", F.explode("members").alias("node")).checkpoint()
+    known = reps.join(members.select("node").distinct(), "node", "left_semi").checkpoint()
+    heads = known.select(F.col("node").alias("head"), F.col("n").alias("h"), F.col("rep").alias("h_rep"))
+    pairs = (
+        members.filter("node <> head").groupBy("node", "head").agg(F.sum("times").alias("times"))
+        .join(known, "node").join(heads, "head").filter(f"5 * least(n, h) >= 4 * greatest(n, h) AND times >= {_least('n', 'h')}")
+        .groupBy(F.col("node").alias("a"), F.col("rep").alias("a_rep")).agg(F.max_by(F.struct("head", "h_rep"), F.struct("times", -F.col("head"))).alias("best"))
+        .select("a", "a_rep", F.col("best.head").alias("b"), F.col("best.h_rep").alias("b_rep"))
+    ).checkpoint()
+    first = _links(docs, pairs).checkpoint()
+    labels = components(first).withColumnRenamed("node", "__gm_node")
+    grouped = known.join(labels, F.col("node") == F.col("__gm_node"), "left").select("node", "n", "rep", F.coalesce("label", "node").alias("grp")).checkpoint()
+    more = _group_links(docs, members.select("list", "times", "node"), grouped)
     return first.union(more).checkpoint()
 
 
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
     ensure_checkpoint_dir(docs.sparkSession)
-    signed, reps = classes(docs)
-    labels = components(links(docs, reps))
-    named = reps.select("k1", "k2", "n", "rep").join(labels, F.col("rep") == F.col("node"), "left").select("k1", "k2", "n", F.coalesce("label", "rep").alias("component_id"))
-    joined = signed.join(named, ["k1", "k2", "n"], "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    named, reps, common = classes(docs)
+    labels = components(links(docs, reps, common)).withColumnRenamed("node", "__gm_node")
+    linked = reps.join(labels, F.col("node") == F.col("__gm_node")).select("node", "rep", "label").checkpoint()
+    smallest = linked.groupBy(F.col("label").alias("l")).agg(F.min("rep").alias("component_id"))
+    of = linked.join(smallest, F.col("label") == F.col("l")).select(F.col("node").alias("c"), "component_id")
+    alone = reps.select(F.col("node").alias("m"), "rep")
+    joined = named.join(alone, F.col("node") == F.col("m"), "left").join(of, F.col("node") == F.col("c"), "left")
+    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -301,8 +318,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(docs.sparkSession)
     found = join(docs).checkpoint()
     drop = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gm_id")).distinct()
-    few = drop.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    kept = docs.join(F.broadcast(drop) if few else drop, F.col("doc_id") == F.col("__gm_id"), "left_anti")
+    kept = docs.join(_few(drop), F.col("doc_id") == F.col("__gm_id"), "left_anti")
     twice = found.filter("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("doc_id").alias("__gm_id")).checkpoint()
     if twice.isEmpty():
         return kept
