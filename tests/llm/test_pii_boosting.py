@@ -1,0 +1,70 @@
+import re
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from gleanmill.llm import pii_boosting as pii
+from tests.llm.conftest import rows
+
+PATTERNS = (
+    r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    r"[0-9]([\x20-]?[0-9])+",
+    r"\+[0-9][\x20().0-9-]+[0-9]",
+)
+
+
+def brute(text):
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    tests = (
+        lambda s: True,
+        lambda s: all(int(p) <= 255 for p in s.split(".")),
+        lambda s: 12 <= len(digits(s)) <= 19 and pii.luhn(digits(s)),
+        lambda s: 9 <= len(digits(s)) <= 15,
+    )
+    return sorted((m.start(), k, m.end()) for k, p in enumerate(PATTERNS) for m in re.finditer(p, text) if tests[k](m[0]))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(st.sampled_from("ab.@-+ 012.5()é1"), max_size=60))
+def test_base_spans(text):
+    assert pii.base_spans(text) == brute(text)
+
+
+def test_long_texts_take_linear_time():
+    for text in ("a" * 400000, "1" * 400000, "1." * 200000, "@" * 200000, "+1 " * 100000, "a.b@" * 80000):
+        pii.spans_of([text], pii.trained())
+
+
+def test_held_out_precision():
+    model = pii.trained()
+    x, y = pii.examples(2000, seed=99)
+    score = model.score(x)
+    chosen = score >= np.array(model.thresholds)[x[:, 0].astype(int)]
+    assert y[chosen].mean() > 0.97 and chosen[y == 1].mean() > 0.9
+
+
+def test_added_spans_never_touch_base_spans():
+    text = "call (826) 555-4081 or mail joe (at) site (dot) org; host 1.2.3.4; 7536784127813050 4845168114407329; version 1.2.3"
+    spans = pii.spans_of([text], pii.trained())[0]
+    base = [s for s in spans if s[3]]
+    assert [s[:3] for s in base] == brute(text)
+    added = [s for s in spans if not s[3]]
+    assert {text[a:e] for a, _, e, _, _ in added} >= {"(826) 555-4081", "joe (at) site (dot) org"}
+    assert all(e <= b[0] or a >= b[2] for a, _, e, _, _ in added for b in base)
+
+
+def test_documents(spark, edge, empty):
+    found = pii.find(edge).collect()
+    assert len(found) == len(rows())
+    texts = {r[0]: r[1] or "" for r in rows()}
+    for r in found:
+        assert sorted((s.start, pii.KINDS.index(s.kind), s.end) for s in r.spans if s.base) == brute(texts[r.doc_id])
+    assert pii.find(empty).count() == 0 and pii.redact(empty).columns == empty.columns
+    clean = pii.redact(edge)
+    assert clean.columns == edge.columns and clean.count() == edge.count()
+    nine = clean.filter("doc_id = 9").first().text
+    assert "[EMAIL]" in nine and "[PHONE]" in nine and "[IP]" in nine and "[CARD]" in nine and not brute(nine)
+    assert clean.filter(F.col("text").isNull()).count() == 1
