@@ -43,12 +43,24 @@ def dedupe_ranked(rows: DataFrame, url: str, pos: str) -> DataFrame:
     return numbered(keep_first(keyed, F.col("url_key"), pos), pos, "rank")
 
 
+def mark_first(rows: DataFrame, key: str, pos: str, name: str) -> DataFrame:
+    """A flag for the row of each key with its smallest position (positions are unique).
+
+    The smallest positions are combined before the shuffle and joined back, so
+    that a key with a large share of the rows can be split over tasks.
+    """
+    first = rows.groupBy(F.col(key).alias("__gm_k")).agg(F.min(pos).alias("__gm_first"))
+    return rows.join(first, F.col(key) == F.col("__gm_k")).withColumn(name, F.col(pos) == F.col("__gm_first")).drop("__gm_k", "__gm_first")
+
+
 def exclude_then_dedupe(rows: DataFrame, url: str, pos: str) -> DataFrame:
-    """Every row with an outcome: excluded, duplicate or kept; excluded rows are told before duplicates."""
-    marked = rows.withColumn("url_key", urls.canonical(F.col(url))).filter("url_key <> ''").withColumn("__gm_x", urls.excluded(F.col("url_key")))
-    order = Window.partitionBy("url_key", "__gm_x").orderBy(pos)
-    outcome = F.when(F.col("__gm_x"), F.lit("excluded")).when(F.row_number().over(order) > 1, F.lit("duplicate")).otherwise(F.lit("kept"))
-    return marked.withColumn("outcome", outcome).drop("__gm_x")
+    """Every row with an outcome: excluded, duplicate or kept; excluded rows are told before duplicates.
+
+    Whether a row is excluded depends on its key alone, so equal keys share it.
+    """
+    marked = mark_first(rows.withColumn("url_key", urls.canonical(F.col(url))).filter("url_key <> ''"), "url_key", pos, "__gm_one")
+    outcome = F.when(urls.excluded(F.col("url_key")), F.lit("excluded")).when(F.col("__gm_one"), F.lit("kept")).otherwise(F.lit("duplicate"))
+    return marked.withColumn("outcome", outcome).drop("__gm_one")
 
 
 def unseen(rows: DataFrame, key: str, *histories: DataFrame) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanmill.functions import classify, dates, text, urls
 from gleanmill.functions import constants as C
+from gleanmill.operators.setops import mark_first
 
 FUNNEL = ["excluded", "duplicate", "download_error", "other_skipped", "pdf_saved", "rejected_topic", "rejected_short", "rejected_no_date", "rejected_old", "rejected_judge", "html_saved"]
 SCORER = ["kept", "rejected_structure", "rejected_score", "missing_blob"]
@@ -28,17 +29,16 @@ def html_outcome(on_topic: Column, words: Column, year: Column, interesting: Col
 
 def topic_funnel(rows: DataFrame) -> DataFrame:
     """Outcome of search results with their fetched values (pos, url, code, kind, year, on_topic, words, interesting)."""
-    keyed = rows.withColumn("url_key", urls.canonical(F.col("url"))).filter("url_key <> ''").withColumn("__gm_x", urls.excluded(F.col("url_key")))
-    nth = F.row_number().over(Window.partitionBy("url_key", "__gm_x").orderBy("pos"))
+    keyed = mark_first(rows.withColumn("url_key", urls.canonical(F.col("url"))).filter("url_key <> ''"), "url_key", "pos", "__gm_one")
     outcome = (
-        F.when(F.col("__gm_x"), F.lit("excluded"))
-        .when(nth > 1, F.lit("duplicate"))
+        F.when(urls.excluded(F.col("url_key")), F.lit("excluded"))
+        .when(~F.col("__gm_one"), F.lit("duplicate"))
         .when(F.col("code").isNull() | (F.col("code") >= 400), F.lit("download_error"))
         .when(F.col("kind") == "pdf", F.lit("pdf_saved"))
         .when(F.col("kind") != "html", F.lit("other_skipped"))
         .otherwise(html_outcome(F.col("on_topic"), F.col("words"), F.col("year"), F.col("interesting")))
     )
-    return keyed.withColumn("outcome", outcome).drop("__gm_x")
+    return keyed.withColumn("outcome", outcome).drop("__gm_one")
 
 
 def score_pages(pages: DataFrame, keywords: list[str], threshold: float = C.MIN_SCORE) -> DataFrame:
