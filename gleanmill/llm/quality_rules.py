@@ -50,7 +50,7 @@ RULES = (
     Rule("word_length", "1.0D * word_chars / n_words", tuple(float(x) for x in (6, 7, 8, 9, 10, 12, 15, 20, 30))),
 )
 
-ALPHA = 0.04
+ALPHA = 0.02
 DELTA = 0.05
 MIN_WORDS = 50
 
