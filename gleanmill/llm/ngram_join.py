@@ -55,6 +55,8 @@ PART = 64
 #: Ids of at most so many documents are broadcast to filter the texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 CHUNK = 512
+#: Bytes of text hashed at a time; the arrays take some forty times as much.
+SLICE = 7 << 18
 _LONGS = pa.list_(pa.int64())
 
 
@@ -74,7 +76,7 @@ def _node(s: np.ndarray) -> int | None:
 
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Two kinds of rows: (doc_id, n, node) of each text, and (token, docs) for tokens in three or more sets of a slice."""
-    for rows, raw, offsets in slices(batches, "text"):
+    for rows, raw, offsets in slices(batches, "text", SLICE):
         every = list(sets(raw, offsets))
         nodes = [_node(s) for s in every]
         n, distinct = len(every), list({k: s for k, s in zip(nodes, every, strict=True) if k is not None}.values())
@@ -114,7 +116,7 @@ def _dealt(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, raw, offsets in slices(batches, "text"):
+        for _, raw, offsets in slices(batches, "text", SLICE):
             distinct = {_node(s): s for s in sets(raw, offsets) if len(s)}
             if not distinct:
                 continue
@@ -133,7 +135,7 @@ def _dealt(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by bucket: (list, head, part, members, times) of tokens with two or more classes."""
+    """From rows sorted by bucket: (list, size, part, members, times) of tokens with two or more classes."""
     held: list[bytes] = []
     current = None
     for batch in batches:
@@ -163,19 +165,19 @@ def _lists(held: list[bytes]) -> Iterator[pa.RecordBatch]:
     shared = size > 1
     start, size, key = start[shared], size[shared], key[shared]
     _, first, times = np.unique(key, return_index=True, return_counts=True)
-    names, heads, parts, members, counts = [], [], [], [], []
+    names, wholes, parts, members, counts = [], [], [], [], []
     for i, many in zip(first.tolist(), times.tolist(), strict=True):
         whole = ids[start[i] : start[i] + size[i]]
         for part in range(0, len(whole), CHUNK):
             names.append(int(key[i].view(np.int64)))
-            heads.append(int(whole[0]))
+            wholes.append(len(whole))
             parts.append(part // CHUNK)
             members.append(whole[part : part + CHUNK])
             counts.append(many)
     if names:
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.int64()), pa.array(heads, pa.int64()), pa.array(parts, pa.int32()), pa.array(members, _LONGS), pa.array(counts, pa.int64())],
-            ["list", "head", "part", "members", "times"],
+            [pa.array(names, pa.int64()), pa.array(wholes, pa.int64()), pa.array(parts, pa.int32()), pa.array(members, _LONGS), pa.array(counts, pa.int64())],
+            ["list", "size", "part", "members", "times"],
         )
 
 
@@ -188,7 +190,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, tokens) with the whole sets of the documents named by ``wanted`` (rep)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, raw, offsets in slices(batches, "text"):
+        for _, raw, offsets in slices(batches, "text", SLICE):
             found = [s for s in sets(raw, offsets) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in found], pa.int64()), pa.array([s.view(np.int64) for s in found], _LONGS)], ["node", "tokens"])
 
@@ -278,13 +280,16 @@ def links(docs: DataFrame, reps: DataFrame, common: np.ndarray) -> DataFrame:
     """Links (a, b) between classes, enough to connect every linked pair."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = _dealt(docs, common, 16 * partitions)
-    found = dealt.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(_listed, "list long, head long, part int, members array<bigint>, times long")
-    lists = found.groupBy("list", "part").agg(F.first("head").alias("head"), F.first("members").alias("members"), F.sum("times").alias("times"))
-    members = lists.select("list", "head", "times", F.explode("members").alias("node")).checkpoint()
+    found = dealt.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(_listed, "list long, size long, part int, members array<bigint>, times long")
+    lists = found.groupBy("list", "part").agg(F.first("size").alias("size"), F.first("members").alias("members"), F.sum("times").alias("times"))
+    members = lists.select("list", "size", "times", F.explode("members").alias("node")).checkpoint()
     known = reps.join(members.select("node").distinct(), "node", "left_semi").checkpoint()
     heads = known.select(F.col("node").alias("head"), F.col("n").alias("h"), F.col("rep").alias("h_rep"))
+    # The head of a list is its member that meets most others: the text that a family of near copies was made from.
+    met = members.groupBy("node").agg(F.sum(F.col("times") * F.col("size")).alias("meets"))
+    headed = members.join(met, "node").groupBy("list", "times").agg(F.max_by("node", F.struct("meets", "node")).alias("head"))
     pairs = (
-        members.filter("node <> head").groupBy("node", "head").agg(F.sum("times").alias("times"))
+        members.join(headed.select("list", "head"), "list").filter("node <> head").groupBy("node", "head").agg(F.sum("times").alias("times"))
         .join(known, "node").join(heads, "head").filter(f"5 * least(n, h) >= 4 * greatest(n, h) AND times >= {_least('n', 'h')}")
         .groupBy(F.col("node").alias("a"), F.col("rep").alias("a_rep")).agg(F.max_by(F.struct("head", "h_rep"), F.struct("times", -F.col("head"))).alias("best"))
         .select("a", "a_rep", F.col("best.head").alias("b"), F.col("best.h_rep").alias("b_rep"))
