@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from gleanmill.llm.arrow_text import slices
 from gleanmill.session import table
 
-MEMORY_WORDS = 300_000
+MEMORY_WORDS = 200_000
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
@@ -94,15 +94,21 @@ def word_starts(points: np.ndarray, docs: np.ndarray, of: np.ndarray) -> np.ndar
     return np.flatnonzero(start)
 
 
+def tokens_of(content: bytes) -> list[bytes]:
+    """The token of each rank."""
+    pairs = [line.split() for line in content.splitlines() if line.strip()]
+    tokens = [b""] * (max(int(b) for _, b in pairs) + 1)
+    for a, b in pairs:
+        tokens[int(b)] = base64.b64decode(a)
+    return tokens
+
+
 class Vocabulary:
     """Ranks of a rank file, its pairs, and the words seen so far."""
 
     def __init__(self, content: bytes) -> None:
-        self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in content.splitlines() if line.strip())}
+        self.ranks = {token: rank for rank, token in enumerate(tokens_of(content)) if token}
         self.size = max(self.ranks.values()) + 1
-        self.tokens: list[bytes] = [b""] * self.size
-        for token, rank in self.ranks.items():
-            self.tokens[rank] = token
         self.single = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
         if (self.single < 0).any():
             raise ValueError("a byte-level vocabulary needs all 256 single bytes")
@@ -304,6 +310,7 @@ def encode(docs: DataFrame, path: str | None = None, with_ids: bool = True) -> D
                 packed = ids.astype("<u4")
                 columns.append(pa.array([packed[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids"][: len(columns)])
+        words.forget()  # an idle worker keeps no words
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_tokens long" + ", ids binary" * with_ids)
 
@@ -313,7 +320,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
     content = encoded.sparkSession.sparkContext.broadcast(_content(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = vocabulary(content.value).tokens.__getitem__
+        token = tokens_of(content.value).__getitem__
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 rows = batch.slice(start, 256)

@@ -20,7 +20,6 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, *range(0x09, 0x0E)]] = True
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,13 +30,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    have = _POWERS.get(0)
-    if have is None or len(have[0]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
-        up = np.cumprod(np.full(size, _BASE, np.uint64))
-        down = np.cumprod(np.full(size, _INVERSE, np.uint64))
-        _POWERS[0] = have = (up, down)
-    return have[0][:n], have[1][:n]
+    """Powers of the base and of its inverse; made anew, for idle workers would keep them."""
+    return np.cumprod(np.full(n, _BASE, np.uint64)), np.cumprod(np.full(n, _INVERSE, np.uint64))
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
