@@ -156,7 +156,12 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
 
 def measured(docs: DataFrame, stratum: str = "lang") -> DataFrame:
     """doc_id, stratum and the base measurements of every row; the text goes no further."""
-    return docs.select("doc_id", _stratum(stratum).alias("stratum"), measurements(F.col("text")).alias("m")).select("doc_id", "stratum", "m.*")
+    return docs.select("doc_id", _stratum(stratum).alias("stratum"), _once(measurements(F.col("text"))).alias("m")).select("doc_id", "stratum", "m.*")
+
+
+def _once(value: Column) -> Column:
+    """A generator of one row: filters and fields above it don't pull the expression up and evaluate it again."""
+    return F.explode(F.array(value))
 
 
 def _stratum(column: str) -> Column:
@@ -210,7 +215,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: f
     ensure_checkpoint_dir(docs.sparkSession)
     cuts = certified_cutoffs(measured(docs, stratum), labels, alpha, delta, rules)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    rows = docs.select(whole.alias("__gm_row"), _stratum(stratum).alias("stratum"), measurements(F.col("text")).alias("m")).select("__gm_row", "stratum", "m.*")
+    rows = docs.select(whole.alias("__gm_row"), _stratum(stratum).alias("stratum"), _once(measurements(F.col("text"))).alias("m")).select("__gm_row", "stratum", "m.*")
     return verdicts(rows, cuts, rules).filter("kept").select("__gm_row.*")
 
 
