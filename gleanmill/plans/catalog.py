@@ -416,6 +416,13 @@ def state_antijoin_events(spark, d):
     return setops.unseen(events, "user_id", events.filter("event_id < 1000")).select("event_id")
 
 
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey IS NOT NULL)")
+def state_antijoin_orders(spark, d):
+    """The whole of a history that grows with the input: orders of which no line was returned."""
+    returned = table(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+    return setops.unseen(table(spark, d, "orders"), "o_orderkey", returned).select("o_orderkey")
+
+
 @query(f"SELECT url FROM ({X.FRONTIER}) WHERE url IN (SELECT url FROM ({X.STATE}))")
 def seen_semijoin(spark, d):
     return setops.seen(X.fixture(spark, X.FRONTIER), "url", X.fixture(spark, X.STATE))
@@ -470,6 +477,12 @@ def global_numbers(spark, d):
     return setops.numbered(_docs(spark, d).filter("lang = 'en'").select("doc_id"), "doc_id")
 
 
+@query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n FROM documents")
+def global_numbers_all(spark, d):
+    """Numbers of all documents, whatever their language."""
+    return setops.numbered(_docs(spark, d).select("doc_id"), "doc_id")
+
+
 @query("""SELECT p.place, p.name, coalesce(d.tel, 'phone vide') AS tel, coalesce(d.mail, 'mail vide') AS mail FROM (VALUES ('Lyon', 'Dupont'), ('Paris', 'Martin'), ('Nice', 'Durand')) AS p(place, name)
  LEFT JOIN (VALUES ('Lyon', 'Dupont', '01 02', 'a@x.test'), ('Paris', 'Martin', NULL, NULL)) AS d(place, name, tel, mail) USING (place, name)""")
 def lookup_enrich(spark, d):
@@ -555,3 +568,9 @@ def admitted(spark, d):
 def string_agg(spark, d):
     rows = _docs(spark, d).filter("n_chars < 200")
     return rows.groupBy("source").agg(F.expr("listagg(CAST(doc_id AS STRING), ', ') WITHIN GROUP (ORDER BY doc_id)").alias("docs"))
+
+
+@query("SELECT source, string_agg(doc_id::VARCHAR, ', ' ORDER BY doc_id) AS docs FROM documents GROUP BY source")
+def string_agg_all(spark, d):
+    """The lists of all documents, that of the hot source included."""
+    return _docs(spark, d).groupBy("source").agg(F.expr("listagg(CAST(doc_id AS STRING), ', ') WITHIN GROUP (ORDER BY doc_id)").alias("docs"))
