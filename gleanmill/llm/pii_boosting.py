@@ -85,9 +85,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-_MARKED = re.compile(r"[\[( ]dot[\]) ]|[\[(]at[\])]", re.I)
+#: Every match of the generator of addresses has one of these.
+_AT = re.compile(r"@|[\[(]at[\])]|\sat\s", re.I)
 _GENERATORS = (
-    (0, _MARKED, re.compile(r"[A-Za-z0-9._%+-]{1,64}\s?(?:\(at\)|\[at\]|@|\sat\s)\s?[A-Za-z0-9-]{1,63}(?:\s?(?:\(dot\)|\[dot\]|\.|\sdot\s)\s?[A-Za-z0-9-]{1,63}){1,6}", re.I)),
+    (0, _AT, re.compile(r"[A-Za-z0-9._%+-]{1,64}\s?(?:\(at\)|\[at\]|@|\sat\s)\s?[A-Za-z0-9-]{1,63}(?:\s?(?:\(dot\)|\[dot\]|\.|\sdot\s)\s?[A-Za-z0-9-]{1,63}){1,6}", re.I)),
     (1, re.compile(r"\[\.\]"), re.compile(r"[0-9]{1,3}(?:\[\.\][0-9]{1,3}){3}")),
     (1, re.compile(r"[0-9a-fA-F]:[0-9a-fA-F]"), re.compile(r"(?<![0-9A-Za-z:])(?:[0-9a-fA-F]{1,4}:){5,7}[0-9a-fA-F]{1,4}(?![0-9A-Za-z:])")),
     (2, _DIGIT, re.compile(r"[0-9]{4}(?:[./_ ][0-9]{4}){2}[./_ ][0-9]{1,7}(?![0-9])")),
@@ -164,7 +165,7 @@ def _one(rng: random.Random, kind: int, good: bool) -> str:
     word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvw") for _ in range(rng.randint(2, 8)))
     if kind == 0:
         if good:
-            at, dot = rng.choice(((" (at) ", " (dot) "), ("[at]", "[dot]"), (" at ", " dot "), ("(at)", "."), ("@", " dot "), (" [at] ", ".")))
+            at, dot = rng.choice(((" (at) ", " (dot) "), ("[at]", "[dot]"), (" at ", " dot "), ("(at)", "."), ("@", " dot "), (" [at] ", "."), (" @ ", ".")))
             return f"{word()}{rng.choice(('', '.', '_'))}{word()}{at}{word()}{dot}{rng.choice(('com', 'org', 'net', 'de', 'fr'))}"
         return rng.choice((f"{word()} at {word()}. {word()}", f"{word()} at {word()}.{word()}", f"look at {word()} dot {word()}", f"{word()} at {rng.randint(1, 12)}.{rng.randint(10, 59)}"))
     if kind == 1:

@@ -68,3 +68,13 @@ def test_documents(spark, edge, empty):
     nine = clean.filter("doc_id = 9").first().text
     assert "[EMAIL]" in nine and "[PHONE]" in nine and "[IP]" in nine and "[CARD]" in nine and not brute(nine)
     assert clean.filter(F.col("text").isNull()).count() == 1
+
+
+def test_candidates_do_not_depend_on_other_text():
+    other = "; or ann [at] site [dot] org"
+    for text in ("write to john.doe at example.com today", "mail john.doe @ example.com now", "JOHN AT SITE.ORG", "we met at noon.then left"):
+        alone, more = pii.candidates(text, pii.base_spans(text)), pii.candidates(text + other, pii.base_spans(text + other))
+        assert alone and alone == [c for c in more if c[2] <= len(text)]
+    found = pii.redacted("mail john.doe @ example.com now", pii.spans_of(["mail john.doe @ example.com now"], pii.trained())[0])
+    assert found == "mail [EMAIL] now"
+    assert pii.spans_of(["we met at noon.then left"], pii.trained()) == [[]]
