@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import mimetypes
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,9 +14,11 @@ from gleanmill.functions import dates, text, urls
 
 def reject_reason(html: Column, kind: Column | None = None) -> Column:
     """Why a page is no article, null if it is one; files that are not HTML always are."""
-    words = text.blank_count(text.page_text(html, C.SCORER_TAGS))
-    mean = text.mean_paragraph(html)
-    reason = F.when(words < C.MIN_WORDS_PAGE, F.concat(F.lit("trop court ("), words.cast("string"), F.lit(f" mots < {C.MIN_WORDS_PAGE})"))).when(mean < C.MIN_WORDS_PARAGRAPH, F.lit("paragraphes trop courts"))
+    short, thin = C.REASON_SHORT, C.REASON_THIN
+    reason = text.let(
+        text.blank_count(text.page_text(html, C.SCORER_TAGS)),
+        lambda words: F.when(words < C.MIN_WORDS_PAGE, F.concat(F.lit(short[0]), words.cast("string"), F.lit(short[1].format(C.MIN_WORDS_PAGE)))).when(text.mean_paragraph(html) < C.MIN_WORDS_PARAGRAPH, F.lit(thin)),
+    )
     return reason if kind is None else F.when(kind == "html", reason)
 
 
@@ -44,17 +49,6 @@ def is_news(html: Column, url: Column, pattern: Column | None = None) -> Column:
     return scored if pattern is None else F.coalesce(F.regexp_like(url, F.concat(F.lit("(?i)"), pattern)), scored)
 
 
-def obstacle(html: Column) -> Column:
-    """block, captcha, login or consent for a page that stands in the way, else null."""
-    low = F.lower(F.coalesce(html, F.lit("")))
-    return (
-        F.when(urls.any_of(low, C.BLOCK_SIGNS), F.lit("block"))
-        .when(urls.any_of(low, C.CAPTCHA_SIGNS), F.lit("captcha"))
-        .when(urls.any_of(low, C.LOGIN_SIGNS), F.lit("login"))
-        .when(urls.any_of(text.scorer_text(html), C.CONSENT_SIGNS), F.lit("consent"))
-    )
-
-
 def is_block(html: Column) -> Column:
     return urls.any_of(F.lower(F.coalesce(html, F.lit(""))), C.BLOCK_SIGNS)
 
@@ -72,6 +66,11 @@ def is_consent(html: Column) -> Column:
     return urls.any_of(plain, C.CONSENT_SIGNS)
 
 
+def obstacle(html: Column) -> Column:
+    """block, captcha, login or consent for a page that stands in the way, else null."""
+    return F.when(is_block(html), F.lit("block")).when(is_captcha(html), F.lit("captcha")).when(is_login_wall(html), F.lit("login")).when(is_consent(html), F.lit("consent"))
+
+
 def is_listing(n_links: Column) -> Column:
     return n_links >= C.MIN_LISTING_LINKS
 
@@ -101,10 +100,17 @@ def content_kind(url: Column, content_type: Column, content: Column) -> Column:
     )
 
 
+@functools.cache
+def standard_suffixes() -> dict[str, str]:
+    """The usual suffix of every media type that the standard library knows, whatever files the machine has."""
+    known = mimetypes.MimeTypes(filenames=())
+    return {kind: found for kind in sorted(set(known.types_map[True].values())) if (found := known.guess_extension(kind))}
+
+
 def guess_suffix(content_type: Column, url: Column) -> Column:
-    """File suffix of a media type, else that of the URL if short, else ``.bin``."""
+    """File suffix of a media type, by the own table and then by the standard one, else that of the URL if short, else ``.bin``."""
     kind = F.lower(F.trim(F.split_part(F.coalesce(content_type, F.lit("")), F.lit(";"), F.lit(1))))
-    table = F.create_map(*[F.lit(x) for pair in C.MEDIA_SUFFIXES.items() for x in pair])
+    table = F.create_map(*[F.lit(x) for pair in (standard_suffixes() | C.MEDIA_SUFFIXES).items() for x in pair])
     own = urls.suffix(url)
     return F.coalesce(F.try_element_at(table, kind), F.when((own != "") & (F.char_length(own) <= 8), own), F.lit(".bin"))
 
@@ -131,4 +137,10 @@ def denied_code(code: Column) -> Column:
 
 
 def size_allowed(content: Column, most: int = C.MAX_FILE_BYTES) -> Column:
-    return F.length(content) <= most
+    """Whether a body is small enough to be kept; none at all is."""
+    return F.coalesce(F.length(content) <= most, F.lit(True))
+
+
+def non_empty_article(title: Column, body: Column) -> Column:
+    """Whether an article has a title or a text."""
+    return (F.coalesce(title, F.lit("")) != "") | (F.coalesce(body, F.lit("")) != "")

@@ -10,12 +10,12 @@ from gleanmill.functions import constants as C
 
 def largest_year(text: Column) -> Column:
     """Largest 20yy that stands as a word."""
-    return F.array_max(F.transform(F.regexp_extract_all(text, F.lit(r"\b(20\d{2})\b"), F.lit(1)), lambda x: x.cast("int")))
+    return F.array_max(F.transform(F.regexp_extract_all(text, F.lit(C.YEAR), F.lit(1)), lambda x: x.cast("int")))
 
 
 def first_year(text: Column) -> Column:
     """First 20yy that stands as a word."""
-    return F.nullif(F.regexp_extract(text, r"\b(20\d{2})\b", 1), F.lit("")).cast("int")
+    return F.nullif(F.regexp_extract(text, C.YEAR, 1), F.lit("")).cast("int")
 
 
 def guarded_year(text: Column, pattern: str = C.DATE_REGEX) -> Column:
@@ -40,21 +40,26 @@ def _json_year(html: Column) -> Column:
     return F.get(F.filter(years, lambda y: y.isNotNull()), F.lit(0))
 
 
-def article_year(html: Column, url: Column, text: Column, site_regex: str | None = None) -> Column:
+def article_year(html: Column, url: Column, text: Column, site_regex: str | None = None, selected: Column | None = None) -> Column:
     """Year of an article; the first place that has one decides.
 
-    Site pattern, JSON-LD dates, published_time, date metas, time element, URL
-    folder, dd/mm/yyyy in the text, any 20yy in the URL.
+    The element that the site's selector names (``selected``, its text) by the
+    site's pattern or the usual one; without a selector the site's pattern in the
+    text; JSON-LD dates, published_time, date metas, time element, URL folder,
+    dd/mm/yyyy in the text, any 20yy in the URL.
     """
-    steps = [guarded_year(text, site_regex)] if site_regex else []
+    if selected is not None:
+        steps = [guarded_year(selected, site_regex or C.DATE_REGEX)]
+    else:
+        steps = [guarded_year(text, site_regex)] if site_regex else []
     steps += [
         _json_year(html),
         first_year(meta(html, "property", "article:published_time")),
         *[first_year(meta(html, "name", n)) for n in C.META_NAMES_LISTING],
         first_year(F.regexp_extract(html, r"""(?is)<time\s[^>]*datetime\s*=\s*["']([^"']*)["']""", 1)),
-        F.nullif(F.regexp_extract(url, r"/(20\d{2})[/\-]", 1), F.lit("")).cast("int"),
+        F.nullif(F.regexp_extract(url, C.YEAR_FOLDER, 1), F.lit("")).cast("int"),
         guarded_year(text),
-        F.nullif(F.regexp_extract(url, r"\b(20\d{2})", 1), F.lit("")).cast("int"),
+        F.nullif(F.regexp_extract(url, C.YEAR_START, 1), F.lit("")).cast("int"),
     ]
     return F.coalesce(*steps)
 

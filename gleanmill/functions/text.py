@@ -2,31 +2,73 @@
 
 from __future__ import annotations
 
+import functools
+import html as standard
+import html.entities
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gleanmill.functions import constants as C
 
-#: Named references that occur in pages; the ampersand comes last.
-_REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+
+def let(value: Column, body) -> Column:
+    """Bind a value once per row: an expression used several times would be evaluated as often."""
+    return F.transform(F.array(value), body)[0]
+
+
+@functools.cache
+def references() -> dict[str, str]:
+    """Sign of each named reference of HTML 4 and of ``apos``."""
+    return {name: chr(code) for name, code in html.entities.name2codepoint.items()} | {"apos": "'"}
+
+
+@functools.cache
+def legacy_codes() -> dict[int, str]:
+    """Numbers 128 to 159 as browsers read them."""
+    return {code: standard.unescape(f"&#{code};") for code in range(128, 160)}
+
+
+def _table(entries: dict) -> Column:
+    return F.create_map(*[F.lit(x) for pair in entries.items() for x in pair])
+
+
+def _sign(name: Column) -> Column:
+    """The sign that a reference stands for, null if it is none."""
+    hexed = F.lower(F.left(name, F.lit(2))) == "#x"
+    code = F.when(hexed, F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 8)).cast("long")
+    point = let(
+        code,
+        lambda c: F.when((c == 0) | (c > 0x10FFFF) | c.between(0xD800, 0xDFFF), F.lit("\ufffd")).otherwise(
+            F.coalesce(F.try_element_at(_table(legacy_codes()), c.cast("int")), F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32"))
+        ),
+    )
+    return F.when(name.startswith("#"), point).otherwise(F.try_element_at(_table(references()), name))
 
 
 def unescape(text: Column) -> Column:
-    for reference, sign in _REFERENCES:
-        text = F.replace(text, F.lit(reference), F.lit(sign))
-    return text
+    """Character references that end in a semicolon, named and numbered, as the signs they stand for."""
+
+    def read(part: Column) -> Column:
+        name = F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
+        told = lambda n: F.concat(F.coalesce(_sign(n), F.concat(F.lit("&"), n, F.lit(";"))), F.substr(part, F.char_length(n) + 2))
+        return let(name, lambda n: F.when(n == "", F.concat(F.lit("&"), part)).otherwise(told(n)))
+
+    return let(text, lambda t: F.when(t.contains("&"), F.array_join(F.transform(F.split(t, "&"), lambda p, i: F.when(i == 0, p).otherwise(read(p))), "")).otherwise(t))
 
 
 def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
+def without(html: Column, drop: list[str]) -> Column:
+    """A page without some elements, in one pass."""
+    return F.regexp_replace(F.coalesce(html, F.lit("")), rf"(?is)<({'|'.join(drop)})\b.*?</\1\s*>", " ")
+
+
 def page_text(html: Column, drop: list[str]) -> Column:
     """Text of a page without the dropped elements, comments and tags, blanks squeezed, references decoded."""
-    out = F.coalesce(html, F.lit(""))
-    for tag in drop:
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b.*?</{tag}\s*>", " ")
-    out = F.regexp_replace(out, r"(?s)<!--.*?-->", " ")
+    out = F.regexp_replace(without(html, drop), r"(?s)<!--.*?-->", " ")
     return squeeze(unescape(F.regexp_replace(out, r"(?s)<[a-zA-Z/!][^>]*>", " ")))
 
 
@@ -36,8 +78,8 @@ def scorer_text(html: Column) -> Column:
 
 
 def topic_text(html: Column) -> Column:
-    """Text for topics; menus and footers stay, case stays."""
-    return page_text(html, C.TOPIC_TAGS)
+    """Text for topics; menus and footers stay, case stays; references are decoded once more."""
+    return squeeze(unescape(page_text(html, C.TOPIC_TAGS)))
 
 
 def bytes_text(content: Column) -> Column:
@@ -51,6 +93,7 @@ def normalise(text: Column) -> Column:
 
 
 def safe(text: Column) -> Column:
+    """A text without blanks around it, empty for null."""
     return F.trim(F.coalesce(text, F.lit("")))
 
 
@@ -62,7 +105,7 @@ def word_count(text: Column) -> Column:
 def blank_count(text: Column) -> Column:
     """Words between blanks; 0 for an empty text."""
     trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)^\s+|\s+$", "")
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, r"(?U)\s+")))
+    return let(trimmed, lambda t: F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, r"(?U)\s+"))))
 
 
 def occurrences(text: Column, term: Column) -> Column:
@@ -103,10 +146,7 @@ def matches_topic(text: Column, groups: list[list[str]]) -> Column:
 
 def paragraphs(html: Column) -> Column:
     """Texts of the non-empty paragraphs outside dropped elements; a paragraph ends where the next begins."""
-    out = F.coalesce(html, F.lit(""))
-    for tag in C.SCORER_TAGS:
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b.*?</{tag}\s*>", " ")
-    parts = F.filter(F.split(out, r"(?i)<p(?:\s[^>]*)?>"), lambda p, i: i > 0)
+    parts = F.filter(F.split(without(html, C.SCORER_TAGS), r"(?i)<p(?:\s[^>]*)?>"), lambda p, i: i > 0)
     inner = F.transform(parts, lambda p: F.regexp_replace(p, r"(?is)</p\s*>.*$", ""))
     texts = F.transform(inner, lambda p: squeeze(unescape(F.regexp_replace(p, r"(?s)<[a-zA-Z/!][^>]*>", " "))))
     return F.filter(texts, lambda t: t != "")
@@ -114,8 +154,11 @@ def paragraphs(html: Column) -> Column:
 
 def mean_paragraph(html: Column) -> Column:
     """Mean number of words of the paragraphs; null without paragraphs."""
-    counts = F.transform(paragraphs(html), blank_count)
-    return F.when(F.size(counts) > 0, F.aggregate(counts, F.lit(0), lambda a, x: a + x) / F.size(counts))
+    return mean_words(paragraphs(html))
+
+
+def mean_words(texts: Column) -> Column:
+    return let(F.transform(texts, blank_count), lambda c: F.when(F.size(c) > 0, F.aggregate(c, F.lit(0), lambda a, x: a + x) / F.size(c)))
 
 
 def preview(html: Column, n: int = 5) -> Column:

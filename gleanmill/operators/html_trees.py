@@ -15,7 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanmill.functions import classify, urls
 from gleanmill.functions import constants as C
+from gleanmill.operators.setops import keep_first
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _SKIP = frozenset("script style noscript template".split())
@@ -121,22 +123,193 @@ def editorial_links(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long"), "url", "html").mapInArrow(run, "page_id long, links array<string>")
 
 
+class Element:
+    """An element with its attributes, children (elements and texts) and parent."""
+
+    __slots__ = ("tag", "attributes", "children", "parent")
+
+    def __init__(self, tag: str, attributes: dict[str, str], parent: Element | None) -> None:
+        self.tag, self.attributes, self.children, self.parent = tag, attributes, [], parent
+
+    @property
+    def classes(self) -> list[str]:
+        return self.attributes.get("class", "").split()
+
+    def walk(self) -> Iterator[Element]:
+        """This element and all below it, in page order."""
+        todo = [self]
+        while todo:
+            element = todo.pop()
+            yield element
+            todo += [c for c in reversed(element.children) if not isinstance(c, str)]
+
+    def text(self, blank: str = " ") -> str:
+        """The texts in it, each trimmed, set apart by ``blank``; scripts and styles say nothing."""
+        parts, todo = [], [self]
+        while todo:
+            x = todo.pop()
+            if isinstance(x, str):
+                parts.append(x.strip())
+            elif x.tag not in _SKIP:
+                todo += reversed(x.children)
+        return blank.join(p for p in parts if p)
+
+
+#: Elements that end an open paragraph, and those that an open paragraph or list item is not looked for beyond.
+_BLOCKS = frozenset("p div ul ol table form article section aside header footer nav h1 h2 h3 h4 h5 h6 blockquote pre figure".split())
+_HOLDERS = ("ul", "ol", "div", "article", "section", "table", "aside", "form", "td")
+
+
+class _Builder(HTMLParser):
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.root = Element("", {}, None)
+        self.at = self.root
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag in _BLOCKS:
+            self._close("p", stop=_HOLDERS)
+        if tag == "li":
+            self._close("li", stop=_HOLDERS)
+        element = Element(tag, {k: v or "" for k, v in attrs}, self.at)
+        self.at.children.append(element)
+        if tag not in _VOID:
+            self.at = element
+
+    def handle_endtag(self, tag: str) -> None:
+        self._close(tag)
+
+    def handle_data(self, data: str) -> None:
+        self.at.children.append(data)
+
+    def _close(self, tag: str, stop: tuple[str, ...] = ()) -> None:
+        element = self.at
+        while element.parent is not None and element.tag not in stop:
+            if element.tag == tag:
+                self.at = element.parent
+                return
+            element = element.parent
+
+
+def dom(html: str | None) -> Element:
+    """The tree of a page."""
+    builder = _Builder()
+    builder.feed(html or "")
+    builder.close()
+    return builder.root
+
+
+_STEP = re.compile(r"([A-Za-z*][A-Za-z0-9-]*)?((?:[.#][\w-]+|\[[^\]]*\])*)")
+_TEST = re.compile(r"([.#])([\w-]+)|\[\s*([\w-]+)\s*(?:([~^$*|]?)=\s*[\"']?([^\"'\]]*)[\"']?)?\s*\]")
+
+
+def _fits(element: Element, step: str) -> bool:
+    m = _STEP.fullmatch(step)
+    if not m or (m[1] and m[1] != "*" and m[1].lower() != element.tag):
+        return False
+    for kind, name, key, how, value in _TEST.findall(m[2]):
+        if kind:
+            ok = name in element.classes if kind == "." else element.attributes.get("id") == name
+        else:
+            own = element.attributes.get(key.lower())
+            ok = own is not None and (not value or {"": own == value, "~": value in own.split(), "^": own.startswith(value), "$": own.endswith(value), "*": value in own, "|": own == value or own.startswith(value + "-")}[how])
+        if not ok:
+            return False
+    return True
+
+
+def select(root: Element, selector: str) -> Iterator[Element]:
+    """Elements that a CSS selector names, in page order: tags, classes, ids, attributes, descendants, children and lists of these."""
+    ways = [re.sub(r"\s*>\s*", " >", w.strip()).split() for w in re.split(r",(?![^\[]*\])", selector) if w.strip()]
+    for element in root.walk():
+        if any(_reached(element, way) for way in ways):
+            yield element
+
+
+def _reached(element: Element, way: list[str]) -> bool:
+    if not _fits(element, way[-1].lstrip(">")):
+        return False
+    states = {(element, len(way) - 1)}
+    while states:
+        upper = set()
+        for at, i in states:
+            if i == 0:
+                return True
+            direct, parent = way[i].startswith(">"), at.parent
+            while parent is not None:
+                if _fits(parent, way[i - 1].lstrip(">")):
+                    upper.add((parent, i - 1))
+                if direct:
+                    break
+                parent = parent.parent
+        states = upper
+    return False
+
+
+def selected(pages: DataFrame) -> DataFrame:
+    """``page_id`` and ``selected``: the text of the first element that the site's ``date_selector`` names, null without one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for html, selector in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                element = next(select(dom(html), selector), None) if selector else None
+                found.append(None if element is None else element.text(""))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["page_id", "selected"])
+
+    return pages.select(F.col("page_id").cast("long"), "html", "date_selector").mapInArrow(run, "page_id long, selected string")
+
+
+#: Parts of a page that are no part of its article.
+_ASIDE = frozenset("nav footer aside form header menu dialog table figure button select".split())
+
+
 def article_of(html: str | None, url: str) -> dict[str, str]:
-    """title, date, authors, description and text; what is missing is empty."""
-    tree = _parse(html)
+    """title, date, authors, description and text; what is missing is empty.
+
+    The text is that of the paragraphs outside menus, headers, footers, sidebars,
+    forms, tables and comments; within the article element if there is one.
+    """
+    root = dom(html)
     tidy = lambda x: " ".join(x.split())
-    first = {}
-    for tag, text in tree.blocks:
-        if tag in ("title", "h1") and tidy(text):
-            first.setdefault(tag, tidy(text))
-    text = "\n".join(t for t in (tidy(x) for tag, x in tree.blocks if tag == "p") if t)
-    meta = lambda *names: next((tree.metas[n] for n in names if tree.metas.get(n)), "")
+    first, metas, held, lines = {}, {}, [], []
+    for element in root.walk():
+        if element.tag == "meta":
+            metas.setdefault((element.attributes.get("property") or element.attributes.get("name") or "").lower(), element.attributes.get("content", ""))
+        elif element.tag in ("title", "h1") and (said := tidy(_said(element))):
+            first.setdefault(element.tag, said)
+        elif element.tag == "article":
+            held.append(element)
+    todo = [held[0] if held else root]
+    while todo:
+        element = todo.pop()
+        if element.tag in _ASIDE or any("comment" in c for c in element.classes):
+            continue
+        if element.tag == "p":
+            lines.append(tidy(_said(element)))
+        else:
+            todo += [c for c in reversed(element.children) if not isinstance(c, str)]
+    meta = lambda *names: next((metas[n] for n in names if metas.get(n)), "")
     return {
         "url": url, "title": first.get("title") or first.get("h1", ""), "date": meta("article:published_time", "date", "pubdate"),
-        "authors": meta("author"), "description": meta("description", "og:description"), "text": text,
+        "authors": meta("author"), "description": meta("description", "og:description"), "text": "\n".join(t for t in lines if t),
     }
 
 
+def _said(element: Element) -> str:
+    """The texts in an element as they stand, line breaks as blanks."""
+    parts, todo = [], [element]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            parts.append(x)
+        elif x.tag == "br":
+            parts.append(" ")
+        elif x.tag not in _SKIP:
+            todo += reversed(x.children)
+    return "".join(parts)
+
+
 def articles(pages: DataFrame) -> DataFrame:
     """page_id and the parts of the article on each page."""
     fields = ("url", "title", "date", "authors", "description", "text")
@@ -150,29 +323,36 @@ def articles(pages: DataFrame) -> DataFrame:
 
 
 def search_results_of(html: str | None) -> list[dict]:
-    """Anchors of result blocks in order: target, title, snippet year; first of each target."""
-    out, seen_targets = [], set()
-    for a in _parse(html).anchors:
-        if "result__a" in a["classes"] or any("result" in c for _, c in a["within"]):
-            target = a["href"]
-            if target and target not in seen_targets and a["text"].strip():
-                seen_targets.add(target)
-                years = re.findall(r"\b(20\d{2})\b", a["text"])
-                out.append({"url": target, "title": " ".join(a["text"].split()), "year": max(map(int, years)) if years else None})
+    """Result blocks in order: the best link of each with its title, the snippet, and the largest year of the whole block."""
+    out = []
+    for block in select(dom(html), ", ".join(f".{c}" for c in C.RESULT_BLOCKS)):
+        link = next((x for wanted in (*(f"a.{c}" for c in C.RESULT_LINKS), "a[href]") for x in select(block, wanted)), None)
+        href = (link.attributes.get("href") or "").strip() if link is not None else ""
+        if not href:
+            continue
+        snippet = next((x.text() for wanted in C.RESULT_SNIPPETS for x in select(block, f".{wanted}")), "")
+        years = [int(y) for y in re.findall(C.YEAR, block.text())]
+        out.append({"href": href, "title": link.text(), "snippet": snippet, "year": max(years, default=None)})
     return out
 
 
 def search_results(pages: DataFrame) -> DataFrame:
-    """page_id, pos, url, title, year: the results on each search page."""
-    schema = "page_id long, pos int, url string, title string, year int"
+    """page_id, pos, url, title, snippet, search_year: the results on each search page.
+
+    Targets are unwrapped from redirects; of results with one normal form the
+    first stays, and those without a normal form go.
+    """
+    schema = "page_id long, pos int, href string, title string, snippet string, search_year int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(p, i, r["url"], r["title"], r["year"]) for p, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for i, r in enumerate(search_results_of(h))]
-            kinds = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["page_id", "pos", "url", "title", "year"])
+            rows = [(p, i, r["href"], r["title"], r["snippet"], r["year"]) for p, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for i, r in enumerate(search_results_of(h))]
+            kinds = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["page_id", "pos", "href", "title", "snippet", "search_year"])
 
-    return pages.select(F.col("page_id").cast("long"), "html").mapInArrow(run, schema)
+    found = pages.select(F.col("page_id").cast("long"), "html").mapInArrow(run, schema)
+    clean = found.withColumn("url", urls.unwrap_any_redirect(F.col("href"))).withColumn("__gm_form", urls.canonical(F.col("url"))).filter("__gm_form <> ''")
+    return keep_first(clean, F.struct("page_id", "__gm_form"), "pos").select("page_id", "pos", "url", "title", "snippet", "search_year")
 
 
 def decode_pages(rows: DataFrame) -> DataFrame:
@@ -213,20 +393,29 @@ def resolve_links(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("id").cast("long"), "link", "base").mapInArrow(run, "id long, resolved string")
 
 
-def interest(rows: DataFrame, judge=None, limit: int = 12000) -> DataFrame:
+#: What a judge is asked; the answer is JSON with one key.
+PROMPT = (
+    "Ce document informe-t-il vraiment son lecteur ? Un texte publicitaire ou vide n'informe pas.\n"
+    'Répondre par {"interessant": true} ou {"interessant": false}, sans rien d\'autre.\n\n'
+)
+
+
+def interest(rows: DataFrame, judge=None, limit: int = C.JUDGE_CHARS) -> DataFrame:
     """``id`` and ``interesting``: an external judge's answer on the first ``limit`` signs; any failure is false.
 
-    ``judge`` maps a list of texts to a list of answers. Without one the stub
-    finds nothing interesting; no call leaves the cluster.
+    ``judge`` maps a list of prompts to a list of answers, which are JSON, whole
+    or wrapped in prose. What can't be read counts as false, as does everything
+    if the judge fails; without a judge no call leaves the cluster.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            prompts = [PROMPT + x for x in batch.column(1).to_pylist()]
             try:
-                answers = [bool(x) for x in judge(texts)] if judge else [False] * len(texts)
+                answers = list(judge(prompts)) if judge else [None] * len(prompts)
             except Exception:  # the judge is foreign code: what it can't decide is not kept
-                answers = [False] * len(texts)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(answers, pa.bool_())], ["id", "interesting"])
+                answers = [None] * len(prompts)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(answers, pa.string())], ["id", "answer"])
 
-    return rows.select(F.col("id").cast("long"), F.left(F.coalesce("text", F.lit("")), F.lit(limit)).alias("text")).mapInArrow(run, "id long, interesting boolean")
+    asked = rows.select(F.col("id").cast("long"), F.left(F.coalesce("text", F.lit("")), F.lit(limit)).alias("text")).mapInArrow(run, "id long, answer string")
+    return asked.select("id", F.coalesce(classify.answer_flag(F.col("answer")), F.lit(False)).alias("interesting"))

@@ -14,21 +14,25 @@ from pyspark.sql import functions as F
 
 from gleanmill.functions import constants as C
 from gleanmill.functions import urls
+from gleanmill.session import ensure_checkpoint_dir
 
 
 def numbered(rows: DataFrame, pos: str, name: str = "n") -> DataFrame:
-    """Consecutive numbers from 1 in the order of ``pos`` (a long), without sorting all rows in one task.
+    """Consecutive numbers from 1 in the order of ``pos``, without sorting all rows in one task.
 
-    Rows are numbered inside spans of 65,536 positions; the offsets are sums
-    over one row per occupied span.
+    A range partitioning by a sample of ``pos`` puts about as many rows into each
+    task, however sparse the positions are; a row's number is its place in its
+    partition plus the rows of the partitions before, of which there is one count
+    each. The sorted rows are checkpointed, so that places and counts agree.
     """
-    spans = rows.withColumn("__gm_p", F.shiftright(F.col(pos).cast("long"), 16))
-    inside = spans.withColumn("__gm_i", F.row_number().over(Window.partitionBy("__gm_p").orderBy(pos)))
+    ensure_checkpoint_dir(rows.sparkSession)
+    placed = rows.repartitionByRange(pos).sortWithinPartitions(pos).withColumn("__gm_at", F.monotonically_increasing_id()).checkpoint()
+    part, place = F.shiftright("__gm_at", 33), F.col("__gm_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("__gm_q")).agg(F.count(F.lit(1)).alias("__gm_c"))
     before = Window.orderBy("__gm_q").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = spans.groupBy(F.col("__gm_p").alias("__gm_q")).agg(F.count(F.lit(1)).alias("__gm_c"))
-    offsets = sizes.select("__gm_q", F.coalesce(F.sum("__gm_c").over(before), F.lit(0)).alias("__gm_o"))
-    joined = inside.join(offsets, F.col("__gm_p").eqNullSafe(F.col("__gm_q")))
-    return joined.withColumn(name, (F.col("__gm_o") + F.col("__gm_i")).cast("long")).drop("__gm_p", "__gm_i", "__gm_q", "__gm_o")
+    offsets = sizes.select("__gm_q", F.coalesce(F.sum("__gm_c").over(before), F.lit(0)).alias("__gm_o"))  # one row per partition
+    joined = placed.join(F.broadcast(offsets), part == F.col("__gm_q"))
+    return joined.withColumn(name, (F.col("__gm_o") + place + 1).cast("long")).drop("__gm_at", "__gm_q", "__gm_o")
 
 
 def keep_first(rows: DataFrame, key: Column, pos: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import html
+import html.entities
+
 from gleanmill.functions import constants as C
 
 
@@ -82,21 +85,32 @@ def squeeze(t: str) -> str:
     return f"trim(regexp_replace({t}, '[\\s\\x0B\\x{{85}}\\x{{A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]+', ' ', 'g'))"
 
 
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_NAMED = "MAP {" + ", ".join(f"{_quoted(n)}: {_quoted(html.unescape(f'&{n};'))}" for n in sorted({*html.entities.name2codepoint, "apos"})) + "}"
+_OLD = "MAP {" + ", ".join(f"{n}: {_quoted(html.unescape(f'&#{n};'))}" for n in range(128, 160)) + "}"
+
+
 def unescape(t: str) -> str:
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        t = f"replace({t}, '{a}', '{b}')"
-    return t
+    name = "regexp_extract(p, '^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});', 1)"
+    code = f"CASE WHEN regexp_matches({name}, '^#[xX]') THEN ('0x' || {name}[3:])::BIGINT WHEN starts_with({name}, '#') THEN {name}[2:]::BIGINT END"
+    point = f"CASE WHEN {code} = 0 OR {code} > 1114111 OR {code} BETWEEN 55296 AND 57343 THEN chr(65533) ELSE coalesce({_OLD}[({code})::INT], chr(({code})::INT)) END"
+    sign = f"CASE WHEN starts_with({name}, '#') THEN {point} ELSE {_NAMED}[{name}] END"
+    part = f"CASE WHEN i = 1 THEN p WHEN {name} = '' THEN '&' || p ELSE coalesce({sign}, '&' || {name} || ';') || p[length({name}) + 2:] END"
+    return f"array_to_string(list_transform(string_split({t}, '&'), lambda p, i: {part}), '')"
 
 
-def without(html: str, drop: list[str]) -> str:
-    out = f"coalesce({html}, '')"
+def without(page: str, drop: list[str]) -> str:
+    out = f"coalesce({page}, '')"
     for tag in drop:
         out = f"regexp_replace({out}, '(?is)<{tag}\\b.*?</{tag}\\s*>', ' ', 'g')"
     return out
 
 
-def page_text(html: str, drop: list[str]) -> str:
-    out = f"regexp_replace({without(html, drop)}, '(?s)<!--.*?-->', ' ', 'g')"
+def page_text(page: str, drop: list[str]) -> str:
+    out = f"regexp_replace({without(page, drop)}, '(?s)<!--.*?-->', ' ', 'g')"
     return squeeze(unescape(f"regexp_replace({out}, '(?s)<[a-zA-Z/!][^>]*>', ' ', 'g')"))
 
 
@@ -108,10 +122,10 @@ def word_count(t: str) -> str:
     return f"coalesce(len(regexp_extract_all({t}, '[\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Pc}}]+')), 0)"
 
 
-def paragraphs(html: str) -> str:
-    cut = f"regexp_replace({without(html, C.SCORER_TAGS)}, '(?i)<p(?:\\s[^>]*)?>', chr(1), 'g')"
+def paragraphs(page: str) -> str:
+    cut = f"regexp_replace({without(page, C.SCORER_TAGS)}, '(?i)<p(?:\\s[^>]*)?>', chr(1), 'g')"
     inner = f"list_transform(string_split({cut}, chr(1))[2:], lambda p: regexp_replace(p, '(?is)</p\\s*>.*$', ''))"
-    return f"list_filter(list_transform({inner}, lambda p: {squeeze(unescape(_strip('p')))}), lambda t: t <> '')"
+    return f"list_filter(list_transform({inner}, lambda q: {squeeze(unescape(_strip('q')))}), lambda t: t <> '')"
 
 
 def _strip(t: str) -> str:
@@ -150,3 +164,15 @@ def meta(h: str, attribute: str, name: str) -> str:
 
 def has_class(h: str, pattern: str) -> str:
     return f"coalesce(list_bool_or(list_transform(regexp_extract_all({h}, '(?is)<[a-z][^>]*\\sclass\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1), lambda v: regexp_matches(v, '(?i){pattern}'))), false)"
+
+
+def topic_text(page: str) -> str:
+    return squeeze(unescape(page_text(page, C.TOPIC_TAGS)))
+
+
+def suffixes() -> dict[str, str]:
+    """Media types and suffixes: the own ones before those of the standard library."""
+    import mimetypes
+
+    known = mimetypes.MimeTypes(filenames=())
+    return {k: known.guess_extension(k) for k in set(known.types_map[True].values())} | C.MEDIA_SUFFIXES

@@ -12,7 +12,7 @@ from gleanmill.operators.setops import mark_first
 FUNNEL = ["excluded", "duplicate", "download_error", "other_skipped", "pdf_saved", "rejected_topic", "rejected_short", "rejected_no_date", "rejected_old", "rejected_judge", "html_saved"]
 SCORER = ["kept", "rejected_structure", "rejected_score", "missing_blob"]
 VISIT = ["error", "not_article", "skipped_year", "saved"]
-RESULT = ["SKIPPED_ALREADY_SEEN", "OPEN_ERROR", "SEARCH_ENGINE_PAGE_SKIPPED", "SUCCESS", "DOWNLOAD_FAILED"]
+RESULT = ["SKIPPED_ALREADY_SEEN", "OPEN_ERROR", "SEARCH_ENGINE_PAGE_SKIPPED", "SUCCESS", "DOWNLOAD_FAILED", "UNKNOWN_ERROR", "SEARCH_ERROR"]
 
 
 def html_outcome(on_topic: Column, words: Column, year: Column, interesting: Column) -> Column:
@@ -61,9 +61,12 @@ def visit_outcome(rows: DataFrame, current_year: int, keep_undated: bool = False
 
 
 def result_status(rows: DataFrame) -> DataFrame:
-    """Status of opened results from (known, url, code, kind)."""
+    """Status of opened results from (known, url, code, kind), and ``failure`` where something else went wrong: search or open."""
+    failure = F.col("failure") if "failure" in rows.columns else F.lit(None).cast("string")
     status = (
-        F.when(F.col("known"), F.lit("SKIPPED_ALREADY_SEEN"))
+        F.when(failure == "search", F.lit("SEARCH_ERROR"))
+        .when(failure.isNotNull(), F.lit("UNKNOWN_ERROR"))
+        .when(F.col("known"), F.lit("SKIPPED_ALREADY_SEEN"))
         .when(F.col("code").isNull(), F.lit("OPEN_ERROR"))
         .when(urls.host(F.col("url")).contains(C.SEARCH_HOST), F.lit("SEARCH_ENGINE_PAGE_SKIPPED"))
         .when(F.col("code") >= 400, F.lit("DOWNLOAD_FAILED"))
@@ -72,6 +75,26 @@ def result_status(rows: DataFrame) -> DataFrame:
     return rows.withColumn("status", status)
 
 
+def journal_report(articles: DataFrame) -> DataFrame:
+    """One row of counts of a journal: visited, saved, skipped_year, errors, and resumed (what a second run leaves alone)."""
+    state = F.col("status")
+    return articles.agg(
+        F.count(F.lit(1)).alias("visited"),
+        *[F.count_if(state == s).alias(name) for s, name in (("saved", "saved"), ("skipped_year", "skipped_year"), ("error", "errors"))],
+        F.count_if(state.isin(C.DONE_STATES)).alias("resumed"),
+    )
+
+
+def saved_files(articles: DataFrame) -> DataFrame:
+    """(url, file) of what a journal says was saved."""
+    return articles.filter(F.col("status") == "saved").select("url", "file")
+
+
+def crawl_summary(outcomes: DataFrame) -> DataFrame:
+    """One row: pages saved, ignored and failed, of (outcome)."""
+    return outcomes.agg(*[F.count_if(F.col("outcome") == o).alias(name) for o, name in (("saved", "saved"), ("ignored", "ignored"), ("error", "errors"))])
+
+
 def admitted(rows: DataFrame, known: DataFrame, seed: str) -> DataFrame:
     """Frontier rows that may be fetched: not known, on the seed's host, with an allowed suffix."""
     fresh = rows.join(known.select("url").distinct(), "url", "left_anti")

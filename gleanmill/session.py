@@ -13,13 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back to a local one only where none is set.
+    """Use the shared folder the cluster names; fall back to a local one only on a single machine.
 
-    The fallback is for single-machine runs such as tests. On a cluster
-    ``spark.checkpoint.dir`` must name a folder that driver and executors share.
+    On a cluster ``spark.checkpoint.dir`` must name a folder that driver and
+    executors share; without one this is an error.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured is None and not context.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="gleanmill-checkpoint-"))

@@ -87,10 +87,14 @@ def practitioners(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep=";", header=False, schema="place string, name string").select(F.trim("place").alias("place"), F.trim("name").alias("name"))
 
 
-def journal(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(article rows, listing rows) of a JSON journal; two kinds of entries never share a table."""
+def journal(spark: SparkSession, path: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(article rows, listing rows) of a JSON journal; two kinds of entries never share a table.
+
+    A journal has one object per line, as ``sinks.write_journal`` leaves it, or is
+    one object as a ``whole``.
+    """
     entry = "struct<status:string,code:int,year:int,file:string,message:string,articles:array<string>,pagination:array<string>>"
-    parsed = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", f"map<string,{entry}>")).alias("k", "v"))
+    parsed = spark.read.text(path, wholetext=whole).select(F.explode(F.from_json("value", f"map<string,{entry}>")).alias("k", "v"))
     articles = parsed.filter(~F.col("k").startswith("__listing__")).select(F.col("k").alias("url"), "v.status", "v.code", "v.year", "v.file", "v.message")
     listings = parsed.filter(F.col("k").startswith("__listing__")).select(F.substring("k", 12, 2147483647).alias("url"), "v.articles", "v.pagination")
     return articles, listings

@@ -52,3 +52,43 @@ def write_log(entries: DataFrame, path: str) -> None:
     """Log blocks, appended."""
     block = text.log_block({c: F.col(c) for c in entries.columns})
     entries.select(block.alias("value")).write.mode("append").text(path)
+
+
+def updated(state: DataFrame, values: DataFrame, key: str, column: str) -> DataFrame:
+    """The state with new values of a column where there are any; keys that the state does not have are left out."""
+    new = values.select(F.col(key).alias("__gm_key"), F.col(column).alias("__gm_value"))
+    joined = state.join(new, F.col(key) == F.col("__gm_key"), "left")
+    return joined.withColumn(column, F.coalesce("__gm_value", column)).select(*state.columns)
+
+
+def write_journal(articles: DataFrame, listings: DataFrame, path: str) -> None:
+    """A journal as JSON objects, one entry per line and file part, replacing what was there.
+
+    ``articles`` has url, status, code, year, file and message, ``listings`` url,
+    articles and pagination; a listing's key says that it is one.
+    """
+    entry = lambda key, columns: F.to_json(F.map_from_arrays(F.array(key), F.array(F.struct(*columns)))).alias("value")
+    rows = articles.select(entry(F.col("url"), ["status", "code", "year", "file", "message"]))
+    more = listings.select(entry(F.concat(F.lit("__listing__"), F.col("url")), ["articles", "pagination"]))
+    rows.unionByName(more).write.mode("overwrite").text(path)
+
+
+def write_contents(rows: DataFrame, path: str) -> None:
+    """Contents (binary) as files called ``name``, through the file system that the path names; a rerun writes the same files."""
+    target = path
+    settings = {e.getKey(): e.getValue() for e in rows.sparkSession.sparkContext._jsc.hadoopConfiguration().iterator() if e.getKey() == "fs.defaultFS"}
+
+    def put(batches):
+        import pyarrow as pa
+        import pyarrow.fs
+
+        where = target if "://" in target or target.startswith(("/", "file:")) else f"{settings['fs.defaultFS']}/{target}"
+        system, base = pyarrow.fs.FileSystem.from_uri(where.replace("file:/", "file:///", 1) if where.startswith("file:/") and not where.startswith("file://") else where)
+        system.create_dir(base, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                with system.open_output_stream(f"{base}/{name}") as out:
+                    out.write(content.as_py() or b"")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["written"])
+
+    rows.select("name", "content").mapInArrow(put, "written long").write.format("noop").mode("overwrite").save()
