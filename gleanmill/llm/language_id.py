@@ -3,9 +3,10 @@
 Lower-cased letters and single blanks give n-grams of one to three signs, hashed
 to ``BUCKETS`` dimensions. Document frequencies come from all documents that may
 be learned from. The weights are trained by follow-the-regularised-leader with
-elastic-net penalties (L1 leaves most weights at zero) on a sample bounded by
-``SAMPLE_ROWS``, spread evenly over the languages by a hash of the id; every
-fifth sampled row is kept apart and sets the temperature of the softmax.
+elastic-net penalties (L1 leaves most weights at zero) on a sample of at most
+twice ``SAMPLE_ROWS`` different rows, spread evenly over the languages by a hash of
+id and text, so that a row that is repeated counts once; every fifth sampled row
+is kept apart and sets the temperature of the softmax.
 
 Only rows with a language whose crc32(doc_id as text) mod 4 is not 2 are learned
 from; a prediction uses nothing but the text. The model has a fixed size
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanmill.llm.arrow_text import slices
+from gleanmill.llm.arrow_text import release, slices
 from gleanmill.llm.byte_bpe import LETTER, classes
 from gleanmill.session import table
 
@@ -152,6 +153,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             docs[buckets] += 1
             rows += 1
     some = np.flatnonzero(docs)
+    release()
     yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(docs[some], rows))], ["bucket", "docs"])
 
 
@@ -174,10 +176,13 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     idf = np.log((1 + total) / (1 + df)) + 1
     sizes = eligible.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     n_languages = F.count(F.lit(1)).over(_whole())
-    share = sizes.select(F.col("lang").alias("l"), F.least(F.lit(1.0), F.lit(float(sample_rows)) / n_languages / F.col("n")).alias("share"))
-    unit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    ids = eligible.select("doc_id", "lang").join(share, F.col("lang") == F.col("l")).filter(unit < F.col("share")).select(F.col("doc_id").alias("d")).distinct()
-    chosen = eligible.join(F.broadcast(ids), F.col("doc_id") == F.col("d"), "left_semi").select("doc_id", "lang", "text")  # bounded by sample_rows
+    share = sizes.select(F.col("lang").alias("l"), F.least(F.lit(1.0), F.lit(float(sample_rows)) / n_languages / F.col("n")).alias("share"))  # one row per language
+    keyed = eligible.withColumn("key", F.xxhash64("doc_id", "text"))
+    unit = F.pmod("key", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = keyed.join(F.broadcast(share), F.col("lang") == F.col("l")).filter(unit < F.col("share"))
+    # Repeated rows fold where they are read; the bound holds however the hashes fall.
+    once = drawn.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("lang").alias("lang"), F.first("text").alias("text"))
+    chosen = once.orderBy("key").limit(2 * sample_rows).select("doc_id", "lang", "text")
     rows = chosen.mapInArrow(_sparse, "doc_id long, lang string, buckets binary, counts binary").collect()
     rows = [(r["doc_id"], r["lang"], np.frombuffer(r["buckets"], "<i4").astype(np.int64), np.frombuffer(r["counts"], "<i4").astype(np.float64)) for r in rows if r["buckets"]]
     rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes(), r[3].tobytes()))
@@ -198,6 +203,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         for rows, raw, offsets in slices(batches, "text"):
             told = [shipped.value.predict(b, c) for b, c in grams(raw, offsets)]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array([t[0] for t in told], pa.string()), pa.array([t[1] for t in told], pa.float64())], ["doc_id", "lang_pred", "score"])
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
