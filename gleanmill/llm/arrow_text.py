@@ -12,8 +12,27 @@ import pyarrow.compute
 SLICE_BYTES = 3 << 20
 
 
-def flat_utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, offsets) of a string column; null is empty, bytes that are no UTF-8 become U+FFFD."""
+def release() -> None:
+    """Give what a Python worker holds for later use back to the system: an idle worker needs none of it."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
+def _trim_of_libc():
+    import ctypes
+
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):  # other C libraries have no such call
+        return None
+
+
+_TRIM = _trim_of_libc()
+
+
+def flat_utf8(column: pa.Array, binary: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of a string column; null is empty, bytes that are no UTF-8 become U+FFFD unless it is binary."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     wide = column.cast(pa.large_binary())
@@ -23,6 +42,8 @@ def flat_utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     at = np.frombuffer(offsets, np.int64)[wide.offset : wide.offset + len(wide) + 1]
     raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None and len(wide) else np.zeros(0, np.uint8)
     at = at - at[0] if len(at) else np.zeros(1, np.int64)
+    if binary:
+        return raw, at
     try:
         raw.tobytes().decode("utf-8")
     except UnicodeDecodeError:
@@ -32,8 +53,8 @@ def flat_utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(rows, bytes, offsets) with about ``limit`` bytes of the column; memory doesn't grow with a batch."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES, binary: bool = False) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, bytes, offsets) with about ``limit`` bytes of the column, or one longer row; memory doesn't grow with a batch."""
     for batch in batches:
         values = batch.column(batch.schema.get_field_index(column))
         sizes = np.cumsum(np.nan_to_num(np.asarray(pa.compute.binary_length(values).to_numpy(zero_copy_only=False), float)))
@@ -42,5 +63,5 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             before = sizes[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(sizes, before + limit, "right")))
             rows = batch.slice(start, stop - start)
-            yield rows, *flat_utf8(rows.column(rows.schema.get_field_index(column)))
+            yield rows, *flat_utf8(rows.column(rows.schema.get_field_index(column)), binary)
             start = stop

@@ -5,7 +5,9 @@ with a second logical stream of marks that keeps the unpadded length and the
 sample number of each packet. Reading goes the way of any Ogg file: pages are
 found by their capture pattern, checked by their CRC, and dealt to logical
 streams by serial number; packets are put together from lacing values, also
-across pages; times come from granule positions, which count samples.
+across pages; times come from granule positions, which count samples. A granule is
+that of the last packet that a page ends; a packet's start is found by counting the
+samples of the packets after it back from there, or, after the last granule, on.
 
 Defined results: a null or empty text is stored as 576 padding bytes; a page
 whose checksum is wrong is left out and counted, with the packets that it
@@ -17,6 +19,7 @@ the plan has no shuffle.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
@@ -27,13 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanmill.llm.arrow_text import slices
+from gleanmill.llm.arrow_text import release, slices
 from gleanmill.session import table
 
 UNIT = 576
 PAD = 255
 RATE = 8000
 PACKET = 8 * UNIT
+#: Bytes of text or media handled at a time, or one longer row.
+SLICE = 1 << 20
 SAMPLES, MARKS = 0x53414D50, 0x4D41524B
 CONTINUED, FIRST, LAST = 1, 2, 4
 _MIRROR = bytes(int(f"{b:08b}"[::-1], 2) for b in range(256))
@@ -151,6 +156,24 @@ def _take(stream: Stream, flags: int, granule: int, number: int, lacing: bytes,
         stream.granules[-1] = granule
 
 
+def times(stream: Stream, sizes: list[int]) -> list[int]:
+    """The first sample of each packet, from the granule positions; ``sizes`` are samples per packet, 0 for headers."""
+    starts = [0] * len(sizes)
+    last, at = 0, 0  # packets told so far, and the granule after them
+    for i, granule in enumerate(stream.granules):
+        if granule < 0:
+            continue
+        at = granule
+        for j in range(i, last - 1, -1):
+            at -= sizes[j]
+            starts[j] = at
+        last, at = i + 1, granule
+    for j in range(last, len(sizes)):
+        starts[j] = at
+        at += sizes[j]
+    return starts
+
+
 def features(streams: dict[int, Stream], bad: int) -> tuple[int, bytes, str]:
     """(unpadded length, payload, feature string) of what was read."""
     sound, marks = streams.get(SAMPLES, Stream()), streams.get(MARKS, Stream())
@@ -159,10 +182,13 @@ def features(streams: dict[int, Stream], bad: int) -> tuple[int, bytes, str]:
     payload = b"".join(sound.packets[1:])
     wave = np.frombuffer(payload, np.uint8).astype(np.int32) - 128
     last = max([0, *sound.granules])
+    starts = times(sound, [0, *map(len, sound.packets[1:])][: len(sound.packets)])[1:]
+    told_at = [struct.unpack("<Q", p)[0] for p in marks.packets[1:] if len(p) == 8]
     crossings = int(np.count_nonzero((wave[1:] < 0) != (wave[:-1] < 0))) if len(wave) else 0
     told = {
         "streams": len(streams), "pages": sum(s.pages for s in streams.values()), "bad": bad, "lost": sum(s.lost for s in streams.values()),
         "packets": max(0, len(sound.packets) - 1), "marks": max(0, len(marks.packets) - 1), "rate": rate, "duration_us": last * 1_000_000 // max(rate, 1),
+        "starts_us": hashlib.md5(",".join(str(s * 1_000_000 // max(rate, 1)) for s in starts).encode()).hexdigest()[:16], "on_marks": int(starts == told_at),
         "peak": int(np.abs(wave).max()) if len(wave) else 0, "sum": int(wave.sum()), "energy": int((wave.astype(np.int64) ** 2).sum()), "crossings": crossings,
     }
     return size, payload, ";".join(f"{k}={v}" for k, v in told.items())
@@ -172,7 +198,7 @@ def store(docs: DataFrame) -> DataFrame:
     """doc_id, media: each text as an Ogg file."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, raw, offsets in slices(batches, "text"):
+        for rows, raw, offsets in slices(batches, "text", SLICE):
             data = raw.tobytes()
             media = [write(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(media, pa.binary())], ["doc_id", "media"])
@@ -184,12 +210,12 @@ def load(stored: DataFrame) -> DataFrame:
     """doc_id, media, n_bytes, payload, feature: what the stored files give when read back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                rows = batch.slice(start, 256)
-                found = [features(*read(x.as_py() or b"")) for x in rows.column(1)]
-                more = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.string()))]
-                yield pa.RecordBatch.from_arrays([*rows.columns, *more], ["doc_id", "media", "n_bytes", "payload", "feature"])
+        for rows, raw, offsets in slices(batches, "media", SLICE, binary=True):
+            data = raw.tobytes()
+            found = [features(*read(data[a:b])) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            more = [pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.string()))]
+            yield pa.RecordBatch.from_arrays([*rows.columns, *more], ["doc_id", "media", "n_bytes", "payload", "feature"])
+        release()
 
     return stored.select("doc_id", "media").mapInArrow(run, "doc_id long, media binary, n_bytes long, payload binary, feature string")
 

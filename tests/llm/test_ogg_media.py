@@ -52,3 +52,29 @@ def test_documents(edge, empty):
         assert bytes(found.payload) == padded and zlib.crc32(bytes(found.payload)[-32:]) == zlib.crc32(padded[-32:])
     assert ogg.load(ogg.store(empty)).count() == 0
     assert len({hashlib.sha256(bytes(r.media)).hexdigest() for k, r in got.items() if k[0] in (1, 2)}) == 1
+
+
+def test_start_of_every_packet():
+    """Starts counted back from granules equal the sample numbers that the second stream carries, and plain sums."""
+    for size in (0, 1, 576, 5000, 300_000):
+        streams, bad = ogg.read(ogg.write(bytes(i * 7 % 251 for i in range(size))))
+        sound, marks = streams[ogg.SAMPLES], streams[ogg.MARKS]
+        sizes = [0, *map(len, sound.packets[1:])]
+        starts = ogg.times(sound, sizes)
+        assert starts[1:] == [sum(sizes[:i]) for i in range(1, len(sizes))]
+        assert starts[1:] == [int.from_bytes(p, "little") for p in marks.packets[1:]]
+        assert any(g < 0 for g in sound.granules) == (len(sound.granules) > sound.pages)
+        assert "on_marks=1" in ogg.features(streams, bad)[2]
+
+
+def test_starts_after_a_lost_page():
+    """The packets after a damaged page keep their times, for these come from their own granules."""
+    media = bytearray(ogg.write(bytes(300_000)))
+    whole, _ = ogg.read(bytes(media))
+    at = media.find(b"OggS", media.find(b"OggS", media.find(b"OggS", 200) + 4) + 4)
+    media[at + 60] ^= 1
+    streams, bad = ogg.read(bytes(media))
+    sound = streams[ogg.SAMPLES]
+    assert bad == 1 and len(sound.packets) < len(whole[ogg.SAMPLES].packets)
+    every = ogg.times(whole[ogg.SAMPLES], [0, *map(len, whole[ogg.SAMPLES].packets[1:])])
+    assert ogg.times(sound, [0, *map(len, sound.packets[1:])])[-1] == every[-1]
