@@ -9,15 +9,17 @@ below one. When a source has no blocks left, a new phase begins for the others,
 with the same weights and times counted from its start; no row is dropped or
 repeated.
 
-A phase's schedule repeats every P slots, so one fold over P slots per phase
-gives all of it, however many blocks there are. The folds are SQL expressions
+A phase's schedule repeats every P slots, so one fold over at most P slots per
+phase, and no more than the phase has, gives all of it, however many blocks there
+are. The folds are SQL expressions
 over one row that holds an array element per source. P is at most ``resolution``
 times the number of sources. Rows are numbered inside (source, hash bucket)
 pairs, 4,096 buckets a source, and offsets of buckets are summed on the counts,
 so that no task sees a whole source.
 
 Defined results: a null source is a source of its own; inside a source rows come
-in the order of the md5 of their id, then of the id; rows with equal ids are all
+in the order of the md5 of their id, then of the id, those without an id by their
+other columns; rows with equal ids are all
 kept, in any order among themselves; an empty table gives an empty mix; extra
 columns stay where the whole row is asked for.
 """
@@ -27,41 +29,49 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gleanmill.session import table
+from gleanmill.session import ensure_checkpoint_dir, table
 
 BLOCK_ROWS = 16
 RESOLUTION = 32
+#: Sources are numbered below this.
+MOST_SOURCES = 1 << 20
 #: With more sources than this the schedule is joined by a shuffle instead of a broadcast.
 BROADCAST_SOURCES = 256
+SALTS = 32
 
-#: One slot: the released source with the earliest deadline, which then counts one more.
-_SLOT = """
+#: One slot: the released source with the earliest deadline, which then counts one more. Deadline and number share a long.
+_SLOT = f"""
   transform(array(
-    array_min(transform(e, (w, s) ->
-      if(w > 0 AND (st.done[s] * p) div w <= t, struct(((st.done[s] + 1) * p + w - 1) div w AS d, s AS s), NULL))).s
-  ), b -> named_struct('done', transform(st.done, (c, s) -> if(s = b, c + 1L, c)), 'slots', array_append(st.slots, b)))[0]
+    array_min(transform(e, (w, s) -> if(w > 0 AND (st.done[s] * p) div w <= t, (((st.done[s] + 1) * p + w - 1) div w) * {MOST_SOURCES}L + s, NULL))) % {MOST_SOURCES}L
+  ), b -> named_struct('done', transform(st.done, (c, s) -> if(s = b, c + 1L, c)), 'slots', array_append(st.slots, int(b))))[0]
 """
 
-#: The source of each of the p slots of a period.
+#: The source of each of the first ``n`` slots of a period.
 _PERIOD = f"""
-  aggregate(sequence(0L, p - 1L), named_struct('done', transform(e, w -> 0L), 'slots', cast(array() AS array<int>)),
+  aggregate(sequence(0L, n - 1L), named_struct('done', transform(e, w -> 0L), 'slots', cast(array() AS array<int>)),
     (st, t) -> {_SLOT}, st -> st.slots)
 """
 
-#: One phase: its length is the first time at which a source has no blocks left.
-_PHASE = f"""
+#: What one phase adds. Its length is the first time at which a source has no blocks left. That is known to lie before the
+#: earliest deadline of any source's last block, so no more slots than these are worked out, and no more than a period.
+_STEP = f"""
   transform(array(transform(weights, (w, s) -> if(ph.rest[s] > 0, w, 0L))), e ->
   transform(array(aggregate(e, 0L, (a, w) -> a + w)), p ->
+  transform(array(least(p, array_min(transform(e, (w, s) -> if(w > 0, (ph.rest[s] * p + w - 1L) div w, NULL))))), n ->
   transform(array({_PERIOD}), slots ->
-  transform(array(transform(e, (w, s) -> filter(sequence(0, size(slots) - 1), i -> slots[i] = s))), own ->
-  transform(array(array_min(transform(e, (w, s) -> if(w > 0, ((ph.rest[s] - 1) div w) * p + own[s][int((ph.rest[s] - 1) % w)] + 1L, NULL)))), len ->
-  transform(array(transform(e, (w, s) -> (len div p) * w + size(filter(own[s], i -> i < len % p)))), had ->
-    named_struct(
-      'rest', zip_with(ph.rest, had, (r, h) -> r - h),
-      'used', zip_with(ph.used, had, (r, h) -> r + h),
-      'start', ph.start + len,
-      'phases', array_append(ph.phases, named_struct('start', ph.start, 'period', p, 'weights', e, 'own', own, 'first', ph.used, 'had', had))
-    ))[0])[0])[0])[0])[0])[0]
+  transform(array(transform(e, (w, s) -> if(w > 0, filter(sequence(0, size(slots) - 1), i -> slots[i] = s), cast(array() AS array<int>)))), own ->
+  transform(array(array_min(transform(e, (w, s) -> if(w > 0, ((ph.rest[s] - 1) div w) * p + get(own[s], int((ph.rest[s] - 1) % w)) + 1L, NULL)))), len ->
+    named_struct('len', len, 'period', p, 'weights', e, 'own', own, 'had', transform(e, (w, s) -> (len div p) * w + size(filter(own[s], i -> i < len % p))))
+    )[0])[0])[0])[0])[0])[0]
+"""
+
+_PHASE = f"""
+  transform(array({_STEP}), x -> named_struct(
+      'rest', zip_with(ph.rest, x.had, (r, h) -> r - h),
+      'used', zip_with(ph.used, x.had, (r, h) -> r + h),
+      'start', ph.start + x.len,
+      'phases', array_append(ph.phases, named_struct('start', ph.start, 'period', x.period, 'weights', x.weights, 'own', x.own, 'first', ph.used, 'had', x.had))
+    ))[0]
 """
 
 _PHASES = f"""
@@ -71,6 +81,11 @@ _PHASES = f"""
 """
 
 
+def _once(sql: str) -> Column:
+    """A generator of one row: expressions above it don't take the value in and work it out again for each element."""
+    return F.explode(F.array(F.expr(sql)))
+
+
 def source_key(column: str = "source") -> Column:
     """A key that tells a null source from an empty one."""
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit("null"))
@@ -82,12 +97,12 @@ def root_weights(n_rows: Column, most: Column, resolution: int = RESOLUTION) ->
 
 
 def schedule(counts: DataFrame, block_rows: int = BLOCK_ROWS, weights: dict[str, int] | None = None, resolution: int = RESOLUTION) -> DataFrame:
-    """(key, phases, gaps) per source from (key, n_rows).
+    """(key, phases) per source from (key, n_rows).
 
     ``weights`` are integers by key (1 where a source isn't named); without
     them the square-root rule holds. A phase has its first slot, period, weight,
-    the source's slots in a period, its first block and its number of blocks.
-    ``gaps`` lists (slot, missing rows) of each source's last block.
+    the source's slots in a period, its first block, its number of blocks, and the
+    rows that last blocks of earlier phases lack.
     """
     every = Window.partitionBy()
     if weights is None:
@@ -98,16 +113,17 @@ def schedule(counts: DataFrame, block_rows: int = BLOCK_ROWS, weights: dict[str,
     rows = counts.withColumn("weight", weight).withColumn("blocks", F.expr(f"(n_rows + {block_rows - 1}) div {block_rows}"))
     one = rows.agg(F.sort_array(F.collect_list(F.struct("key", "n_rows", "weight", "blocks"))).alias("s"))  # one element per source
     one = one.select("s", F.expr("transform(s, x -> x.weight)").alias("weights"), F.expr("transform(s, x -> x.blocks)").alias("blocks"))
-    planned = one.select("s", F.expr(_PHASES).alias("ph"))
-    by_source = planned.select(F.posexplode("s").alias("i", "x"), "ph").select(
-        F.col("x.key").alias("key"),
-        F.col("x.n_rows").alias("n_rows"),
-        F.col("x.blocks").alias("blocks"),
-        F.expr("transform(filter(ph, p -> p.had[i] > 0), p -> struct(p.start AS start, p.period AS period, p.weights[i] AS weight, p.own[i] AS own, p.first[i] AS first, p.had[i] AS had))").alias("phases"),
-    )
-    last = F.expr("transform(slice(phases, -1, 1), p -> p.start + ((p.had - 1) div p.weight) * p.period + p.own[int((p.had - 1) % p.weight)])[0]")
-    gaps = by_source.select(F.struct(last.alias("slot"), (F.col("blocks") * block_rows - F.col("n_rows")).alias("rows")).alias("g")).agg(F.collect_list("g").alias("gaps"))
-    return by_source.join(gaps).select("key", "phases", "gaps")
+    planned = one.select("s", _once(_PHASES).alias("ph"))
+    # Each source gets its own part of the phases before rows are made of them.
+    parts = _once(f"""transform(s, (x, i) -> struct(x.key AS key, x.blocks * {block_rows} - x.n_rows AS missing,
+      transform(filter(ph, p -> p.had[i] > 0), p -> struct(p.start AS start, p.period AS period, p.weights[i] AS weight, p.own[i] AS own, p.first[i] AS first, p.had[i] AS had)) AS phases))""")
+    last = "transform(slice(x.phases, -1, 1), p -> p.start + ((p.had - 1) div p.weight) * p.period + p.own[int((p.had - 1) % p.weight)])[0]"
+    parted = planned.select(parts.alias("parts"))
+    ends = parted.select("parts", _once(f"transform(parts, x -> struct({last} AS slot, x.missing AS missing))").alias("ends"))
+    # A phase ends with the last block of a source, so what such blocks lack is the same for all slots of a phase.
+    gap = "aggregate(filter(ends, e -> e.slot < p.start), 0L, (a, e) -> a + e.missing)"
+    told = f"transform(parts, x -> struct(x.key AS key, transform(x.phases, p -> struct(p.start AS start, p.period AS period, p.weight AS weight, p.own AS own, p.first AS first, p.had AS had, {gap} AS gap)) AS phases))"
+    return ends.select(F.explode(F.expr(told)).alias("x")).select("x.*")
 
 
 def mix(rows: DataFrame, id_column: str = "doc_id", source_column: str = "source", block_rows: int = BLOCK_ROWS, weights: dict[str, int] | None = None, resolution: int = RESOLUTION) -> DataFrame:
@@ -116,30 +132,35 @@ def mix(rows: DataFrame, id_column: str = "doc_id", source_column: str = "source
     ``row`` is a struct of the columns of ``rows``. Positions count from 0 without gaps.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    digest = F.md5(F.coalesce(F.col(id_column).cast("string"), F.lit("null")))
+    ensure_checkpoint_dir(rows.sparkSession)
+    # Rows without an id are told apart by what they hold, so that they are no hot key.
+    digest = F.md5(F.coalesce(F.col(id_column).cast("string"), F.concat(F.lit("null"), F.xxhash64(*[F.col(f"`{c}`").cast("string") for c in rows.columns if c != id_column]).cast("string"))))
     keyed = rows.select(whole.alias("row"), source_key(source_column).alias("key"), digest.alias("digest")).withColumn("bucket", F.substring("digest", 1, 3))
     buckets = rows.select(source_key(source_column).alias("key"), F.substring(digest, 1, 3).alias("bucket")).groupBy("key", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = buckets.select("key", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     counts = buckets.groupBy("key").agg(F.sum("n").alias("n_rows"))
-    plan = schedule(counts, block_rows, weights, resolution)
-    n_sources = counts.count()
-    plan = F.broadcast(plan) if n_sources <= BROADCAST_SOURCES else plan
+    # The plan is one row over all sources, worked out in one task: it is written once.
+    plan = schedule(counts, block_rows, weights, resolution).checkpoint()
     order = Window.partitionBy("key", "bucket").orderBy("digest", F.col(f"row.`{id_column}`"))
     numbered = keyed.withColumn("rn", F.row_number().over(order)).join(offsets, ["key", "bucket"])
     numbered = numbered.select("row", "key", (F.col("offset") + F.col("rn") - 1).alias("nth")).withColumn("block", F.expr(f"nth div {block_rows}"))
-    placed = numbered.join(plan, "key").select(
-        "row", "key", "nth", "block", "gaps",
+    if plan.count() <= BROADCAST_SOURCES:
+        joined = numbered.join(F.broadcast(plan), "key")
+    else:  # a source with many rows is spread over salts
+        salted = plan.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = numbered.withColumn("salt", F.pmod("block", F.lit(SALTS)).cast("int")).join(salted, ["key", "salt"])
+    placed = joined.select(
+        "row", "key", "nth", "block",
         F.expr("filter(phases, p -> block >= p.first AND block < p.first + p.had)[0]").alias("p"),
     ).withColumn("j", F.expr("block - p.first"))
-    timed = placed.select(
-        "row", "key", "nth", "block", "gaps",
+    return placed.select(
+        "row", "key", "block",
         F.expr("p.start + (j div p.weight) * p.period + p.own[int(j % p.weight)]").alias("slot"),
         F.expr("p.start + (j * p.period) div p.weight").alias("release"),
         F.expr("p.start + ((j + 1) * p.period + p.weight - 1) div p.weight").alias("deadline"),
+        (F.expr("p.start + (j div p.weight) * p.period + p.own[int(j % p.weight)]") * block_rows - F.col("p.gap") + F.col("nth") % block_rows).alias("position"),
     )
-    missing = F.expr("aggregate(filter(gaps, g -> g.slot < slot), 0L, (a, g) -> a + g.rows)")
-    return timed.select("row", "key", "block", "slot", "release", "deadline", (F.col("slot") * block_rows - missing + F.col("nth") % block_rows).alias("position"))
 
 
 def interleave(rows: DataFrame, id_column: str = "doc_id", source_column: str = "source", block_rows: int = BLOCK_ROWS, weights: dict[str, int] | None = None) -> DataFrame:
