@@ -11,8 +11,9 @@ written ``\\0 \\1 \\2 \\3``, so no control string can come from a text and readi
 back is exact. The loss mask lists the places of assistant texts in the output,
 in code points.
 
-Defined results: a parent counts only if it exists in the same tree and has a
-smaller id, otherwise the node starts a path (so no cycle can form); null ids are
+Defined results: a parent counts if it exists in the same tree, whatever the order
+of the ids; nodes whose parents form a circle, and what replies to them, have no
+root: the node of the circle with the smallest id starts a path there; null ids are
 a tree or node of their own; rows with the same tree and node id are turns of
 one node, in order of role and text; null roles and texts are empty; a null
 score is 0; ties in score go to the smaller leaf id; an empty table gives no
@@ -44,17 +45,17 @@ def unescaped(text: Column) -> Column:
 
 
 def paths(nodes: DataFrame, top: int | None = None) -> DataFrame:
-    """(tree_id, leaf_id, node_id, height, score) of each path, height counted from the leaf.
+    """(tree_id, leaf_id, node_id, height, rank) of each path, height counted from the leaf.
 
-    ``nodes`` has tree_id, node_id, parent_id and score. With ``top`` only the
-    best paths of each tree stay.
+    ``nodes`` has tree_id, node_id, parent_id and score. Paths are ranked in each
+    tree by the mean score; with ``top`` only the best ones stay.
     """
     ensure_checkpoint_dir(nodes.sparkSession)
     known = nodes.groupBy("tree_id", "node_id").agg(F.min("parent_id").alias("parent_id"), F.avg(F.coalesce(F.col("score"), F.lit(0.0))).alias("score"))
     known = known.checkpoint()
     parent = known.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"))
-    jump = known.join(parent, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("parent_id") == F.col("n")) & (F.col("parent_id") < F.col("node_id")))
-    jump = jump.select("tree_id", "node_id", F.col("parent_id").alias("up")).checkpoint()
+    jump = known.join(parent, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("parent_id") == F.col("n")))
+    jump = _cut(jump.select("tree_id", "node_id", F.col("parent_id").alias("up")).checkpoint())
     inner = jump.select(F.col("tree_id").alias("t"), F.col("up").alias("n"))
     member = known.join(inner, F.col("tree_id").eqNullSafe(F.col("t")) & F.col("node_id").eqNullSafe(F.col("n")), "left_anti")
     member = member.select("tree_id", F.col("node_id").alias("leaf_id"), "node_id", F.lit(0).cast("long").alias("height"))
@@ -67,19 +68,49 @@ def paths(nodes: DataFrame, top: int | None = None) -> DataFrame:
         jump = jump.withColumnRenamed("up", "mid").join(up, on & (F.col("mid") == F.col("n"))).select("tree_id", "node_id", "up").checkpoint()
         step *= 2
     scores = known.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), F.col("score").alias("s"))
-    if top is None:
-        return member.withColumn("rank", F.lit(None).cast("int"))
     ranked = (
         member.join(scores, F.col("tree_id").eqNullSafe(F.col("t")) & F.col("node_id").eqNullSafe(F.col("n")))
         .groupBy("tree_id", "leaf_id")
         .agg(F.avg("s").alias("mean"))
         .withColumn("rank", F.row_number().over(Window.partitionBy("tree_id").orderBy(F.col("mean").desc(), "leaf_id")))
-        .filter(F.col("rank") <= top)
-        .select(F.col("tree_id").alias("t"), F.col("leaf_id").alias("l"), "rank")
     )
+    if top is not None:
+        ranked = ranked.filter(F.col("rank") <= top)
+    ranked = ranked.select(F.col("tree_id").alias("t"), F.col("leaf_id").alias("l"), "rank")
     return member.join(ranked, F.col("tree_id").eqNullSafe(F.col("t")) & F.col("leaf_id").eqNullSafe(F.col("l"))).drop("t", "l")
 
 
+def _cut(jump: DataFrame) -> DataFrame:
+    """Pointers to parents (tree_id, node_id, up) without those of the smallest node of each circle.
+
+    Pointers are doubled while any are left. Chains run out after log2 of their
+    length; what goes on beyond the number of pointers runs in a circle, and then
+    every node still there points into one: its pointers lead to all nodes of it,
+    and the smallest of these is found by taking minima along the doubled pointers.
+    """
+    if jump.filter("NOT up < node_id").isEmpty():  # pointers to smaller ids only form no circle
+        return jump
+    least = F.least("least", "more")
+    far = jump.withColumn("least", F.col("up"))
+    step, most = 1, None
+    while True:
+        up = far.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), F.col("up").alias("next"), F.col("least").alias("more"))
+        longer = far.join(up, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n"))).select("tree_id", "node_id", F.col("next").alias("up"), least.alias("least")).checkpoint()
+        if longer.isEmpty():
+            return jump
+        step *= 2
+        far = longer
+        if most is None:
+            most = jump.groupBy("tree_id").count().agg(F.max("count")).first()[0]
+        if step > most:
+            break
+    # A node of a circle is one that a pointer of that length comes from and that some such pointer leads to; its minimum is the circle's.
+    on = far.select(F.col("tree_id").alias("t"), F.col("up").alias("n")).distinct()
+    circle = far.join(on, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("node_id") == F.col("n")))
+    first = circle.filter(F.col("node_id") == F.col("least")).select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"))
+    return jump.join(first, F.col("tree_id").eqNullSafe(F.col("t")) & (F.col("node_id") == F.col("n")), "left_anti").checkpoint()
+
+
 def formatted(nodes: DataFrame, top: int | None = None) -> DataFrame:
     """(tree_id, leaf_id, rank, formatted, loss_mask): one row per chosen path.
 
@@ -148,7 +179,7 @@ def op9_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation in the template, with digests of what is read back from it."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     out = formatted(thread_nodes(rows.unionByName(spark.sql(f"SELECT * FROM {CHECK_TURNS}"))))
-    told = out.select("tree_id", "formatted", turns_of(F.col("formatted")).alias("turns"), masked(F.col("formatted"), F.col("loss_mask")).alias("loss"))
+    told = out.select("tree_id", "formatted", "rank", turns_of(F.col("formatted")).alias("turns"), masked(F.col("formatted"), F.col("loss_mask")).alias("loss"))
     return told.select(
         F.col("tree_id").alias("conv_id"),
         F.size("turns").cast("long").alias("n_turns"),
@@ -156,6 +187,7 @@ def op9_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "rank",
     )
 
 
@@ -174,6 +206,6 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-       sum(chars)::BIGINT AS formatted_chars
+       sum(chars)::BIGINT AS formatted_chars, 1 AS rank
 FROM sized GROUP BY conv_id
 """
