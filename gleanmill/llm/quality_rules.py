@@ -1,15 +1,17 @@
 """Quality rules whose cutoffs carry a statistical guarantee (DataFrame functions only).
 
 Each rule compares one measurement of a document with a cutoff. Cutoffs are not
-guessed: for every stratum (language) and rule, each cutoff of a fixed grid is
+guessed: for every stratum (language) and rule, the cutoffs of a fixed grid are
 tested on the labelled good documents of that stratum. The null hypothesis is
-"this cutoff rejects more than ``alpha`` of the good documents"; its p-value is
-the exact binomial tail P(Bin(n, alpha) <= k), with k of n good documents
-rejected. A Bonferroni correction over all (stratum, rule, cutoff) tests
-keeps the chance that any certified cutoff breaks its promise below ``delta``.
-The strictest certified cutoff is used; a rule without one stays off in that
-stratum. With the budget split over the rules, the documents lost to all rules
-of a stratum together stay below ``alpha``.
+"this cutoff rejects more than its share of ``alpha`` of the good documents"; its
+p-value is the exact binomial tail P(Bin(n, share) <= k), with k of n good
+documents rejected. A grid is ordered, so its cutoffs are tested in a fixed
+sequence from the most lenient one and only as long as they pass, which needs no
+correction within the grid; a Bonferroni correction over the (stratum, rule)
+pairs keeps the chance that any certified cutoff breaks its promise below
+``delta``. The strictest cutoff reached is used; a rule without one stays off in
+that stratum. With ``alpha`` split over the rules, the documents lost to all
+rules of a stratum together stay below ``alpha``.
 
 Defined results: null or empty text has no words and fails the base rules; a
 null language is a stratum of its own; a stratum without labels has no learned
@@ -173,24 +175,29 @@ def certified_cutoffs(measures: DataFrame, labels: DataFrame, alpha: float = ALP
 
     Only good labels (quality = 1) of documents that pass the base rules count;
     all of them do. One pass counts all grids with conditional sums, so the
-    shuffle carries one row per stratum and task. One row per stratum results.
+    shuffle carries one row per stratum and task; the counts are written once.
+    One row per stratum results.
     """
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__gm_id"))
     held = good.join(measures, F.col("__gm_id") == F.col("doc_id")).filter(~base_failed())
     sums = [F.count_if(F.expr(rule.measure) > F.lit(cut)).alias(f"{rule.name}_{j}") for rule in rules for j, cut in enumerate(rule.grid)]
-    counted = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_good"), *sums)
+    counted = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_good"), *sums).checkpoint()
     strata = counted.agg(F.count(F.lit(1)).alias("n_strata"))
-    level = F.lit(delta / sum(len(rule.grid) for rule in rules)) / F.col("n_strata")
+    level = F.lit(delta / len(rules)) / F.col("n_strata")
     share = alpha / len(rules)
 
     def strictest(rule: Rule) -> Column:
-        return F.coalesce(*[F.when(binomial_tail(F.col(f"{rule.name}_{j}"), F.col("n_good"), share) <= level, F.lit(cut)) for j, cut in enumerate(rule.grid)])
+        passed = F.array(*[binomial_tail(F.col(f"{rule.name}_{j}"), F.col("n_good"), share) <= level for j in range(len(rule.grid))])
+        cuts = F.array(*[F.lit(cut) for cut in rule.grid])
+        # The grid runs from strict to lenient: the first cutoff of which this and all later ones pass.
+        return _let(passed, lambda p: F.get(F.filter(cuts, lambda _, i: F.forall(F.slice(p, i + 1, F.lit(len(rule.grid))), lambda x: x)), F.lit(0)))
 
     return counted.join(F.broadcast(strata)).select("stratum", *[strictest(rule).alias(f"cut_{rule.name}") for rule in rules])  # one row is broadcast
 
 
 #: Up to this many strata the cutoffs are broadcast; beyond, they are joined by a shuffle.
 BROADCAST_STRATA = 10_000
+BROADCAST_LABELS = 1_000_000
 
 
 def verdicts(rows: DataFrame, cuts: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -209,11 +216,15 @@ def verdicts(rows: DataFrame, cuts: DataFrame, rules: tuple[Rule, ...] = RULES)
 def keep_good(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, rules: tuple[Rule, ...] = RULES, stratum: str = "lang") -> DataFrame:
     """The rows of ``docs`` that are kept, with their columns.
 
-    The texts are measured twice, first for the cutoffs and then for the
-    verdicts: no text is shuffled that way.
+    Cutoffs come from the labelled documents alone, which are measured first;
+    then every document is measured once, as it is judged. Up to
+    ``BROADCAST_LABELS`` labelled ids go to the texts; beyond, both are shuffled.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    cuts = certified_cutoffs(measured(docs, stratum), labels, alpha, delta, rules)
+    good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__gm_label")).distinct().checkpoint()
+    good = F.broadcast(good) if good.count() <= BROADCAST_LABELS else good
+    labelled = docs.join(good, F.col("doc_id") == F.col("__gm_label"), "left_semi")
+    cuts = certified_cutoffs(measured(labelled, stratum), labels, alpha, delta, rules)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(whole.alias("__gm_row"), _stratum(stratum).alias("stratum"), _once(measurements(F.col("text"))).alias("m")).select("__gm_row", "stratum", "m.*")
     return verdicts(rows, cuts, rules).filter("kept").select("__gm_row.*")
@@ -228,7 +239,6 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    tests = sum(len(rule.grid) for rule in RULES)
     share = ALPHA / len(RULES)
 
     def tail(k: str) -> str:
@@ -236,8 +246,9 @@ def _oracle() -> str:
         return f"CASE WHEN {k} >= n_good * {share!r} THEN 1.0 ELSE list_sum(list_transform(range(0, {k} + 1), lambda i: {term})) END"
 
     counts = ", ".join(f"count(*) FILTER (WHERE {rule.measure.replace('D ', '::DOUBLE ')} > {cut}) AS {rule.name}_{j}" for rule in RULES for j, cut in enumerate(rule.grid))
+    level = f"({DELTA / len(RULES)!r} / (SELECT count(*) FROM counted))"
     cuts = ", ".join(
-        f"coalesce({', '.join(f'CASE WHEN {tail(f'{rule.name}_{j}')} <= {DELTA / tests!r} / (SELECT count(*) FROM counted) THEN {cut}::DOUBLE END' for j, cut in enumerate(rule.grid))}) AS cut_{rule.name}"
+        f"CASE {' '.join(f'WHEN {chr(32).join(f"{tail(f'{rule.name}_{k}')} <= {level} AND" for k in range(j, len(rule.grid)))} true THEN {cut}::DOUBLE' for j, cut in enumerate(rule.grid))} END AS cut_{rule.name}"
         for rule in RULES
     )
     hits = " + ".join(f"coalesce((NOT base_failed AND {rule.measure.replace('D ', '::DOUBLE ')} > cut_{rule.name})::INT, 0)" for rule in RULES)

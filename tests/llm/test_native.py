@@ -47,6 +47,48 @@ def test_cutoffs_keep_their_promise(spark):
     assert few.cut_symbols is None
 
 
+def good_and_poor(n):
+    """Documents of three languages, most of them good by their labels; a few good ones have many symbols, so have all poor ones."""
+    out = []
+    for i in range(n):
+        lang = ("en", "de", "fr")[i % 3]
+        poor, marked = i % 10 == 9, i % 5003 == 1
+        words = [f"w{i}x{j}" for j in range(60)] + (["#"] * 40 if poor or marked else []) + ["x" * (12 + i % 3)] * (30 if i % 90 == 89 else 0)
+        lines = [" ".join(words[:30]), " ".join(words[30:])] + (["same line here"] * 6 if i % 20 == 19 else [])
+        out.append((i, "\n".join(lines), lang, i % 7 != 0, int(not poor)))
+    return out
+
+
+def test_cutoffs_in_several_strata(spark, tmp_path):
+    import duckdb
+
+    rows = good_and_poor(7200)
+    folder = str(tmp_path)
+    spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(r[0], r[4], 0) for r in rows if r[3]], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    db = duckdb.connect()
+    for name in ("documents", "labels"):
+        db.sql(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
+    got = quality.op8_quality_rules(spark, folder)
+    same_rows(got, db.sql(quality.ORACLE_SQL))
+    found = {r.lang: r for r in got.join(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang"), "doc_id").groupBy("lang").agg(F.count_if(F.expr("n_failed_rules > 0")).alias("failed"), F.count_if(F.col("n_failed_rules").isNull()).alias("none")).collect()}
+    assert len(found) == 3 and all(r.failed > 100 and r.none == 0 for r in found.values())
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    assert {r.doc_id for r in quality.keep_good(docs, labels).select("doc_id").collect()} == {r.doc_id for r in got.filter("kept").collect()}
+
+
+def test_fixed_sequence_stops_at_the_first_failure(spark):
+    ensure_checkpoint_dir(spark)
+    n = 3000
+    # Good documents have 0 to 3 symbols of 100 words, so 2 fails and 5 passes; repeats fail at 45 and, though no cutoff below could differ, none is taken.
+    measures = spark.range(n).select(
+        F.col("id").alias("doc_id"), F.lit("=x").alias("stratum"), F.lit(100).cast("long").alias("n_words"), F.lit(400).cast("long").alias("word_chars"), F.expr("id % 4").alias("n_symbols"),
+        F.lit(10).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dup_lines"), F.expr("if(id % 50 = 0, 48L, 0L)").alias("n_repeat_words"),
+    )
+    cut = quality.certified_cutoffs(measures, spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"))).first()
+    assert (cut.cut_symbols, cut.cut_dup_lines, cut.cut_repeats, cut.cut_word_length) == (5.0, 5.0, None, 6.0)
+
+
 def test_quality_edges(spark, edge, empty):
     labels = spark.sql("SELECT * FROM (VALUES (1L, 1), (1L, 1), (NULL, 1), (99L, 0), (2L, NULL)) AS t(doc_id, quality)")
     kept = quality.keep_good(edge, labels)
@@ -109,6 +151,8 @@ def test_branching_trees(spark):
     for r in reply_trees.paths(nodes).collect():
         members.setdefault((r.tree_id, r.leaf_id), []).append((r.height, r.node_id))
     assert {k: [n for _, n in sorted(v, reverse=True)] for k, v in members.items()} == {(1, 2): [1, 2], (1, 5): [1, 3, 4, 5], (2, 7): [7], (2, 8): [8], (2, 10): [9, 10], (None, 1): [1]}
+    ranks = {(r.tree_id, r.leaf_id): r["rank"] for r in reply_trees.paths(nodes).collect()}
+    assert ranks == {(1, 5): 1, (1, 2): 2, (2, 7): 1, (2, 8): 2, (2, 10): 3, (None, 1): 1}
     best = reply_trees.formatted(nodes, top=1).collect()
     assert {(r.tree_id, r.leaf_id) for r in best} == {(1, 5), (2, 7), (None, 1)}
     back = reply_trees.formatted(nodes).select("leaf_id", "tree_id", reply_trees.turns_of(F.col("formatted")).alias("turns"), reply_trees.masked(F.col("formatted"), F.col("loss_mask")).alias("loss")).collect()
@@ -126,3 +170,30 @@ def test_deep_thread_and_escapes(spark):
     expected = sorted([t for t in turns if t[0] == 1], key=lambda t: (t[1], t[2], t[3]))
     assert [(x.role, x.text) for x in got[1].t] == [(t[2], t[3]) for t in expected]
     assert got[1].loss == "".join(t[3] for t in expected if t[2] == "assistant") and len(got[2].t) == 1
+
+
+def test_circles_and_unordered_ids(spark):
+    # 3 -> 9 -> 5 is a path whose ids are in no order; 1 -> 2 -> 3 -> 1 is a circle with a reply; ids that are texts.
+    data = [("a", "r9", None), ("a", "z1", "r9"), ("a", "b5", "z1"), ("a", "c7", "z1"), ("c", "1", "3"), ("c", "2", "1"), ("c", "3", "2"), ("c", "4", "2"), ("c", "7", "7")]
+    nodes = spark.createDataFrame([(*d, "user", d[1], 0.0, "x") for d in data], "tree_id string, node_id string, parent_id string, role string, text string, score double, up string")
+    members = {}
+    for r in reply_trees.paths(nodes).collect():
+        members.setdefault((r.tree_id, r.leaf_id), []).append((r.height, r.node_id))
+    got = {k: [n for _, n in sorted(v, reverse=True)] for k, v in members.items()}
+    assert got == {("a", "b5"): ["r9", "z1", "b5"], ("a", "c7"): ["r9", "z1", "c7"], ("c", "3"): ["1", "2", "3"], ("c", "4"): ["1", "2", "4"], ("c", "7"): ["7"]}
+
+
+def test_many_sources(spark):
+    sizes = {f"={i:03d}": 1 + (i * 37) % 90 for i in range(300)}
+    data = spark.createDataFrame([(j * 1000 + i, k[1:]) for j, (k, n) in enumerate(sizes.items()) for i in range(n)], "doc_id long, source string")
+    got = mixing.mix(data, block_rows=4).select("key", "block", "slot", "release", "deadline", "position").collect()
+    used = {k: max(1, math.floor(math.sqrt(n) / math.sqrt(max(sizes.values())) * 32 + 0.5)) for k, n in sizes.items()}
+    plan = simulate({k: -(-n // 4) for k, n in sizes.items()}, used)
+    assert sorted(r.position for r in got) == list(range(sum(sizes.values())))
+    assert {(r.key, r.block, r.slot, r.release, r.deadline) for r in got} == {(k, b, slot, r, d) for slot, (k, b, r, d) in enumerate(plan)}
+
+
+def test_rows_without_ids_are_no_hot_key(spark):
+    data = spark.range(3000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'s' AS source", "CAST(id AS STRING) AS text")
+    out = mixing.mix(data)
+    assert sorted(r.position for r in out.select("position").collect()) == list(range(3000))
