@@ -62,3 +62,45 @@ def test_stages(spark, tmp_path, known):  # noqa: F811
 def test_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+
+
+def test_mixing_stage_orders_the_rows(spark, tmp_path):
+    from gleanmill.llm import pfair_mixing
+
+    docs = spark.createDataFrame([(i, f"t {i}", "en", f"s{i % 7 % 3}", 3) for i in range(200)], "doc_id long, text string, lang string, source string, n_chars long")
+    stage = dict(corpus_pipeline.STAGES)["pfair_mixing"]
+    stage(spark, docs, "").write.parquet(f"{tmp_path}/mixed")
+    files = sorted((tmp_path / "mixed").glob("part-*.parquet"))
+    read = [r.doc_id for f in files for r in spark.read.parquet(str(f)).collect()]
+    places = {r.doc_id: r.position for r in pfair_mixing.mix(docs).select("row.doc_id", "position").collect()}
+    assert [places[i] for i in read] == list(range(200)) and read != sorted(read)
+
+
+def written(spark, folder, docs, labels, extra=""):
+    schema = "doc_id long, text string, lang string, source string, n_chars long" + extra
+    spark.createDataFrame(docs, schema).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+
+
+def test_empty_tables(spark, tmp_path):
+    written(spark, tmp_path, [], [])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_nulls_repeated_ids_and_other_columns(spark, tmp_path):
+    """Nulls in any column, an id with two texts, copies under one id, and columns that operators use by name inside."""
+    words = lambda k: " ".join(f"{k}{i}" for i in range(70))
+    more = ("b", 1, "k", [1], 7)
+    docs = [
+        (1, words("a"), "en", "s", 1), (1, words("b"), None, None, None), (1, words("a"), "en", "s", 1), (None, words("c"), "en", "s", 1), (2, words("c"), "en", "s", 1),
+        (None, words("d"), None, None, None), (3, None, None, None, None), (4, "", "", "", 0), (5, words("e") + " x@mail.example.com", "en", "t", 5), (6, "e " * 300_000 + words("f"), "en", "t", 6),
+    ]
+    written(spark, tmp_path, [(*d, *more) for d in docs], [(1, 1, 0), (None, 1, 0), (2, None, None), (2, 1, 1), (99, 1, 0)], ", `rank` string, block int, key string, tokens array<int>, position int")
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in out) == [(False, 1), (False, 1), (False, 2), (False, 5), (True, 0)]
+    table = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = table
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, str(tmp_path))
+        assert kept.columns == table.columns, name
+    assert "[EMAIL]" in kept.filter("doc_id = 5").first().text
