@@ -104,7 +104,7 @@ _PATTERNS = (
     (IP, re.compile(r"[0-9a-fA-F]:[0-9a-fA-F:]"), re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9a-fA-F]{1,4}:){2,7}(?::?[0-9a-fA-F]{1,4})(?::[0-9a-fA-F]{1,4}){0,5}(?![0-9A-Za-z:])")),
     (CARD, _DIGIT, re.compile(r"(?<![0-9])[0-9]{4}(?:[./_ -]{1,2}[0-9]{4}){2}[./_ -]{1,2}[0-9]{1,7}(?![0-9])")),
     (CARD, _DIGIT, re.compile(r"(?<![0-9])[0-9]{12,19}(?![0-9])")),
-    (PHONE, _DIGIT, re.compile(r"(?<![A-Za-z0-9])\(?[0-9]{1,5}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,8}\)?){1,6}(?![A-Za-z0-9])")),
+    (PHONE, _DIGIT, re.compile(r"(?<![A-Za-z0-9])\(?[0-9]{1,5}\)?(?:[\x20./-]{1,3}\(?[0-9]{2,8}\)?){1,6}(?![A-Za-z0-9])")),
     (PHONE, _DIGIT, re.compile(r"(?<![A-Za-z0-9])0[0-9]{7,14}(?![A-Za-z0-9])")),
     (SSN, _DIGIT, re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9A-Za-z-])")),
     (IBAN, _DIGIT, re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,4})?(?![A-Za-z0-9])")),
@@ -257,7 +257,7 @@ def _grouped(text: str, n: int = 4) -> str:
 
 def _iban(rng: random.Random) -> str:
     country, n = rng.choice((("DE", 18), ("FR", 23), ("ES", 20), ("GB", 18), ("NL", 14), ("BE", 12), ("AT", 16), ("IT", 23)))
-    body = ("ABNA" + _number(rng, n - 4)) if country in ("GB", "NL") else _number(rng, n)
+    body = (_of(rng, "ABCDEFGHIKLMNOPRSTUVW", 4) + _number(rng, n - 4)) if country in ("GB", "NL") else _of(rng, "0123456789" * 4 + "ABKLMRS" * rng.randint(0, 1), n)
     check = 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
     whole = f"{country}{check:02d}{body}"
     return whole if rng.random() < 0.4 else _grouped(whole)
@@ -295,11 +295,11 @@ def _one(rng: random.Random, kind: int, good: bool) -> str:
         return fake if rng.random() < 0.5 else _grouped(fake)
     if kind == SECRET:
         if good:
-            return rng.choice((_of(rng, _HEX, rng.choice((32, 40, 64))), _of(rng, _B64, rng.randint(24, 60)), "AKIA" + _of(rng, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16), "ghp_" + _of(rng, _B64[:-2], 36), "sk-" + _of(rng, _B64[:-2], 40), "eyJ" + _of(rng, _B64[:-2], 60), word() + rng.choice("!#$%&*") + _number(rng, rng.randint(2, 4)), word().title() + _number(rng, 4) + rng.choice("!$#"), _of(rng, _B64[:-2], rng.randint(10, 16))))
+            return rng.choice((_of(rng, _HEX, rng.choice((32, 40, 64))), _of(rng, _B64, rng.randint(24, 60)), "AKIA" + _of(rng, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16), _of(rng, "AKIS", 4) + _of(rng, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", rng.randint(8, 15)) + _of(rng, "234567", 1) + _of(rng, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", rng.randint(4, 8)), "ghp_" + _of(rng, _B64[:-2], 36), "sk-" + _of(rng, _B64[:-2], 40), "eyJ" + _of(rng, _B64[:-2], 60), word() + rng.choice("!#$%&*") + _number(rng, rng.randint(2, 4)), word().title() + _number(rng, 4) + rng.choice("!$#"), _of(rng, _B64[:-2], rng.randint(10, 16))))
         return rng.choice((_of(rng, _HEX, rng.choice((32, 40, 64))), f"{_of(rng, _HEX, 8)}-{_of(rng, _HEX, 4)}-{_of(rng, _HEX, 4)}-{_of(rng, _HEX, 4)}-{_of(rng, _HEX, 12)}", "/".join(word(3) for _ in range(5)) + str(rng.randint(1, 99)), "-".join(word(3) for _ in range(5)) + f"-{rng.randint(1, 2030)}", "_".join(word(3) for _ in range(5)) + str(rng.randint(1, 9)), word(6), word(6) + "s", _number(rng, 24)))
     if good:
         n = lambda k: _number(rng, k)
-        return rng.choice((f"({n(3)}) 555-{n(4)}", f"{n(3)}-555-{n(4)}", f"0{n(2)} {n(3)} {n(4)}", f"0{n(3)}/{n(3)} {n(3)}", f"00{rng.choice('1349')}{n(10)}", f"0{n(1)} " + " ".join(n(2) for _ in range(4)), f"0{n(3)} {n(7)}", f"0{n(2)} {n(8)}", f"0{n(3)}-{n(6)}", f"(0{n(2)}) {n(3)} {n(2)} {n(2)}", f"(0{n(3)}) {n(6)}", f"1-800-{n(3)}-{n(4)}", f"{n(3)}.{n(3)}.{n(4)}", f"{n(3)}-{n(4)}", f"9{n(2)} {n(3)} {n(3)}", f"0{n(2)} {n(4)} {n(4)}", f"0{n(2)} {n(4)} {n(4)}", f"0{rng.choice('67')}{n(8)}", f"00 {rng.randint(30, 49)} {n(3)} {n(7)}", f"00{rng.randint(30, 49)} {n(3)} {n(7)}", f"00{rng.randint(30, 49)} {n(2)} {n(4)} {n(3)}", f"{n(3)} {n(3)} {n(4)}"))
+        return rng.choice((f"({n(3)}) 555-{n(4)}", f"{n(3)}-555-{n(4)}", f"0{n(2)} {n(3)} {n(4)}", f"0{n(3)}/{n(3)} {n(3)}", f"0{n(3)} / {n(3)} {n(2)} {n(2)}", f"00{rng.choice('1349')}{n(10)}", f"0{n(1)} " + " ".join(n(2) for _ in range(4)), f"0{n(3)} {n(7)}", f"0{n(2)} {n(8)}", f"0{n(3)}-{n(6)}", f"(0{n(2)}) {n(3)} {n(2)} {n(2)}", f"(0{n(3)}) {n(6)}", f"1-800-{n(3)}-{n(4)}", f"{n(3)}.{n(3)}.{n(4)}", f"{n(3)}-{n(4)}", f"9{n(2)} {n(3)} {n(3)}", f"0{n(2)} {n(4)} {n(4)}", f"0{n(2)} {n(4)} {n(4)}", f"0{rng.choice('67')}{n(8)}", f"00 {rng.randint(30, 49)} {n(3)} {n(7)}", f"00{rng.randint(30, 49)} {n(3)} {n(7)}", f"00{rng.randint(30, 49)} {n(2)} {n(4)} {n(3)}", f"{n(3)} {n(3)} {n(4)}"))
     return rng.choice((f"{rng.randint(10, 31)}.{rng.randint(10, 12)}.{rng.randint(1900, 2030)}", f"{rng.randint(10, 31)}/{rng.randint(10, 12)}/{rng.randint(1900, 2030)}", f"{rng.randint(1900, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 31)}", f"{rng.randint(10, 99)}.{_number(rng, 3)}.{_number(rng, 3)}", f"{rng.randint(100, 999)} {_number(rng, 3)} {_number(rng, 3)}", f"{_number(rng, 4)} {_number(rng, 4)} {_number(rng, 3)}", f"000{_number(rng, 8)}", f"0{_number(rng, rng.randint(9, 13))}", f"978-{_number(rng, 1)}-{_number(rng, 2)}-{_number(rng, 6)}-{_number(rng, 1)}", f"{rng.randint(1900, 2030)}-{rng.randint(1900, 2030)}", f"{_number(rng, 2)} {_number(rng, 2)} {_number(rng, 4)}", f"{rng.randint(1, 9)} {_number(rng, 3)} {_number(rng, 3)}", f"{_number(rng, 5)}-{_number(rng, 4)}", f"{_number(rng, 3)}-{_number(rng, 4)}"))
 
 
