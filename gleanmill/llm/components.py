@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanmill.llm.frames import kept
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable from each node of ``links`` (a, b).
@@ -14,14 +16,14 @@ def components(links: DataFrame) -> DataFrame:
     rounds. Labels are checkpointed each round, which keeps plans short and
     survives lost executors. An empty table has no components.
     """
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct().checkpoint()
+    both = kept(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct())
     labels = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label"))
-    labels = labels.checkpoint()
+    labels = kept(labels)
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("m"))
         low = labels.join(near, F.col("node") == F.col("a")).select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         up = low.select(F.col("node").alias("n"), F.col("label").alias("next"))
-        new = low.join(up, F.col("label") == F.col("n"), "left").select("node", "old", F.least("label", "next").alias("label")).checkpoint()
+        new = kept(low.join(up, F.col("label") == F.col("n"), "left").select("node", "old", F.least("label", "next").alias("label")))
         labels = new.select("node", "label")
         if new.filter("old <> label").isEmpty():
             return labels

@@ -4,31 +4,41 @@ Two documents link when 5 * |A & B| >= 4 * |A | B| over their shingle sets.
 
 1. Documents with equal sets form a class, named by a 64-bit hash of the set;
    classes are what is compared from here on.
-2. Sets are ordered by (frequent, hash). Documents that link share a token among
-   the first n - ceil(0.8 n) + 1 of either, so only these tokens are matched.
-   Frequent tokens, such as those of passages that many documents share, come
-   last: they are the at most ``HOT_TOKENS`` commonest ones by counts over
-   slices of all texts. Any such list is right, a good one is fast.
-   A pair must even share o - ceil(0.8 m) + 1 of them, with o = ceil(4/9 (a + b))
-   for sizes a and b and m the larger one: nearly a tenth of the set if the sizes
-   are equal.
-3. Documents that share such a token form a list. Every document is compared
-   with the one partner it shares most lists with; the links found give groups of
-   similar documents.
-4. Token-group matrix: of the groups that meet in a list, the documents of the
-   smaller one are queries against the larger one. A group is kept in parts of
-   about ``PART`` documents with the union of their tokens; a query opens a part
-   only if it shares four fifths of its tokens with the union, and is then
-   compared with the documents in it. One link joins two groups, the rest of the
-   pairs between them need no look.
+2. Sets are ordered by (frequent, hash). Of a linked pair, one of the first
+   n - ceil(8n/9) + 1 tokens of the smaller set (its index tokens) is among the
+   first n - ceil(4n/5) + 1 of the other (its probe tokens); only these are
+   matched. Frequent tokens, such as those of passages that many documents share,
+   come last: the at most ``HOT_TOKENS`` commonest ones by counts over slices of
+   all texts. Any such list is right, a good one is fast: a passage that is less
+   than eight ninths of a document is never among its index tokens, so documents
+   that share no more than that do not meet.
+   A linked pair also shares o - ceil(4m/5) + 1 of its probe tokens, with o =
+   ceil(4/9 (a + b)) for sizes a and b and m the larger one.
+3. Similar documents are partitioned into groups: of the documents that meet over
+   a token, each is compared with the one it meets most, if they share enough
+   probe tokens; the links found give the groups. A document that links with none
+   is a group of its own.
+4. Token-group matrix: a group is kept in parts of about ``PART`` documents, and
+   of each part the union of its tokens to match is stored, one row per token (or
+   per set of tokens that the same documents have) and part. A document that
+   meets another group over an index token is a query. Its tokens are counted in
+   the unions of that group's parts; a part qualifies if the count reaches what a
+   link with one of its sizes needs. Then the whole sets are bounded in the same
+   way, by unions of 16 bits of every token (32 bits of sets with over
+   ``WIDE`` tokens), counted so that no overlap is told too small. Only the parts
+   that still qualify are opened: sets are shipped first to the best part of each
+   group, then to the others for the queries that did not link there. One link
+   joins two groups.
 5. Components of all links are final: pairs never compared are either in one
    component already, or share no token that a linked pair must share.
 
-Copies are never paired with each other and no list is expanded into pairs
-of documents: a list gives one row per member and (query, group) pairs only
-between groups that are still apart.
+Copies are never paired with each other and no list is expanded into pairs of
+documents: a list gives one row per member, and (query, group) pairs only
+between groups that are still apart. Lists, groups and partners with many rows
+are spread over salts.
 
-Only sets of documents that pass the counts are shuffled, each once per use.
+Texts are hashed for the classes and for the tokens to match; after that only those
+of documents that are compared.
 
 Defined results: a null or empty text has no shingles and its own id as
 component; a null id takes part only through documents of equal text; rows that
@@ -41,22 +51,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanmill.llm.arrow_text import slices
+from gleanmill.llm.arrow_text import release, slices
 from gleanmill.llm.components import components
+from gleanmill.llm.frames import kept
 from gleanmill.llm.shingles import mix, sets
 from gleanmill.session import ensure_checkpoint_dir, table
 
 HOT_TOKENS = 200_000
 HOT_DOCS = 48
 PART = 64
-#: Ids of at most so many documents are broadcast to filter the texts; more are joined by a shuffle.
+#: Ids or names of at most so many rows are broadcast to the texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 CHUNK = 512
+WIDE = 1024
+#: Rows of one key that go to one task before the key is salted.
+CROWD = 4096
 #: Bytes of text hashed at a time; the arrays take some forty times as much.
-SLICE = 7 << 18
+SLICE = 5 << 18
 _LONGS = pa.list_(pa.int64())
 
 
@@ -65,6 +79,16 @@ def needed(n):
     return (4 * n + 4) // 5
 
 
+def least_index(n):
+    """Tokens that a set of n must share with a linked set that is not smaller: ceil(8n/9)."""
+    return (8 * n + 8) // 9
+
+
+def row_key() -> Column:
+    """64 bits that name a row by its id and text."""
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("text").cast("string"))
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -75,7 +99,7 @@ def _node(s: np.ndarray) -> int | None:
 
 
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two kinds of rows: (doc_id, n, node) of each text, and (token, docs) for tokens in three or more sets of a slice."""
+    """Two kinds of rows: (doc_id, row_key, n, node) of each text, and (token, docs) for tokens in three or more sets of a slice."""
     for rows, raw, offsets in slices(batches, "text", SLICE):
         every = list(sets(raw, offsets))
         nodes = [_node(s) for s in every]
@@ -86,13 +110,15 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.concat_arrays([rows.column(0), pa.array(none, pa.int64())]),
+                pa.concat_arrays([rows.column(2), pa.array(none, pa.int64())]),
                 pa.array([len(s) for s in every] + none, pa.int64()),
                 pa.array(nodes + none, pa.int64()),
                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(tokens)]),
                 pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(docs)]),
             ],
-            ["doc_id", "n", "node", "token", "docs"],
+            ["doc_id", "row_key", "n", "node", "token", "docs"],
         )
+    release()
 
 
 def _common(scanned: DataFrame) -> np.ndarray:
@@ -103,7 +129,7 @@ def _common(scanned: DataFrame) -> np.ndarray:
 
 
 def _matched(s: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The tokens of a set that are matched: the first ones in the order (common, hash)."""
+    """The probe tokens of a set: the first ones in the order (common, hash)."""
     if len(common):
         at = np.minimum(np.searchsorted(common, s), len(common) - 1)
         often = common[at] == s
@@ -112,7 +138,7 @@ def _matched(s: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def _dealt(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
-    """The tokens to match, dealt to buckets by their high bits: packed (40 low bits of the token, node) pairs."""
+    """The tokens to match, dealt to buckets by their high bits: packed (39 low bits of the token and whether it is an index token, node) pairs."""
     shipped = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,20 +148,23 @@ def _dealt(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
                 continue
             parts = [_matched(s, shipped.value) for s in distinct.values()]
             tokens = np.concatenate(parts)
-            owner = np.repeat(np.fromiter(distinct, np.int64, len(distinct)), [len(x) for x in parts])
+            sizes = [len(x) for x in parts]
+            owner = np.repeat(np.fromiter(distinct, np.int64, len(distinct)), sizes)
+            index = np.concatenate([np.arange(len(x)) <= len(s) - least_index(len(s)) for x, s in zip(parts, distinct.values(), strict=True)])
             order = np.argsort(tokens, kind="stable")
-            tokens, owner = tokens[order], owner[order]
+            tokens, owner, index = tokens[order], owner[order], index[order]
             bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             edges = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(tokens)]])
-            low, high = tokens.astype(np.uint32), (tokens >> np.uint64(32)).astype(np.uint8)
+            low, high = tokens.astype(np.uint32), ((tokens >> np.uint64(32)).astype(np.uint8) & np.uint8(0x7F)) | (index.astype(np.uint8) << np.uint8(7))
             packed = [low[a:b].tobytes() + high[a:b].tobytes() + owner[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(bucket[edges[:-1]], pa.int64()), pa.array(packed, pa.binary())], ["bucket", "packed"])
+        release()
 
     return _texts(docs).filter("doc_id IS NOT NULL").select("text").mapInArrow(run, "bucket long, packed binary")
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by bucket: (list, size, part, members, times) of tokens with two or more classes."""
+    """From rows sorted by bucket: (list, size, part, members, index, times) of tokens where classes meet."""
     held: list[bytes] = []
     current = None
     for batch in batches:
@@ -147,6 +176,7 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append(packed.as_py())
     if held:
         yield from _lists(held)
+    release()
 
 
 def _lists(held: list[bytes]) -> Iterator[pa.RecordBatch]:
@@ -154,75 +184,177 @@ def _lists(held: list[bytes]) -> Iterator[pa.RecordBatch]:
     low = np.concatenate([np.frombuffer(x, np.uint32, n) for x, n in zip(held, sizes, strict=True)])
     high = np.concatenate([np.frombuffer(x, np.uint8, n, 4 * n) for x, n in zip(held, sizes, strict=True)])
     ids = np.concatenate([np.frombuffer(x, np.int64, n, 5 * n) for x, n in zip(held, sizes, strict=True)])
-    tokens = (high.astype(np.uint64) << np.uint64(32)) | low
-    order = np.lexsort((ids, tokens))
-    tokens, ids = tokens[order], ids[order]
+    index = high >= 0x80
+    tokens = ((high & np.uint8(0x7F)).astype(np.uint64) << np.uint64(32)) | low
+    order = np.lexsort((~index, ids, tokens))
+    tokens, ids, index = tokens[order], ids[order], index[order]
     once = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1])])  # copies met in several slices
-    tokens, ids = tokens[once], ids[once]
+    tokens, ids, index = tokens[once], ids[once], index[once]
     start = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
     size = np.diff(np.append(start, len(tokens)))
-    key = np.add.reduceat(mix(ids.view(np.uint64)), start)
-    shared = size > 1
-    start, size, key = start[shared], size[shared], key[shared]
+    key = np.add.reduceat(mix(ids.view(np.uint64) + index.astype(np.uint64)), start)
+    met = size > 1
+    start, size, key = start[met], size[met], key[met]
     _, first, times = np.unique(key, return_index=True, return_counts=True)
-    names, wholes, parts, members, counts = [], [], [], [], []
+    rows: list[list] = [[], [], [], [], [], []]
     for i, many in zip(first.tolist(), times.tolist(), strict=True):
-        whole = ids[start[i] : start[i] + size[i]]
-        for part in range(0, len(whole), CHUNK):
-            names.append(int(key[i].view(np.int64)))
-            wholes.append(len(whole))
-            parts.append(part // CHUNK)
-            members.append(whole[part : part + CHUNK])
-            counts.append(many)
-    if names:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.int64()), pa.array(wholes, pa.int64()), pa.array(parts, pa.int32()), pa.array(members, _LONGS), pa.array(counts, pa.int64())],
-            ["list", "size", "part", "members", "times"],
-        )
+        end = start[i] + size[i]
+        for part, at in enumerate(range(start[i], end, CHUNK)):
+            upto = min(at + CHUNK, end)
+            for column, value in zip(rows, (int(key[i].view(np.int64)), int(size[i]), part, ids[at:upto], index[at:upto], many), strict=True):
+                column.append(value)
+    if rows[0]:
+        kinds = (pa.int64(), pa.int64(), pa.int32(), _LONGS, pa.list_(pa.bool_()), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, kinds, strict=True)], ["list", "size", "part", "members", "index", "times"])
 
 
-def _few(frame: DataFrame) -> DataFrame:
-    """A frame of ids, marked for a broadcast only after a count of its rows."""
-    return F.broadcast(frame) if frame.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else frame
+def _few(frame: DataFrame, rows: int) -> DataFrame:
+    """A frame of names with its number of rows, marked for a broadcast if it is small."""
+    return F.broadcast(frame) if rows <= BROADCAST_IDS else frame
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, tokens) with the whole sets of the documents named by ``wanted`` (rep)."""
+def _hashed(docs: DataFrame, wanted: DataFrame, told, kind: str, arrow: pa.DataType) -> DataFrame:
+    """(node, tokens) of the classes in ``wanted`` (node, rep), with ``told`` of each set; rows that repeat a class's first id repeat it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, raw, offsets in slices(batches, "text", SLICE):
-            found = [s for s in sets(raw, offsets) if len(s)]
-            yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in found], pa.int64()), pa.array([s.view(np.int64) for s in found], _LONGS)], ["node", "tokens"])
+            found = {_node(s): s for s in sets(raw, offsets) if len(s)}
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array([told(s) for s in found.values()], arrow)], ["node", "tokens"])
+        release()
+
+    ids = kept(wanted.select(F.col("rep").alias("__gm_id")).distinct())
+    return _texts(docs).join(_few(ids, ids.count()), F.col("doc_id") == F.col("__gm_id"), "left_semi").select("text").mapInArrow(run, f"node long, tokens {kind}").checkpoint()
+
+
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, tokens): whole sets."""
+    return _hashed(docs, wanted, lambda s: s.view(np.int64), "array<bigint>", _LONGS)
+
+
+def prints(s: np.ndarray) -> bytes:
+    """The high 16 bits of every token of a set, 32 of a large one, in order."""
+    kind, shift = (np.uint16, 48) if len(s) <= WIDE else (np.uint32, 32)
+    return (s >> np.uint64(shift)).astype(kind).tobytes()
+
 
-    ids = wanted.select(F.col("rep").alias("__gm_id")).distinct()
-    return _texts(docs).join(_few(ids), F.col("doc_id") == F.col("__gm_id"), "left_semi").select("text").mapInArrow(run, "node long, tokens array<bigint>")
+def counted(told: bytes, n: int, wide: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(values, times) of the prints of a set of n tokens; narrow ones if they are not asked wide."""
+    values = np.frombuffer(told, np.uint32 if len(told) == 4 * n else np.uint16)
+    if not wide and values.dtype == np.uint32:
+        values = (values >> np.uint32(16)).astype(np.uint16)
+    return np.unique(values, return_counts=True)
+
+
+def union(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The prints of which no member has any more often."""
+    if len(parts) == 1:
+        return parts[0]
+    values, times = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    order = np.lexsort((times, values))
+    values, times = values[order], times[order]
+    last = np.append(values[1:] != values[:-1], True)
+    return values[last], times[last]
+
+
+def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> int:
+    """At least the tokens that a set shares with any member of a union."""
+    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    return int(np.minimum(a[1][i], b[1][j]).sum())
 
 
 def _least(a: str, b: str) -> str:
-    """SQL for the number of matched tokens that a linked pair of these sizes shares at least."""
+    """SQL for the number of probe tokens that a linked pair of these sizes shares at least."""
     return f"greatest(1L, (4 * ({a} + {b}) + 8) div 9 - (4 * greatest({a}, {b}) + 4) div 5 + 1)"
 
 
-def _links(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, out of pairs with a_rep and b_rep; one set is sent to the other."""
-    left = _sets(docs, pairs.select(F.col("a_rep").alias("rep"))).join(_few(pairs.select("a", "b")), F.col("node") == F.col("a")).select("a", "b", F.col("tokens").alias("x"))
-    right = _sets(docs, pairs.select(F.col("b_rep").alias("rep"))).select("node", F.col("tokens").alias("y"))
-    both = left.join(right, F.col("b") == F.col("node"))
+def _salted(frame: DataFrame, key: str, rows: int = CROWD) -> DataFrame:
+    """(key, salts): into how many tasks the rows of a key are dealt."""
+    return frame.groupBy(key).agg(F.expr(f"1 + count(1) div {rows}").alias("salts"))
+
+
+def _leader_links(held: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Links (a, b) among ``pairs`` (node, partner); one set is sent to the other, a partner of many is salted."""
+    salts = kept(_salted(pairs.select(F.col("partner").alias("b")), "b", 256))
+    named = pairs.join(salts, F.col("partner") == F.col("b")).select(F.col("node").alias("a"), "b", F.expr("pmod(xxhash64(node), salts)").alias("s"))
+    asks = held.select(F.col("node").alias("m"), F.col("tokens").alias("x")).join(named, F.col("m") == F.col("a")).select("a", "b", "s", "x")
+    leaders = held.select(F.col("node").alias("c"), F.col("tokens").alias("y")).join(salts, F.col("c") == F.col("b")).select("c", "y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("t"))
+    both = asks.join(leaders, (F.col("b") == F.col("c")) & (F.col("s") == F.col("t")))
     return both.filter(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b")
 
 
-def _opened(key, queries: pa.Table, members: pa.Table) -> pa.Table:
-    """Links of one part of a group: the bound against its union first, then its documents."""
+def listed(docs: DataFrame, common: np.ndarray) -> DataFrame:
+    """(list, size, times, node, index): one row per class and list of classes that meet over a token."""
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = _dealt(docs, common, 16 * partitions).repartition(partitions, "bucket").sortWithinPartitions("bucket")
+    found = found.mapInArrow(_listed, "list long, size long, part int, members array<bigint>, index array<boolean>, times long")
+    lists = found.groupBy("list", "part").agg(F.first("size").alias("size"), F.first("members").alias("members"), F.first("index").alias("index"), F.sum("times").alias("times"))
+    return kept(lists.select("list", "size", "times", F.explode(F.arrays_zip("members", "index")).alias("m")).select("list", "size", "times", F.col("m.members").alias("node"), F.col("m.index").alias("index")))
+
+
+def partners(members: DataFrame, known: DataFrame) -> DataFrame:
+    """(node, rep, partner, partner_rep): each listed class with the one that leads most of its lists, if they share enough to link."""
+    heads = known.select(F.col("node").alias("head"), F.col("n").alias("h"), F.col("rep").alias("h_rep"))
+    # The head of a list is its member that meets most others: the text that a family of near copies was made from.
+    met = members.groupBy("node").agg(F.sum(F.col("times") * F.col("size")).alias("meets"))
+    headed = members.join(met, "node").groupBy("list").agg(F.max_by("node", F.struct("meets", "node")).alias("head"))
+    pairs = members.join(headed, "list").filter("node <> head").groupBy("node", "head").agg(F.sum("times").alias("times"))
+    sized = pairs.join(known, "node").join(heads, "head").filter(f"5 * least(n, h) >= 4 * greatest(n, h) AND times >= {_least('n', 'h')}")
+    best = sized.groupBy("node", "rep").agg(F.max_by(F.struct("head", "h_rep"), F.struct("times", -F.col("head"))).alias("best"))
+    return kept(best.select("node", "rep", F.col("best.head").alias("partner"), F.col("best.h_rep").alias("partner_rep")))
+
+
+def parted(grouped: DataFrame) -> DataFrame:
+    """(node, n, rep, grp, part): the part of its group that a class is in."""
+    sizes = grouped.groupBy(F.col("grp").alias("g")).agg(F.expr(f"1 + (count(1) - 1) div {PART}").alias("parts"))
+    return kept(grouped.join(sizes, F.col("grp") == F.col("g")).select("node", "n", "rep", "grp", F.expr("pmod(xxhash64(node), parts)").alias("part")))
+
+
+def asked(members: DataFrame, grouped: DataFrame) -> DataFrame:
+    """(node, n, g): the queries, each with a group that has an index token of it and sizes that allow a link.
+
+    ``grouped`` is (node, n, grp) of all listed classes. Rows grow with the
+    entries of lists that still have several groups, times the groups that have
+    the token as an index token.
+    """
+    rows = members.join(grouped.select("node", "n", "grp"), "node").select("list", "node", "n", "grp", "index")
+    open_ = rows.groupBy("list").agg((F.min("grp") != F.max("grp")).alias("open"), F.expr(f"1 + count(1) div {CROWD}").alias("salts")).filter("open").select("list", "salts")
+    rows = kept(rows.join(open_, "list"))
+    groups = rows.filter("index").groupBy("list", "salts", F.col("grp").alias("g")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    groups = groups.select("list", "g", "low", "high", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    probes = rows.withColumn("salt", F.expr("pmod(xxhash64(node), salts)")).drop("salts")
+    return kept(probes.join(groups, ["list", "salt"]).filter("grp <> g AND n >= low AND 4 * n <= 5 * high").select("node", "n", "g").distinct())
+
+
+def qualified(queries: DataFrame, members: DataFrame, grouped: DataFrame) -> DataFrame:
+    """(node, n, g, part): the parts whose union has enough of a query's tokens for a link with one of their sizes.
+
+    ``queries`` is (node, n, g), ``grouped`` (node, n, rep, grp, part). Only names
+    of lists move here, no sets.
+    """
+    crowds = kept(queries.groupBy("g").agg(F.expr(f"1 + count(1) div {CROWD}").alias("crowds")))
+    inside = grouped.join(crowds, F.col("grp") == F.col("g")).select("node", "n", "g", "part", "crowds")
+    sizes = inside.groupBy("g", "part", "crowds").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    union = members.select("list", "node").join(inside.select("node", "g", "part", "crowds"), "node").select("list", "g", "part", "crowds").distinct()
+    union = union.select("list", "g", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("crowds") - 1)).alias("crowd"))
+    asks = queries.join(crowds, "g").select("node", "n", "g", F.expr("pmod(xxhash64(node), crowds)").alias("crowd"))
+    counts = (
+        asks.join(members.select("list", "times", F.col("node").alias("m")), F.col("node") == F.col("m")).drop("m")
+        .join(union, ["list", "g", "crowd"]).groupBy("node", "n", "g", "part").agg(F.sum("times").alias("bound"))
+    )
+    sized = counts.join(sizes.drop("crowds"), ["g", "part"]).withColumn("lo", F.expr("greatest(low, (4 * n + 4) div 5)")).withColumn("hi", F.expr("least(high, (5 * n) div 4)"))
+    # What a link needs rises with the other size up to n and then falls, but for rounding, which repeats every nine sizes.
+    ends = ", ".join(_least("n", x) for x in ("lo", *(f"greatest(lo, hi - {k})" for k in range(9))))
+    return kept(sized.filter(f"lo <= hi AND bound >= least({ends})").select("node", "n", "g", "part"))
+
+
+def _opened(key: tuple[pa.Scalar, ...], queries: pa.Table, members: pa.Table) -> pa.Table:
+    """The first link of each query among the documents of one part."""
     a, b = [], []
     if queries.num_rows and members.num_rows:
         own = [np.asarray(x.values, np.int64) for x in members.column("tokens")]
         ids = members.column("node").to_pylist()
-        union = np.unique(np.concatenate(own))
         for query, tokens in zip(queries.column("node").to_pylist(), queries.column("tokens"), strict=True):
             mine = np.asarray(tokens.values, np.int64)
-            at = np.minimum(np.searchsorted(union, mine), len(union) - 1)
-            if np.count_nonzero(union[at] == mine) < needed(len(mine)):
-                continue
             for other, theirs in zip(ids, own, strict=True):
                 if 5 * min(len(mine), len(theirs)) >= 4 * max(len(mine), len(theirs)):
                     shared = len(np.intersect1d(mine, theirs, assume_unique=True))
@@ -230,105 +362,129 @@ def _opened(key, queries: pa.Table, members: pa.Table) -> pa.Table:
                         a.append(query)
                         b.append(other)
                         break
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "g": pa.array([key[0].as_py()] * len(a), pa.int64())})
+
+
+def _bounded(key: tuple[pa.Scalar, ...], queries: pa.Table, members: pa.Table) -> pa.Table:
+    """(node, n, g, part, bound) of the queries that may share enough of their sets with the union of a part."""
+    out: list[tuple[int, int, int]] = []
+    held = {w: None for w in (False, True)}
+    told = [(t.as_py(), n) for t, n in zip(members.column("tokens"), members.column("n").to_pylist(), strict=True)]
+    all_wide = bool(told) and all(len(t) == 4 * n for t, n in told)
+    for node, n, tokens in zip(queries.column("node").to_pylist(), queries.column("n").to_pylist(), queries.column("tokens"), strict=True):
+        mine = tokens.as_py()
+        wide = all_wide and len(mine) == 4 * n
+        if told and held[wide] is None:
+            held[wide] = union([counted(t, m, wide) for t, m in told])
+        if told and (bound := overlap(counted(mine, n, wide), held[wide])) >= needed(n):
+            out.append((node, n, bound))
+    g, part = key[0].as_py(), key[1].as_py()
+    columns = [[x[0] for x in out], [x[1] for x in out], [g] * len(out), [part] * len(out), [x[2] for x in out]]
+    return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("node", "n", "g", "part", "bound"), columns, strict=True)})
+
+
+def _met(pairs: DataFrame, grouped: DataFrame, tokens: DataFrame, run, schema: str) -> DataFrame:
+    """What ``run`` finds between the queries and the members of each part, of ``pairs`` (node, n, g, part); parts with many queries are salted."""
+    crowds = kept(pairs.groupBy("g", "part").agg(F.expr("1 + count(1) div 256").alias("crowds")))
+    key = ["g", "part", "crowd"]
+    asks = pairs.join(crowds, ["g", "part"]).select("node", "n", "g", "part", F.expr("pmod(xxhash64(node), crowds)").alias("crowd"))
+    there = grouped.select("node", "n", F.col("grp").alias("g"), "part").join(crowds, ["g", "part"]).select("node", "n", "g", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("crowds") - 1)).alias("crowd"))
 
+    def side(rows: DataFrame):
+        held = tokens.select(F.col("node").alias("m"), F.col("tokens").alias("tokens"))
+        return held.join(rows, F.col("m") == F.col("node")).select(*[F.col(c).alias(c) for c in (*key, "node", "n")], "tokens").groupBy(*key)  # names of its own for each side
 
-def _group_links(docs: DataFrame, members: DataFrame, known: DataFrame) -> DataFrame:
-    """Links between groups that meet in lists often enough.
+    return kept(side(asks).cogroup(side(there)).applyInArrow(run, schema))
 
-    ``members`` has (list, times, node), ``known`` (node, n, rep, grp) of all
-    listed classes. The documents of the smaller group ask; a group of many
-    queries is split into crowds, a large group into parts.
-    """
-    span = known.groupBy("grp").agg(F.count(F.lit(1)).alias("docs"), F.min("n").alias("low"), F.max("n").alias("high"))
-    listed = members.join(known, "node").join(span, "grp").select("list", "times", "node", "n", "grp", "docs", "low", "high")
-    met = listed.select("list", F.col("grp").alias("g"), F.col("docs").alias("g_docs"), F.col("low").alias("g_low"), F.col("high").alias("g_high")).distinct()
-    several = met.groupBy("list").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("list")
-    met = met.join(several, "list", "left_semi")
-    asked = (
-        listed.join(several, "list", "left_semi").join(met, "list")
-        .filter("grp <> g AND (docs < g_docs OR (docs = g_docs AND grp < g)) AND 5 * n >= 4 * g_low AND 4 * n <= 5 * g_high")
-        .groupBy("node", "g", "n", "g_docs", "g_low", "g_high").agg(F.sum("times").alias("times"))
-        .withColumn("lo", F.expr("greatest(g_low, (4 * n + 4) div 5)")).withColumn("hi", F.expr("least(g_high, (5 * n) div 4)"))
-        .filter(f"times + 2 >= least({_least('n', 'lo')}, {_least('n', 'hi')})")  # two less, for rounding between the ends and for tokens that share their 40 bits
-        .select("node", "g", "g_docs")
-    ).checkpoint()
-    parts = F.expr(f"(g_docs + {PART - 1}) div {PART}")
-    crowd = asked.groupBy("g").agg(F.count(F.lit(1)).alias("asks"), F.max("g_docs").alias("g_docs"))
-    queries = asked.select("node", "g").join(crowd, "g").select("node", "g", F.expr("pmod(xxhash64(node), (asks + 255) div 256)").alias("crowd"), F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
-    held = known.select("node", "grp").join(crowd, F.col("grp") == F.col("g")).select("node", "g", F.explode(F.expr("sequence(0L, (asks + 255) div 256 - 1)")).alias("crowd"), F.pmod(F.xxhash64("node"), parts).alias("part"))
-    queries, held = queries.checkpoint(), held.checkpoint()
-    reps = known.select("node", "rep")
-    key = ["g", "crowd", "part"]
 
-    def side(rows: DataFrame):
-        tokens = _sets(docs, rows.select("node").distinct().join(reps, "node")).withColumnRenamed("node", "__gm_node")
-        return tokens.join(_few(rows), F.col("__gm_node") == F.col("node")).select(*key, "node", "tokens").groupBy(*key)
+def _named(found: DataFrame, grouped: DataFrame) -> DataFrame:
+    """(node, rep) of the queries and of the members of the parts in ``found`` (node, g, part)."""
+    parts = found.select("g", F.col("part").alias("p")).distinct()
+    members = grouped.join(parts, (F.col("grp") == F.col("g")) & (F.col("part") == F.col("p")), "left_semi").select("node", "rep")
+    return grouped.select("node", "rep").join(found.select(F.col("node").alias("m")).distinct(), F.col("node") == F.col("m"), "left_semi").union(members)
+
 
-    return side(queries).cogroup(side(held)).applyInArrow(_opened, "a long, b long")
+def group_links(docs: DataFrame, queries: DataFrame, members: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Links (a, b) between groups: the best part of each asked group first, then the others."""
+    found = qualified(queries, members, grouped)
+    told = _hashed(docs, _named(found, grouped), prints, "binary", pa.binary())
+    found = _met(found, grouped, told, _bounded, "node long, n long, g long, part long, bound long")
+    held = _sets(docs, _named(found, grouped))
+    best = kept(found.groupBy("node", "n", "g").agg(F.max_by("part", F.struct("bound", "part")).alias("part")))
+    first = _met(best, grouped, held, _opened, "a long, b long, g long")
+    done = first.select(F.col("a").alias("node"), "g")
+    rest = kept(found.select("node", "n", "g", "part").join(best, ["node", "g", "part"], "left_anti").join(done, ["node", "g"], "left_anti"))
+    if rest.isEmpty():
+        return first.select("a", "b")
+    return first.union(_met(rest, grouped, held, _opened, "a long, b long, g long")).select("a", "b")
 
 
 def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray]:
-    """(doc_id, n, node) of all rows, (node, n, rep) of all classes, and the common tokens."""
-    scanned = _texts(docs).mapInArrow(_scanned, "doc_id long, n long, node long, token long, docs long").checkpoint()
-    named = scanned.filter("token IS NULL").select("doc_id", "n", "node")
+    """(doc_id, row_key, n, node) of all rows, (node, n, rep) of all classes, and the common tokens."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("row_key"))
+    scanned = rows.mapInArrow(_scanned, "doc_id long, row_key long, n long, node long, token long, docs long").checkpoint()
+    named = scanned.filter("token IS NULL").select("doc_id", "row_key", "n", "node")
     reps = named.filter("node IS NOT NULL").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("rep"))
     return named, reps, _common(scanned)
 
 
+def groups(docs: DataFrame, members: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) with partners, and (node, n, rep, grp, part) of all listed classes by these links."""
+    pairs = partners(members, known)
+    held = _sets(docs, pairs.select("node", "rep").union(pairs.select("partner", "partner_rep")))
+    first = kept(_leader_links(held, pairs.select("node", "partner")))
+    labels = components(first).withColumnRenamed("node", "__gm_node")
+    return first, parted(known.join(labels, F.col("node") == F.col("__gm_node"), "left").select("node", "n", "rep", F.coalesce("label", "node").alias("grp")))
+
+
 def links(docs: DataFrame, reps: DataFrame, common: np.ndarray) -> DataFrame:
     """Links (a, b) between classes, enough to connect every linked pair."""
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = _dealt(docs, common, 16 * partitions)
-    found = dealt.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(_listed, "list long, size long, part int, members array<bigint>, times long")
-    lists = found.groupBy("list", "part").agg(F.first("size").alias("size"), F.first("members").alias("members"), F.sum("times").alias("times"))
-    members = lists.select("list", "size", "times", F.explode("members").alias("node")).checkpoint()
-    known = reps.join(members.select("node").distinct(), "node", "left_semi").checkpoint()
-    heads = known.select(F.col("node").alias("head"), F.col("n").alias("h"), F.col("rep").alias("h_rep"))
-    # The head of a list is its member that meets most others: the text that a family of near copies was made from.
-    met = members.groupBy("node").agg(F.sum(F.col("times") * F.col("size")).alias("meets"))
-    headed = members.join(met, "node").groupBy("list", "times").agg(F.max_by("node", F.struct("meets", "node")).alias("head"))
-    pairs = (
-        members.join(headed.select("list", "head"), "list").filter("node <> head").groupBy("node", "head").agg(F.sum("times").alias("times"))
-        .join(known, "node").join(heads, "head").filter(f"5 * least(n, h) >= 4 * greatest(n, h) AND times >= {_least('n', 'h')}")
-        .groupBy(F.col("node").alias("a"), F.col("rep").alias("a_rep")).agg(F.max_by(F.struct("head", "h_rep"), F.struct("times", -F.col("head"))).alias("best"))
-        .select("a", "a_rep", F.col("best.head").alias("b"), F.col("best.h_rep").alias("b_rep"))
-    ).checkpoint()
-    first = _links(docs, pairs).checkpoint()
-    labels = components(first).withColumnRenamed("node", "__gm_node")
-    grouped = known.join(labels, F.col("node") == F.col("__gm_node"), "left").select("node", "n", "rep", F.coalesce("label", "node").alias("grp")).checkpoint()
-    more = _group_links(docs, members.select("list", "times", "node"), grouped)
-    return first.union(more).checkpoint()
+    members = listed(docs, common)
+    known = kept(reps.join(members.select("node").distinct(), "node", "left_semi"))
+    first, grouped = groups(docs, members, known)
+    return kept(first.union(group_links(docs, asked(members, grouped), members, grouped)))
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
+def _joined(docs: DataFrame) -> DataFrame:
+    """(doc_id, row_key, n, label, component_id) of every row; the label is a set of the component."""
     ensure_checkpoint_dir(docs.sparkSession)
     named, reps, common = classes(docs)
     labels = components(links(docs, reps, common)).withColumnRenamed("node", "__gm_node")
-    linked = reps.join(labels, F.col("node") == F.col("__gm_node")).select("node", "rep", "label").checkpoint()
+    linked = reps.join(labels, F.col("node") == F.col("__gm_node")).select("node", "rep", "label")
+    linked = kept(linked)
     smallest = linked.groupBy(F.col("label").alias("l")).agg(F.min("rep").alias("component_id"))
-    of = linked.join(smallest, F.col("label") == F.col("l")).select(F.col("node").alias("c"), "component_id")
-    alone = reps.select(F.col("node").alias("m"), "rep")
-    joined = named.join(alone, F.col("node") == F.col("m"), "left").join(of, F.col("node") == F.col("c"), "left")
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "rep", "doc_id").alias("component_id"))
+    of = linked.join(smallest, F.col("label") == F.col("l")).select(F.col("node").alias("c"), "component_id", "label")
+    classed = reps.select(F.col("node").alias("m"), "rep").join(of, F.col("m") == F.col("c"), "left")
+    joined = named.join(classed.select("m", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("label", "m").alias("label")), F.col("node") == F.col("m"), "left")
+    return joined.select("doc_id", "row_key", "n", "label", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
+    return _joined(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the smallest id stays.
+    """The rows of ``docs`` without near duplicates: of each component one row with the smallest id stays.
 
-    Texts are not shuffled while the ids to drop are few. Rows that repeat a kept
-    id are dropped as well, except those without any words, which link with nothing.
+    Rows are told apart by id and text, so an id that is repeated with unlike
+    texts keeps a row for each component. A row without an id stays only in a
+    component without ids. Rows without any words link with nothing and stay.
+    Texts are not shuffled while the rows to drop are few.
     """
-    ensure_checkpoint_dir(docs.sparkSession)
-    found = join(docs).checkpoint()
-    drop = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gm_id")).distinct()
-    kept = docs.join(_few(drop), F.col("doc_id") == F.col("__gm_id"), "left_anti")
-    twice = found.filter("n_shingles > 0 AND doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("doc_id").alias("__gm_id")).checkpoint()
+    found = _joined(docs).filter("n > 0").checkpoint()
+    first = found.groupBy(F.col("label").alias("c")).agg(F.min_by("row_key", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("kept"))
+    named = found.select("row_key", "label").join(first, F.col("label") == F.col("c"))
+    drop = named.filter("row_key <> kept").select(F.col("row_key").alias("__gm_key")).distinct()
+    drop = kept(drop)
+    twice = kept(named.filter("row_key = kept").groupBy("row_key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select(F.col("row_key").alias("__gm_key")))
+    keyed = docs.withColumn("__gm_row", row_key())
+    rest = keyed.join(_few(drop, drop.count()), F.col("__gm_row") == F.col("__gm_key"), "left_anti")
     if twice.isEmpty():
-        return kept
-    single = kept.join(twice, F.col("doc_id") == F.col("__gm_id"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(twice, F.col("doc_id") == F.col("__gm_id"), "left_anti").unionByName(single)
+        return rest.drop("__gm_row")
+    side = _few(twice, twice.count())
+    single = rest.join(side, F.col("__gm_row") == F.col("__gm_key"), "left_semi").dropDuplicates(["__gm_row"])
+    return rest.join(side, F.col("__gm_row") == F.col("__gm_key"), "left_anti").unionByName(single).drop("__gm_row")
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,12 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 
 from gleanmill.llm import ngram_join
 from gleanmill.llm.components import components
+from gleanmill.session import ensure_checkpoint_dir
 from tests.llm.conftest import rows
 
 
@@ -61,6 +63,7 @@ def test_against_brute_force(spark, seed, monkeypatch):
     monkeypatch.setattr(ngram_join, "HOT_DOCS", 8)
     monkeypatch.setattr(ngram_join, "CHUNK", 4)
     monkeypatch.setattr(ngram_join, "PART", 3)
+    monkeypatch.setattr(ngram_join, "CROWD", 5)
     docs = made(seed)
     got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect())
     assert got == brute(docs)
@@ -73,6 +76,60 @@ def test_shuffled_ids_instead_of_broadcast(spark, monkeypatch):
     assert got == brute(docs)
 
 
+def licence(n):
+    """Documents of four words of their own and a line of 24 words that all share."""
+    line = " ".join(f"licence{i}" for i in range(24))
+    return [(i, f"w{i}a w{i}b w{i}c w{i}d {line}") for i in range(n)]
+
+
+def steps(spark, docs):
+    """The stages of the join up to the parts that qualify."""
+    ensure_checkpoint_dir(spark)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    _, reps, common = ngram_join.classes(frame)
+    members = ngram_join.listed(frame, common)
+    known = reps.join(members.select("node").distinct(), "node", "left_semi").checkpoint()
+    _, grouped = ngram_join.groups(frame, members, known)
+    queries = ngram_join.asked(members, grouped)
+    return queries, ngram_join.qualified(queries, members, grouped)
+
+
+@pytest.mark.parametrize("more", [[], [(-1, "licence line")]])
+def test_shared_line_asks_no_pairs(spark, monkeypatch, more):
+    monkeypatch.setattr(ngram_join, "HOT_DOCS", 20)
+    line = " ".join(f"licence{i}" for i in range(24))
+    # The line alone and with one or two more words: groups of their own that all the others meet.
+    short = [(10**6, line), (10**6 + 1, line + " end"), (10**6 + 2, line + " one two")] if more else []
+    counts = {}
+    for n in (200, 400):
+        queries, found = steps(spark, licence(n) + short)
+        counts[n] = queries.count(), found.count()
+    assert counts[400][0] <= 2 * counts[200][0] + 10 and counts[400][0] <= 4 * 400
+    assert counts[400][1] <= 2 * counts[200][1] + 10
+
+
+def test_prints_never_say_too_little():
+    rng = np.random.default_rng(3)
+
+    def told(s, wide):
+        return ngram_join.counted(ngram_join.prints(s), len(s), wide)
+
+    for size in (20, 400, 3000):
+        for _ in range(60):
+            pool = np.unique(np.concatenate([rng.integers(0, 1 << 63, size, np.uint64), rng.integers(0, 1 << 20, size, np.uint64)]))  # many agree in their high bits
+            some = [np.unique(rng.choice(pool, int(rng.integers(1, len(pool) + 1)), replace=False)) for _ in range(4)]
+            wide = all(len(s) > ngram_join.WIDE for s in some)
+            whole = ngram_join.union([told(s, wide) for s in some[1:]])
+            assert ngram_join.overlap(told(some[0], wide), whole) >= max(len(np.intersect1d(some[0], s)) for s in some[1:])
+
+
+def test_repeated_ids_with_unlike_texts(spark):
+    docs = [(1, " ".join(f"a{i}" for i in range(60))), (1, " ".join(f"b{i}" for i in range(60))), (2, " ".join(f"a{i}" for i in range(60))), (3, " ".join(f"b{i}" for i in range(59))), (3, " ".join(f"c{i}" for i in range(60)))]
+    frame = spark.createDataFrame([*docs, docs[0]], "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text[:1]) for r in ngram_join.one_of_each(frame).collect())
+    assert kept == [(1, "a"), (1, "b"), (3, "c")]
+
+
 def test_edges(edge, empty):
     got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.join(edge).collect())
     assert got == brute([(r[0], r[1]) for r in rows()])
