@@ -34,6 +34,14 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(np.full(n, _BASE, np.uint64)), np.cumprod(np.full(n, _INVERSE, np.uint64))
 
 
+def spans_hashed(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A hash of each of the neighbouring spans of a byte buffer."""
+    up, down = _powers(len(raw) + 1)
+    sums = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
+    return mix((sums[offsets[1:]] - sums[offsets[:-1]]) * down[offsets[:-1]] + np.diff(offsets).astype(np.uint64))
+
+
 def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, first word of each text and the end) of a flat UTF-8 buffer."""
     n = len(raw)

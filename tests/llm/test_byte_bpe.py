@@ -36,7 +36,7 @@ def test_equal_to_the_library(known, texts):
 
 def test_long_runs_and_memory(known, monkeypatch):
     words, library = known
-    monkeypatch.setattr(byte_bpe, "MEMORY_WORDS", 3)
+    monkeypatch.setattr(byte_bpe, "MEMORY_BYTES", 3)
     texts = ["a" * 20000, "ab" * 3000, " " * 4000 + "x", "<|endoftext|>", "one two three four five six", ""]
     assert encoded(words, texts) == [library.encode_ordinary(t) for t in texts]
     assert words.one_word(b"abababa") == library.encode_ordinary("abababa")
