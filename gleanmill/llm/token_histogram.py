@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleanmill.llm.byte_bpe import encode
-from gleanmill.session import table
+from gleanmill.session import ensure_checkpoint_dir, table
 
 BLOCK = 2048
 
@@ -91,4 +91,7 @@ def at_limits(limits: DataFrame, asked: list[int]) -> DataFrame:
 
 def op10_token_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals for every context limit over all documents, by the ids of the byte-level BPE."""
-    return context_limits(histogram(encode(table(spark, sf_dir, "documents"), with_ids=False)))
+    ensure_checkpoint_dir(spark)
+    # Both levels of the sums use the histogram: it is written once, so that no text is encoded again.
+    counts = histogram(encode(table(spark, sf_dir, "documents"), with_ids=False)).checkpoint()
+    return context_limits(counts)
