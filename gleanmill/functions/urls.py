@@ -108,14 +108,24 @@ def seen_key(url: Column) -> Column:
     return F.when(F.coalesce(url, F.lit("")) == "", F.lit("")).otherwise(F.concat(start, F.lit("://"), domain(link), way, tail))
 
 
+def decoded(part: Column) -> Column:
+    """A part of a query as it is meant; escapes that are none stay as written."""
+    return F.coalesce(F.try_url_decode(part), F.replace(part, F.lit("+"), F.lit(" ")))
+
+
+def encoded(part: Column) -> Column:
+    """A part of a query with the usual escapes; blanks are plus signs."""
+    return F.replace(F.replace(F.url_encode(part), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def canonical(url: Column) -> Column:
-    """Normal form for topic results: slashes collapsed, tracking keys dropped whole, pairs sorted by key and value."""
+    """Normal form for topic results: slashes collapsed, tracking keys dropped whole, pairs sorted by key and value and escaped anew."""
     link = F.trim(F.coalesce(url, F.lit("")))
     way = F.regexp_replace(F.regexp_replace(path(link), r";[^/]*$", ""), r"/{2,}", "/")
     way = F.when(way.isin("", "/"), F.lit("/")).otherwise(F.rtrim(way, F.lit("/")))
-    pairs = F.transform(_pairs(link), lambda p: F.struct(F.split_part(p, F.lit("="), F.lit(1)).alias("k"), F.regexp_extract(p, "^[^=]*=(.*)$", 1).alias("v")))
+    pairs = F.transform(_pairs(link), lambda p: F.struct(decoded(F.split_part(p, F.lit("="), F.lit(1))).alias("k"), decoded(F.regexp_extract(p, "^[^=]*=(.*)$", 1)).alias("v")))
     kept = F.array_sort(F.filter(pairs, lambda p: ~F.lower(p["k"]).isin(C.TRACKING_KEYS)))
-    shown = F.transform(kept, lambda p: F.when(p["v"] == "", p["k"]).otherwise(F.concat(p["k"], F.lit("="), p["v"])))
+    shown = F.transform(kept, lambda p: F.when(p["v"] == "", encoded(p["k"])).otherwise(F.concat(encoded(p["k"]), F.lit("="), encoded(p["v"]))))
     start = F.when(scheme(link) == "", F.lit("https")).otherwise(scheme(link))
     tail = F.when(F.size(shown) > 0, F.concat(F.lit("?"), F.array_join(shown, "&"))).otherwise(F.lit(""))
     return F.when(domain(link) == "", F.lit("")).otherwise(F.concat(start, F.lit("://"), domain(link), way, tail))

@@ -103,6 +103,12 @@ def lookup(rows: DataFrame, directory: DataFrame, keys: list[str], pos: str) ->
     return joined.withColumn("tel", F.coalesce("tel", F.lit("phone vide"))).withColumn("mail", F.coalesce("mail", F.lit("mail vide")))
 
 
+def lookup_outcome(name: Column, tel: Column, mail: Column) -> Column:
+    """How a lookup ended: without a name nothing can be asked."""
+    found = (tel != "phone vide") | (mail != "mail vide")
+    return F.when(F.trim(F.coalesce(name, F.lit(""))) == "", F.lit("missing_name")).when(found, F.lit("found")).otherwise(F.lit("not_found"))
+
+
 def split_by_blob(rows: DataFrame, blobs: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(rows with a blob, rows without)."""
     names = blobs.select(key).distinct()

@@ -567,6 +567,43 @@ def listing_walk(spark, d):
     return setops.listing_walk(starts, links)
 
 
+@query("SELECT * FROM (VALUES ('Lyon', 'Dupont', 'found'), ('Paris', 'Martin', 'not_found'), ('Nice', 'Durand', 'not_found'), ('Metz', ' ', 'missing_name'), ('Metz', NULL, 'missing_name')) AS t(place, name, outcome)")
+def lookup_outcomes(spark, d):
+    people = X.fixture(spark, X.PEOPLE).unionByName(spark.sql("SELECT * FROM (VALUES ('Metz', ' '), ('Metz', NULL)) AS t(place, name)"))
+    found = setops.lookup(people, X.fixture(spark, X.DIRECTORY), ["place", "name"], "pos")
+    return found.select("place", "name", setops.lookup_outcome(F.col("name"), F.col("tel"), F.col("mail")).alias("outcome"))
+
+
+ROUTES = """SELECT * FROM (VALUES
+  (1, 'https://www.site.test/news/long-title'), (2, 'https://site.test/page/3/'), (3, 'https://other.test/x'), (4, 'https://site.test/tag/x'), (5, 'https://SITE.test/a?page=2'), (6, 'https://sub.site.test/a'), (7, 'https://site.test/f.pdf')
+) AS t(id, url)"""
+
+
+@query("""SELECT * FROM (VALUES (1, 'article', true, false), (2, 'pagination', true, true), (3, 'off_domain', false, false), (4, 'none', true, true), (5, 'pagination', true, false), (6, 'off_domain', false, false), (7, 'none', true, true)) AS t(id, route, same_domain, same_host)""")
+def url_routes(spark, d):
+    u, site = F.col("url"), F.lit("site.test")
+    return X.fixture(spark, ROUTES).select("id", urls.route(u, F.lit("www.site.test")).alias("route"), urls.same_domain(u, site).alias("same_domain"), urls.same_host(u, site).alias("same_host"))
+
+
+@query("""SELECT * FROM (VALUES (1, 'https://h.test/?a+b=c+d%26e&z=%C3%A9~%2A'), (2, 'https://h.test/?k=%25zz'), (3, 'https://h.test/x?a=1&a=2&b')) AS t(id, u)""")
+def url_canonical_escapes(spark, d):
+    rows = spark.sql("SELECT * FROM (VALUES (1, 'https://www.h.test?z=é%7E*&a%20b=c+d%26e&utm_source=x'), (2, 'https://h.test/?k=%zz'), (3, 'https://h.test//x/?b=&a=2&a=1&gclid=')) AS t(id, url)")
+    return rows.select("id", urls.canonical(F.col("url")).alias("u"))
+
+
+@query("""SELECT * FROM (VALUES (1, '<html><head><base href="u"/><title>x</title>'), (2, '<HEAD><BASE href="/y">'), (3, '<base href="u"/><p>no head'), (4, '<head class="a"><base href="u"/></head>')) AS t(id, html)""")
+def base_golden(spark, d):
+    rows = spark.sql("""SELECT * FROM (VALUES (1, '<html><head><title>x</title>'), (2, '<HEAD><BASE href="/y">'), (3, '<p>no head'), (4, '<head class="a"></head>')) AS t(id, html)""")
+    return rows.select("id", text.with_base(F.col("html"), F.lit("u")).alias("html"))
+
+
+@query("""SELECT * FROM (VALUES (1, '# T & t' || chr(10) || chr(10) || '**Auteur(s) :** A' || chr(10) || '**Source :** u' || chr(10) || chr(10) || '## Résumé' || chr(10) || chr(10) || 'D' || chr(10) || chr(10) || '## Contenu' || chr(10) || chr(10) || 'One bold' || chr(10) || 'Two'),
+ (2, '# Only h1' || chr(10) || chr(10) || '**Source :** u' || chr(10) || chr(10) || '## Contenu' || chr(10) || chr(10) || 'body é'), (3, '# Sans titre' || chr(10) || chr(10) || '**Source :** u' || chr(10)), (4, '# Sans titre' || chr(10) || chr(10) || '**Source :** u' || chr(10))) AS t(page_id, md)""")
+def markdown_articles(spark, d):
+    """Articles with authors, description and text; what is missing is left out."""
+    return html_trees.articles(X.fixture(spark, ARTICLE_PAGES)).select("page_id", text.markdown(*[F.col(c) for c in ("title", "date", "authors", "url", "description", "text")]).alias("md"))
+
+
 # --- flows ----------------------------------------------------------------------
 
 
@@ -575,6 +612,13 @@ def funnel_outcomes(spark, d):
     return setops.outcome_counts(pipelines.topic_funnel(X.fixture(spark, X.FETCHES)), "outcome", pipelines.FUNNEL)
 
 
+@query("""SELECT 2 AS sources_loaded, 10 AS site_results_found, 5 AS global_results_found, 15 AS found_total, 1 AS duplicates_removed, 1 AS excluded_urls_removed, 13 AS urls_unique, 1 AS pdf_saved, 3 AS html_saved,
+ 1 AS rejected_topic, 1 AS rejected_short, 1 AS rejected_no_date, 1 AS rejected_old, 1 AS rejected_judge, 1 AS other_skipped, 3 AS download_error""")
+def run_counters(spark, d):
+    found = pipelines.topic_funnel(X.fixture(spark, X.FETCHES)).withColumn("source_type", F.when(F.col("pos") <= 10, F.lit("site")).otherwise(F.lit("global")))
+    return pipelines.run_counters(spark.sql("SELECT * FROM (VALUES ('a.test'), ('b.test')) AS t(source)"), found)
+
+
 @query(f"""SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN NOT ({" AND ".join("(" + " OR ".join(f"contains(t, '{x}')" for x in g) + ")" for g in TOPIC)}) THEN 'rejected_topic' WHEN w < {C.MIN_WORDS_TOPIC} THEN 'rejected_short'
  WHEN coalesce(quality, 0) <> 1 THEN 'rejected_judge' ELSE 'html_saved' END AS outcome FROM (SELECT {D.squeeze('lower(text)')} AS t, {D.word_count('text')} AS w, quality FROM documents LEFT JOIN labels USING (doc_id))) GROUP BY outcome""")
 def funnel_documents(spark, d):

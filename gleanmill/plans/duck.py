@@ -56,11 +56,19 @@ def seen_key(u: str) -> str:
     )
 
 
+def _decoded(x: str) -> str:
+    return f"url_decode(replace({x}, '+', ' '))"
+
+
+def _encoded(x: str) -> str:
+    return f"replace(url_encode({x}), '%20', '+')"
+
+
 def canonical(u: str) -> str:
     way = f"regexp_replace(regexp_replace({path('l')}, ';[^/]*$', ''), '/{{2,}}', '/', 'g')"
-    pairs = f"list_transform(list_filter(string_split({query('l')}, '&'), lambda p: p <> ''), lambda p: {{'k': split_part(p, '=', 1), 'v': regexp_extract(p, '^[^=]*=(.*)$', 1)}})"
+    pairs = f"list_transform(list_filter(string_split({query('l')}, '&'), lambda p: p <> ''), lambda p: {{'k': {_decoded("split_part(p, '=', 1)")}, 'v': {_decoded("regexp_extract(p, '^[^=]*=(.*)$', 1)")}}})"
     kept = f"list_sort(list_filter({pairs}, lambda p: NOT list_contains({lits(C.TRACKING_KEYS)}, lower(p.k))))"
-    shown = f"list_transform({kept}, lambda p: CASE WHEN p.v = '' THEN p.k ELSE p.k || '=' || p.v END)"
+    shown = f"list_transform({kept}, lambda p: CASE WHEN p.v = '' THEN {_encoded('p.k')} ELSE {_encoded('p.k')} || '=' || {_encoded('p.v')} END)"
     start = f"CASE WHEN {scheme('l')} = '' THEN 'https' ELSE {scheme('l')} END"
     return (
         f"(SELECT CASE WHEN {domain('l')} = '' THEN '' ELSE {start} || '://' || {domain('l')} || CASE WHEN {way} IN ('', '/') THEN '/' ELSE rtrim({way}, '/') END || "

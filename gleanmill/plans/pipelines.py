@@ -10,6 +10,8 @@ from gleanmill.functions import constants as C
 from gleanmill.operators.setops import mark_first
 
 FUNNEL = ["excluded", "duplicate", "download_error", "other_skipped", "pdf_saved", "rejected_topic", "rejected_short", "rejected_no_date", "rejected_old", "rejected_judge", "html_saved"]
+#: The counters of a whole run, in the order in which they are told.
+RUN = ["sources_loaded", "site_results_found", "global_results_found", "found_total", "duplicates_removed", "excluded_urls_removed", "urls_unique", *FUNNEL[4:5], *FUNNEL[10:11], *FUNNEL[5:10], *FUNNEL[3:4], *FUNNEL[2:3]]
 SCORER = ["kept", "rejected_structure", "rejected_score", "missing_blob"]
 VISIT = ["error", "not_article", "skipped_year", "saved"]
 RESULT = ["SKIPPED_ALREADY_SEEN", "OPEN_ERROR", "SEARCH_ENGINE_PAGE_SKIPPED", "SUCCESS", "DOWNLOAD_FAILED", "UNKNOWN_ERROR", "SEARCH_ERROR"]
@@ -41,6 +43,22 @@ def topic_funnel(rows: DataFrame) -> DataFrame:
     return keyed.withColumn("outcome", outcome).drop("__gm_one")
 
 
+def run_counters(sources: DataFrame, results: DataFrame) -> DataFrame:
+    """One row with the 16 counters of a run, from the sources and from the outcomes of results with their ``source_type``."""
+    n = lambda c: F.count_if(c)
+    outcome = F.col("outcome")
+    told = results.agg(
+        n(F.col("source_type") == "site").alias("site_results_found"),
+        n(F.col("source_type") == "global").alias("global_results_found"),
+        F.count(F.lit(1)).alias("found_total"),
+        n(outcome == "duplicate").alias("duplicates_removed"),
+        n(outcome == "excluded").alias("excluded_urls_removed"),
+        n(~outcome.isin("duplicate", "excluded")).alias("urls_unique"),
+        *[n(outcome == o).alias(o) for o in FUNNEL[2:]],
+    )
+    return sources.agg(F.count(F.lit(1)).alias("sources_loaded")).join(F.broadcast(told)).select(*RUN)  # two rows are joined
+
+
 def score_pages(pages: DataFrame, keywords: list[str], threshold: float = C.MIN_SCORE) -> DataFrame:
     """page_id, score, found, reason, outcome: structure first, then keywords on the visible text."""
     scored = pages.select("page_id", classify.reject_reason(F.col("html")).alias("reason"), text.scorer_text(F.col("html")).alias("plain"))
