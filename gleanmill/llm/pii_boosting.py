@@ -325,7 +325,7 @@ def examples(rows: int = TRAINING_ROWS, seed: int = 7) -> tuple[np.ndarray, np.n
         start = len(before) + 1 + text[len(before) + 1 :].index(value)
         for s in candidates(text, base_spans(text)):
             if s[0] < start + len(value) and s[2] > start:
-                x.append(features(text, s))
+                x.append(np.array(features(text, s)))
                 y.append(float(good and s[1] == kind and s[0] <= start and s[2] >= start + len(value) and s[2] - s[0] <= len(value) + 1))
     return np.array(x), np.array(y)
 
