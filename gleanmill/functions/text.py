@@ -175,24 +175,21 @@ def markdown(article_title: Column, date: Column, authors: Column, url: Column,
     def filled(c: Column) -> Column:
         return F.coalesce(c, F.lit("")) != ""
 
+    labels = C.MARKDOWN
     lines = [
-        F.concat(F.lit("# "), F.when(filled(article_title), article_title).otherwise(F.lit("Sans titre")), F.lit("\n")),
-        F.when(filled(date), F.concat(F.lit("**Date :** "), date)),
-        F.when(filled(authors), F.concat(F.lit("**Auteur(s) :** "), authors)),
-        F.concat(F.lit("**Source :** "), F.coalesce(url, F.lit("")), F.lit("\n")),
-        F.when(filled(description), F.concat(F.lit("## Résumé\n\n"), description, F.lit("\n"))),
-        F.when(filled(text), F.concat(F.lit("## Contenu\n\n"), text)),
+        F.concat(F.lit("# "), F.when(filled(article_title), article_title).otherwise(F.lit(labels["untitled"])), F.lit("\n")),
+        F.when(filled(date), F.concat(F.lit(labels["date"]), date)),
+        F.when(filled(authors), F.concat(F.lit(labels["authors"]), authors)),
+        F.concat(F.lit(labels["source"]), F.coalesce(url, F.lit("")), F.lit("\n")),
+        F.when(filled(description), F.concat(F.lit(labels["description"]), description, F.lit("\n"))),
+        F.when(filled(text), F.concat(F.lit(labels["text"]), text)),
     ]
     return F.concat_ws("\n", *lines)
 
 
 def log_block(entry: dict[str, Column]) -> Column:
     """Ten labelled lines and a rule."""
-    labels = (
-        ("DATE", "timestamp"), ("REQUETE", "query"), ("RANG", "rank"), ("MOTEUR", "engine"), ("URL", "url"), ("URL FINALE", "final_url"),
-        ("STATUT", "status"), ("TYPE", "content_type"), ("FICHIER", "file_path"), ("MESSAGE", "message"),
-    )
-    lines = [F.concat(F.lit(f"{label} : "), F.coalesce(entry[key].cast("string"), F.lit("")) if key in entry else F.lit("")) for label, key in labels]
+    lines = [F.concat(F.lit(f"{label} : "), F.coalesce(entry[key].cast("string"), F.lit("")) if key in entry else F.lit("")) for label, key in C.LOG_LABELS]
     return F.concat(F.concat_ws("\n", *lines, F.lit("-" * 60)), F.lit("\n"))
 
 

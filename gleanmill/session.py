@@ -22,6 +22,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if context.getCheckpointDir() is not None:
         return
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None and not context.master.startswith("local"):
+    if configured is None and not (context.master == "local" or context.master.startswith("local[")):
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="gleanmill-checkpoint-"))

@@ -68,7 +68,7 @@ def test_a_cluster_without_a_shared_folder_is_an_error(monkeypatch):
     from gleanmill import session
 
     class Context:
-        master = "spark://host:7077"
+        master = "local-cluster[3,2,3000]"
 
         def getCheckpointDir(self):
             return None
