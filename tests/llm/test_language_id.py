@@ -122,3 +122,12 @@ def test_a_row_repeated_very_often_counts_once(spark, monkeypatch):
     assert collected and collected[0] <= 41
     lid.fit(few, sample_rows=4)
     assert collected[1] <= 8
+
+
+def test_very_long_texts(spark):
+    long = "das ist ein Text mit vielen Worten " * 60_000
+    rows = [(i, long if i == 4 else "das ist ein kurzer Text" if i % 2 else "this is a short text", "de" if i % 2 or i == 4 else "en") for i in range(60)] + [(4, long, "de")] * 3
+    data = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lid.fit(data)
+    told = {r.doc_id: r.lang_pred for r in lid.predict(data, model).collect()}
+    assert told[4] == "de" and told[8] == "en" and lid.predict(data, model).count() == len(rows)

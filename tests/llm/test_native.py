@@ -197,3 +197,14 @@ def test_rows_without_ids_are_no_hot_key(spark):
     data = spark.range(3000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'s' AS source", "CAST(id AS STRING) AS text")
     out = mixing.mix(data)
     assert sorted(r.position for r in out.select("position").collect()) == list(range(3000))
+
+
+def test_conversations_with_other_columns_and_long_texts(spark, empty):
+    long = "word [x] </s> " * 100_000
+    data = [(1, 0, "user", long, 9, 9, "l", 9.0, 9, "f"), (1, 1, "assistant", "short", 9, 9, "l", 9.0, 9, "f"), (1, 1, "assistant", "short", 9, 9, "l", 9.0, 9, "f")]
+    table = spark.createDataFrame(data, "conv_id long, turn long, role string, text string, t long, n long, l string, s double, `rank` int, formatted string")
+    nodes = reply_trees.thread_nodes(table).withColumns({c: F.lit(7) for c in ("t", "n", "l", "s", "mean", "rank", "height", "leaf_id", "up", "least")})
+    out = reply_trees.formatted(nodes).select(reply_trees.turns_of(F.col("formatted")).alias("t"), reply_trees.masked(F.col("formatted"), F.col("loss_mask")).alias("loss"), "rank").collect()
+    assert [(x.role, x.text) for x in out[0].t] == [("user", long), ("assistant", "short"), ("assistant", "short")] and out[0].loss == "shortshort" and out[0]["rank"] == 1
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert reply_trees.formatted(reply_trees.thread_nodes(none)).count() == 0
