@@ -96,33 +96,52 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-#: What stands for the sign in an address that is spelled out.
-_AT = re.compile(r"\s?[\[({<]\s?at\s?[\])}>]\s?|\s?@\s?|\sat\s", re.I)
+_WORD_AT = re.compile(r"at(?=[\s\])}>])")
 _SPELLED = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?:\.|\s?[\[({<]\s?(?:dot|punkt|point|punto)\s?[\])}>]\s?|\s(?:dot|punkt|point|punto)\s)[A-Za-z0-9-]{1,63}){1,6}", re.I)
+#: One of these is in every text that names a secret.
+_SECRET_WORDS = ("pass", "pwd", "secret", "token", "key", "auth", "bearer", "credential", "contraseña")
 _PATTERNS = (
     (IP, re.compile(r"\[\.\]|\(\.\)"), re.compile(r"(?<![0-9])[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\.)[0-9]{1,3}){3}(?![0-9])")),
-    (IP, re.compile(r"[0-9a-fA-F]:[0-9a-fA-F:]"), re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9a-fA-F]{1,4}:){2,7}(?::?[0-9a-fA-F]{1,4})(?::[0-9a-fA-F]{1,4}){0,5}(?![0-9A-Za-z:])")),
+    (IP, re.compile(r":[0-9a-fA-F:]"), re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9a-fA-F]{1,4}:){2,7}(?::?[0-9a-fA-F]{1,4})(?::[0-9a-fA-F]{1,4}){0,5}(?![0-9A-Za-z:])")),
     (CARD, _DIGIT, re.compile(r"(?<![0-9])[0-9]{4}(?:[./_ -]{1,2}[0-9]{4}){2}[./_ -]{1,2}[0-9]{1,7}(?![0-9])")),
     (CARD, _DIGIT, re.compile(r"(?<![0-9])[0-9]{12,19}(?![0-9])")),
     (PHONE, _DIGIT, re.compile(r"(?<![A-Za-z0-9])\(?[0-9]{1,5}\)?(?:[\x20./-]{1,3}\(?[0-9]{2,8}\)?){1,6}(?![A-Za-z0-9])")),
     (PHONE, _DIGIT, re.compile(r"(?<![A-Za-z0-9])0[0-9]{7,14}(?![A-Za-z0-9])")),
     (SSN, _DIGIT, re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9A-Za-z-])")),
     (IBAN, _DIGIT, re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,4})?(?![A-Za-z0-9])")),
-    (SECRET, re.compile(r"pass|pwd|secret|token|key|auth|bearer|credential|geheim|contraseñ|mot de passe", re.I), re.compile(
+    (SECRET, None, re.compile(
         r"(?:passw(?:or)?[dt]|passphrase|pwd|secret|token|key|auth\w*|bearer|credentials?|contraseña|mot de passe)(?:[_-][A-Za-z]{1,20})*[\"']?\s?(?:[:=]|is|ist|est|es)?\s?(?:[\"'])?([A-Za-z0-9+/_.=~!@#$%^&*-]{6,200})", re.I)),
     (SECRET, _DIGIT, re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_-]{20,400}={0,2}(?![A-Za-z0-9+/_-])")),
 )
 
 
-def _spelled(text: str) -> Iterator[tuple[int, int]]:
+def _signs(text: str, low: str) -> Iterator[tuple[int, int]]:
+    """Where something may stand for the sign in an address: "@", " at " or "at" in brackets, with a blank on either side."""
+
+    def blanks(a: int, b: int) -> tuple[int, int]:
+        return a - (a > 0 and text[a - 1].isspace()), b + (b < len(text) and text[b].isspace())
+
+    at = text.find("@")
+    while at >= 0:
+        yield blanks(at, at + 1)
+        at = text.find("@", at + 1)
+    for m in _WORD_AT.finditer(low):
+        a, b = blanks(m.start(), m.end())
+        if a and b < len(text) and text[a - 1] in "[({<" and text[b] in "])}>":
+            yield blanks(a - 1, b + 1)
+        elif a < m.start() and b > m.end():
+            yield a, b
+
+
+def _spelled(text: str, low: str) -> Iterator[tuple[int, int]]:
     """Addresses around anything that may stand for the sign, found outwards from there."""
-    for m in _AT.finditer(text):
-        domain = _SPELLED.match(text, m.end())
-        start = m.start()
+    for a, b in _signs(text, low):
+        domain = _SPELLED.match(text, b)
+        start = a
         if domain:
-            while start > 0 and m.start() - start < 64 and text[start - 1] in _LOCAL:
+            while start > 0 and a - start < 64 and text[start - 1] in _LOCAL:
                 start -= 1
-            if start < m.start():
+            if start < a:
                 yield start, domain.end()
 
 
@@ -142,9 +161,13 @@ def _account(text: str, start: int, end: int) -> int:
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(start, kind, end) that the generators propose, without what cuts a base span."""
-    found = {(a, EMAIL, b) for a, b in _spelled(text)}
+    low = text.lower()
+    if len(low) != len(text):  # letters whose small form is longer: places must stay the same
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    found = {(a, EMAIL, b) for a, b in _spelled(text, low)}
+    digit, secret = _DIGIT.search(text) is not None, any(w in low for w in _SECRET_WORDS)
     for kind, hint, pattern in _PATTERNS:
-        if not hint.search(text):
+        if not (secret if hint is None else digit and (hint is _DIGIT or hint.search(text))):
             continue
         for m in pattern.finditer(text):
             a, b = m.span(pattern.groups)
