@@ -32,7 +32,7 @@ def duck():
     import duckdb
 
     db = duckdb.connect()
-    for name in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
+    for name in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations clicks sales sale_lines clients client_changes vendors items stamps".split():
         db.sql(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
     return db
 
