@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanmill.llm import byte_bpe, embedding_whitening, language_id, ngram_join, ogg_media, pfair_mixing, pii_boosting, quality_rules, reply_trees, stamp_times, token_histogram, wrapper_induction
+from gleanmill.llm import byte_bpe, embedding_whitening, language_id, ngram_join, noisy_channel, ogg_media, pfair_mixing, pii_boosting, quality_rules, reply_trees, stamp_times, token_histogram, wrapper_induction
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": quality_rules.op8_quality_rules,
         "op9_reply_trees": reply_trees.op9_reply_trees,
         "op10_token_histogram": token_histogram.op10_token_histogram,
+        "op11_noisy_channel": noisy_channel.op11_noisy_channel,
         "op12_timestamp_normalisation": stamp_times.op12_timestamp_normalisation,
         "op13_embedding_whitening": embedding_whitening.op13_embedding_whitening,
     }
