@@ -155,12 +155,6 @@ def number_successes(rows: DataFrame, pos: str, ok: str, offset: int = 1) -> Dat
     return good.unionByName(rows.filter(~F.coalesce(F.col(ok), F.lit(False))).withColumn("file_index", F.lit(None).cast("long")))
 
 
-def unique_names(rows: DataFrame, stem: str, suffix: str, pos: str) -> DataFrame:
-    """Names with _2, _3 and so on from the second use of a stem and suffix."""
-    n = F.row_number().over(Window.partitionBy(stem, suffix).orderBy(pos))
-    return rows.withColumn("unique_name", F.concat(F.col(stem), F.when(n > 1, F.concat(F.lit("_"), n.cast("string"))).otherwise(F.lit("")), F.col(suffix)))
-
-
 def grouped_in_order(rows: DataFrame, key: Column, pos: str, value: str, name: str) -> DataFrame:
     """Values of each key in order. A key's values form one row, so a key should not hold a large share of all rows."""
     return rows.groupBy(key.alias("key")).agg(F.sort_array(F.collect_list(F.struct(pos, value))).alias("__gm_v")).select("key", F.transform("__gm_v", lambda v: v[value]).alias(name))
@@ -183,18 +177,3 @@ def reachable(seeds: DataFrame, edges: DataFrame, max_depth: int) -> DataFrame:
         front = step.join(found.select("url"), "url", "left_anti").select("url", F.lit(depth).alias("depth"))
         found = found.unionByName(front)
     return found
-
-
-def listing_walk(starts: DataFrame, links: DataFrame, max_pages: int = C.MAX_LISTING_PAGES) -> DataFrame:
-    """(site, url, nth): listing pages visited first-in, first-out, at most ``max_pages`` per start.
-
-    ``starts`` has (site, url), ``links`` (src, dst, pos) of pagination links.
-    """
-    seen_pages = starts.select("site", "url", F.array(F.lit(0).cast("long")).alias("order")).distinct()
-    front = seen_pages
-    for _ in range(max_pages - 1):
-        step = front.join(links, F.col("url") == F.col("src")).select("site", F.col("dst").alias("url"), F.array_append("order", F.col("pos").cast("long")).alias("order"))
-        step = step.groupBy("site", "url").agg(F.min("order").alias("order")).join(seen_pages.select("site", "url"), ["site", "url"], "left_anti")
-        seen_pages, front = seen_pages.unionByName(step), step
-    first = Window.partitionBy("site").orderBy(F.size("order"), "order", "url")
-    return seen_pages.withColumn("nth", F.row_number().over(first)).filter(F.col("nth") <= max_pages).select("site", "url", "nth")

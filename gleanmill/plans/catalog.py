@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 from gleanmill.functions import classify, dates, text, urls
 from gleanmill.functions import constants as C
-from gleanmill.operators import html_trees, setops
+from gleanmill.operators import html_trees, setops, walks
 from gleanmill.plans import duck as D
 from gleanmill.plans import fixtures as X
-from gleanmill.plans import pipelines
-from gleanmill.plans import written
+from gleanmill.plans import deep, pipelines, written
 from gleanmill.session import table
 from gleanmill.sources import readers
 
@@ -515,12 +514,6 @@ def next_file_index(spark, d):
     return setops.next_index(names, "name")
 
 
-@query(f"SELECT pos, stem || CASE WHEN n > 1 THEN '_' || n ELSE '' END || '.' || kind AS unique_name FROM (SELECT *, row_number() OVER (PARTITION BY stem, kind ORDER BY pos) AS n FROM ({X.VISITS}))")
-def unique_names(spark, d):
-    rows = X.fixture(spark, X.VISITS).withColumn("suffix", F.concat(F.lit("."), F.col("kind")))
-    return setops.unique_names(rows, "stem", "suffix", "pos").select("pos", "unique_name")
-
-
 @query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n FROM documents")
 def global_numbers_all(spark, d):
     """Numbers of all documents, whatever their language."""
@@ -560,11 +553,12 @@ def frontier_depth1(spark, d):
     return setops.reachable(_pages(spark, d).select("url"), _edges(spark, d), 1)
 
 
-@query("SELECT * FROM (VALUES ('s', 'a', 1), ('s', 'b', 2), ('t', 'x', 1)) AS t(site, url, nth)")
+@query("""SELECT * FROM (VALUES ('s', 'a', 'a', 1), ('s', 'a', 'b', 2), ('s', 'x', 'x', 1), ('s', 'x', 'b', 2), ('t', 'y', 'y', 1)) AS t(site, start, url, nth)""")
 def listing_walk(spark, d):
-    starts = spark.sql("SELECT * FROM (VALUES ('s', 'a'), ('t', 'x')) AS t(site, url)")
-    links = spark.sql("SELECT * FROM (VALUES ('a', 'c', 2), ('a', 'b', 1), ('b', 'd', 1), ('x', 'x', 1)) AS t(src, dst, pos)")
-    return setops.listing_walk(starts, links)
+    """Two starts of one site visit two pages each, whatever the other visits."""
+    starts = spark.sql("SELECT * FROM (VALUES ('s', 'a'), ('s', 'x'), ('t', 'y')) AS t(site, url)")
+    links = spark.sql("SELECT * FROM (VALUES ('a', 'c', 2), ('a', 'b', 1), ('b', 'd', 1), ('x', 'b', 1), ('y', 'y', 1)) AS t(src, dst, pos)")
+    return walks.listing_walk(starts, links)
 
 
 @query("SELECT * FROM (VALUES ('Lyon', 'Dupont', 'found'), ('Paris', 'Martin', 'not_found'), ('Nice', 'Durand', 'not_found'), ('Metz', ' ', 'missing_name'), ('Metz', NULL, 'missing_name')) AS t(place, name, outcome)")
@@ -664,5 +658,6 @@ def string_agg_all(spark, d):
     return _docs(spark, d).groupBy("source").agg(F.expr("listagg(CAST(doc_id AS STRING), ', ') WITHIN GROUP (ORDER BY doc_id)").alias("docs"))
 
 
-QUERIES.update(written.QUERIES)
-ORACLES.update(written.ORACLES)
+for more in (written, deep):
+    QUERIES.update(more.QUERIES)
+    ORACLES.update(more.ORACLES)
