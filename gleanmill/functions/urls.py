@@ -55,26 +55,44 @@ def basic(url: Column) -> Column:
     return F.rtrim(F.split_part(url, F.lit("#"), F.lit(1)), F.lit("/"))
 
 
+def without_dots(path: Column) -> Column:
+    """A path from the root without ``.`` and ``..`` segments; ``..`` at the root stays there."""
+    parts = F.split(path, "/")
+    fold = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda kept, s: F.when(s == "..", F.slice(kept, 1, F.greatest(F.size(kept) - 1, F.lit(0)))).when(s == ".", kept).otherwise(F.array_append(kept, s)),
+    )
+    whole = F.concat(F.array_join(fold, "/"), F.when(F.element_at(parts, -1).isin(".", "..") & (F.size(fold) > 0), F.lit("/")).otherwise(F.lit("")))
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.when(F.startswith(whole, F.lit("/")), whole).otherwise(F.concat(F.lit("/"), whole))).otherwise(path)
+
+
 def resolve(url: Column, base: Column) -> Column:
     """Absolute form of a link against its page; null for templates, blanks and other schemes.
 
     Covers absolute, scheme-relative, root-relative, query-only and fragment-only
-    links and links relative to the page's folder; dot segments are kept.
+    links and links relative to the page's folder. Dot segments of relative links are
+    resolved, those of absolute ones stay; fragments and empty queries go.
     """
-    link = F.trim(url)
+    given = F.regexp_replace(F.trim(url), r"#.*$", "")
+    link = F.regexp_replace(given, r"^//(?=[/?]|$)", "")  # an empty host is none
+    link = F.when(link == "?", F.lit("")).otherwise(link)
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     folder = F.regexp_extract(path(base), r"^(.*/)", 1)
     folder = F.when(folder == "", F.lit("/")).otherwise(folder)
+    way, rest = F.regexp_extract(link, r"^([^?]*)", 1), F.regexp_extract(link, r"^[^?]*(.*)$", 1)
+    near = F.regexp_replace(F.concat(folder, way), r"/{2,}", "/")
     whole = (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
-        .when(link.startswith("//"), F.concat(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), link))
-        .when(link.startswith("/"), F.concat(origin, link))
-        .when((link == "") | link.startswith("#"), base)
-        .when(link.startswith("?"), F.concat(origin, path(base), link))
-        .otherwise(F.concat(origin, folder, link))
+        .when(given.rlike(r"^//[^/?]"), F.concat(F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1), link))
+        .when(link.startswith("/"), F.concat(origin, without_dots(way), rest))
+        .when(link == "", F.regexp_replace(base, r"#.*$", ""))
+        .when(link.startswith("?"), F.concat(origin, path(base), rest))
+        .otherwise(F.concat(origin, without_dots(near), rest))
     )
-    whole = F.regexp_replace(whole, r"#.*$", "")
-    bad = link.contains("{{") | link.contains("}}") | link.contains("{%") | link.contains("%}") | link.contains(" ")
+    whole = F.regexp_replace(whole, r"^([^?]*)\?$", "$1")
+    whole = F.concat(scheme(whole), F.regexp_extract(whole, r"^[A-Za-z][A-Za-z0-9+.-]*(:.*)$", 1))
+    bad = F.exists(F.array(*map(F.lit, ["{{", "}}", "{%", "%}", " "])), lambda x: F.contains(F.trim(url), x))
     return F.when(~bad & scheme(whole).isin("http", "https"), whole)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from gleanmill.functions import classify, urls
 from gleanmill.functions import constants as C
+from gleanmill.operators.batches import sliced
 from gleanmill.operators.setops import keep_first
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -116,7 +117,7 @@ def editorial_links(pages: DataFrame) -> DataFrame:
     """page_id, links: sorted distinct editorial links of each page (page_id, url, html)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, "html"):
             links = [editorial_links_of(h, u or "") for u, h in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(links, pa.list_(pa.string()))], ["page_id", "links"])
 
@@ -250,7 +251,7 @@ def selected(pages: DataFrame) -> DataFrame:
     """``page_id`` and ``selected``: the text of the first element that the site's ``date_selector`` names, null without one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, "html"):
             found = []
             for html, selector in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 element = next(select(dom(html), selector), None) if selector else None
@@ -315,7 +316,7 @@ def articles(pages: DataFrame) -> DataFrame:
     fields = ("url", "title", "date", "authors", "description", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, "html"):
             found = [article_of(h, u or "") for u, h in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([f[k] for f in found], pa.string()) for k in fields]], ["page_id", *fields])
 
@@ -345,7 +346,7 @@ def search_results(pages: DataFrame) -> DataFrame:
     schema = "page_id long, pos int, href string, title string, snippet string, search_year int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, "html"):
             rows = [(p, i, r["href"], r["title"], r["snippet"], r["year"]) for p, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for i, r in enumerate(search_results_of(h))]
             kinds = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["page_id", "pos", "href", "title", "snippet", "search_year"])
@@ -359,7 +360,7 @@ def decode_pages(rows: DataFrame) -> DataFrame:
     """``id`` and ``html``: content decoded by the charset of its header, else as UTF-8 with replacements."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches, "content"):
             texts = []
             for content, kind in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 charset = re.search(r"charset=([\w-]+)", kind or "", re.I)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from gleanmill.functions import constants as C
 from gleanmill.functions import urls
+from gleanmill.operators.ordered import running
 from gleanmill.session import ensure_checkpoint_dir
 
 
@@ -138,9 +139,8 @@ def first_rows(rows: DataFrame, pos: str, k: int) -> DataFrame:
 
 
 def visited_under_quota(rows: DataFrame, group: str, pos: str, saved: str, quota: int = C.MAX_ARTICLES_PER_SITE) -> DataFrame:
-    """Rows visited before a group has its quota of saved rows."""
-    before = Window.partitionBy(group).orderBy(pos).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("saved_before", F.coalesce(F.sum(F.col(saved).cast("long")).over(before), F.lit(0))).filter(F.col("saved_before") < quota)
+    """Rows visited before a group has its quota of saved rows; a group of any size is spread over tasks."""
+    return running(rows, [group], pos, F.col(saved).cast("long"), "saved_before", before=True).filter(F.col("saved_before") < quota)
 
 
 def next_index(names: DataFrame, column: str) -> DataFrame:

@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 
 from gleanmill.functions import constants as C
 from gleanmill.functions import urls
-from gleanmill.operators import names, walks
+from gleanmill.operators import history, keywords, names, routing, walks
 from gleanmill.operators.ordered import lists_in_chunks, ranked, texts_in_chunks
 from gleanmill.plans import duck as D
+from gleanmill.plans.written import folder
 from gleanmill.session import table
+from gleanmill.sources import buckets
+from gleanmill.streaming import quota
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,3 +155,131 @@ def texts_of_sources(spark, d):
     rows = table(spark, d, "documents").select("source", "doc_id", F.col("doc_id").cast("string").alias("shown"))
     parts = texts_in_chunks(rows, ["source"], "doc_id", "shown", ", ", CHUNK)
     return parts.groupBy("source").agg(F.expr("listagg(text, '') WITHIN GROUP (ORDER BY chunk)").alias("docs"))
+
+
+# --- keyword files of thousands ------------------------------------------------------
+
+_WORDS = "SELECT DISTINCT lower(w) AS w FROM (SELECT unnest(string_split(text, ' ')) AS w FROM benchmark) WHERE length(w) >= 2"
+
+
+def _word_list(spark: SparkSession, d: str) -> list[str]:
+    """Different words of the benchmark as a keyword file, in order."""
+    words = table(spark, d, "benchmark").select(F.explode(F.split("text", " ")).alias("w")).filter(F.char_length("w") >= 2).select(F.lower("w").alias("w")).distinct()
+    return sorted(r["w"] for r in words.collect())  # a configuration file
+
+
+@query(f"""WITH k AS (SELECT list(w ORDER BY w) AS ks FROM ({_WORDS})), t AS (SELECT doc_id, lower(coalesce(text, '')) AS x, ks FROM documents, k),
+ n AS (SELECT doc_id, ks, list_transform(ks, lambda k: (length(x) - length(replace(x, k, ''))) // length(k)) AS ns FROM t)
+SELECT doc_id, round(least(coalesce(list_sum(list_transform(list_filter(ns, lambda c: c > 0), lambda c: 1 + ln(c))), 0) / len(ks), 1.0), 4) AS score, len(list_filter(ns, lambda c: c > 0))::INT AS n_found FROM n""")
+def kw_score_many(spark, d):
+    """Scores under a keyword list as long as the benchmark has words, in one pass over each text."""
+    found = keywords.scored(table(spark, d, "documents"), F.col("text"), _word_list(spark, d), ["doc_id"])
+    return found.select("doc_id", "score", F.size("found").alias("n_found"))
+
+
+@query(f"""WITH g AS (SELECT item_id, list(DISTINCT lower(w)) AS ws FROM (SELECT item_id, unnest(string_split(text, ' ')[1:6]) AS w FROM benchmark) WHERE trim(w) <> '' GROUP BY item_id),
+ t AS (SELECT doc_id, {D.squeeze("lower(coalesce(text, ''))")} AS x FROM documents)
+SELECT item_id, count(*) AS docs FROM t, g WHERE len(list_filter(ws, lambda w: NOT contains(x, w))) = 0 GROUP BY item_id""")
+def topics_many(spark, d):
+    """How many documents are on each of many topics, one for the first words of each benchmark item; all are asked in one pass."""
+    first = table(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("item"), F.slice(F.split("text", " "), 1, 6).alias("ws"))
+    topics = {r["item"]: [[w] for w in dict.fromkeys(x.lower() for x in r["ws"]) if w.strip()] for r in first.collect()}  # a configuration file
+    found = keywords.on_topics(table(spark, d, "documents"), F.col("text"), topics, ["doc_id"])
+    return found.select(F.explode(F.col("topics").cast("array<bigint>")).alias("item_id")).groupBy("item_id").agg(F.count(F.lit(1)).alias("docs"))
+
+
+# --- history, state and sites ----------------------------------------------------------
+
+
+@query("SELECT event_id FROM events WHERE event_id NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL)")
+def unseen_events(spark, d):
+    """Events whose number the whole of lineitem doesn't have as a key; a Bloom filter spares most of the join."""
+    known = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("event_id"))
+    return history.unseen(table(spark, d, "events").select("event_id"), "event_id", known)
+
+
+@query("""SELECT o_orderkey FROM orders WHERE o_orderkey IS NULL OR NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag <> 'N')""")
+def unseen_orders_merged(spark, d):
+    """The same with a kept filter: one for returned lines and one for accepted ones, merged by bucket."""
+    lines = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_returnflag")
+    parts = [lines.filter(F.col("l_returnflag") == x) for x in ("R", "A")]
+    words = history.words_for(lines.count())
+    kept = history.merge(*[history.build(p, "o_orderkey", words) for p in parts])
+    return history.unseen(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", parts[0].unionByName(parts[1]).select("o_orderkey"), words, kept)
+
+
+@query("""SELECT doc_id::VARCHAR AS uuid, CASE WHEN source = (SELECT max(source) FROM documents) THEN -1.0 WHEN toxic IS NOT NULL THEN toxic + 0.5 END::DOUBLE AS score, lang AS domaine FROM documents LEFT JOIN labels USING (doc_id)""")
+def state_updates(spark, d):
+    """A state of all documents by bucket, updated twice: with scores from labels, then with those of one source."""
+    docs = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("uuid"), F.col("lang").alias("domaine"), "source")
+    path = folder(spark)
+    buckets.create(docs.select("uuid", "domaine", F.lit(None).cast("double").alias("score")), path, "uuid", 8)
+    labels = table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("uuid"), (F.col("toxic") + 0.5).alias("score"))
+    buckets.update(spark, path, labels, "uuid", 8)
+    last = docs.agg(F.max("source").alias("source")).first()["source"]
+    buckets.update(spark, path, docs.filter(F.col("source") == last).select("uuid", F.lit(-1.0).alias("score")), "uuid", 8)
+    return buckets.load(spark, path)
+
+
+_SITES = f"""SELECT DISTINCT {D.domain('url')} AS domain, '/[' || substr({D.domain('url')}, 1, 1) || '-z]' AS article_url_pattern, CASE WHEN length({D.domain('url')}) % 2 = 0 THEN '/[a-d][a-z]*$' END AS pagination_pattern FROM pages"""
+_FOUND = r"""SELECT page_id, url AS base, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || link AS target, pos FROM (SELECT page_id, url, unnest(x) AS link, generate_subscripts(x, 1) - 1 AS pos
+ FROM (SELECT page_id, url, list_filter(list_transform(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1), lambda y: trim(y)), lambda y: y <> '' AND NOT regexp_matches(lower(y), '^(mailto:|javascript:|tel:|#)')) AS x FROM pages)) WHERE starts_with(link, '/') AND NOT contains(link, ' ')"""
+
+
+def _sites(spark: SparkSession, d: str) -> DataFrame:
+    domain = urls.domain(F.col("url")).alias("domain")
+    hosts = table(spark, d, "pages").select(domain).distinct()
+    return hosts.select("domain", F.concat(F.lit("/["), F.substring("domain", 1, 1), F.lit("-z]")).alias("article_url_pattern"), F.when(F.char_length("domain") % 2 == 0, F.lit("/[a-d][a-z]*$")).alias("pagination_pattern"))
+
+
+@query(f"""WITH s AS ({_SITES}), l AS (SELECT page_id, {D.basic('target')} AS url, {D.domain('base')} AS site, min(pos)::INT AS pos FROM ({_FOUND}) GROUP BY ALL)
+SELECT page_id, pos, url, CASE WHEN {D.domain('url')} <> site THEN 'off_domain' WHEN CASE WHEN pagination_pattern IS NULL THEN {D.pagination('url')} ELSE regexp_matches(url, '(?i)' || pagination_pattern) END THEN 'pagination'
+ WHEN {D.article_candidate('url')} AND regexp_matches(url, '(?i)' || article_url_pattern) THEN 'article' ELSE 'none' END AS route FROM l LEFT JOIN s ON domain = site""")
+def site_routes(spark, d):
+    """Routes of all links of all pages by patterns that each site has of its own."""
+    return routing.listing_links(table(spark, d, "pages"), _sites(spark, d))
+
+
+_RULES = f"""SELECT lower({D.host_raw('target')}) AS host, {D.path('target')} AS prefix, length(target) % 2 = 0 AS allow FROM ({_FOUND}) WHERE length({D.path('target')}) < 7
+ UNION ALL SELECT lower({D.host_raw('url')}), '/', length(url) % 3 <> 0 FROM pages"""
+
+
+@query(f"""WITH r AS ({_RULES}), a AS (SELECT DISTINCT target AS url FROM ({_FOUND})),
+ h AS (SELECT a.url, max({{'n': length(prefix), 'a': allow}}) AS b FROM a JOIN r ON host = lower({D.host_raw('url')}) AND starts_with({D.path('url')}, prefix) GROUP BY a.url)
+SELECT a.url, coalesce(b.a, true) AS allowed FROM a LEFT JOIN h ON h.url = a.url""")
+def robots_index(spark, d):
+    """All links of all pages under rules made of the short ones of them, and one for every host."""
+    pages = table(spark, d, "pages")
+    found = pages.select(F.col("url").alias("base"), F.explode(urls.links(F.col("html"))).alias("link")).select(urls.resolve(F.col("link"), F.col("base")).alias("url")).filter("url IS NOT NULL")
+    short = found.select(urls.host(F.col("url")).alias("host"), urls.path(F.col("url")).alias("prefix"), (F.char_length("url") % 2 == 0).alias("allow")).filter(F.char_length("prefix") < 7)
+    hosts = pages.select(urls.host(F.col("url")).alias("host"), F.lit("/").alias("prefix"), (F.char_length("url") % 3 != 0).alias("allow"))
+    return routing.robots_allowed(found, short.unionByName(hosts))
+
+
+@query(f"SELECT DISTINCT page_id, target FROM ({_FOUND})")
+def links_resolved(spark, d):
+    """All links of all pages, each behind a detour of dot segments that resolving takes out again."""
+    pages = table(spark, d, "pages").select("page_id", "url", F.explode(urls.links(F.col("html"))).alias("link")).filter(F.startswith("link", F.lit("/")))
+    detour = F.concat(F.lit("/x/./y/../.."), F.col("link"))
+    return pages.select("page_id", urls.resolve(detour, F.col("url")).alias("target")).filter("target IS NOT NULL").distinct()
+
+
+@query("""SELECT source AS site, doc_id AS pos, CASE WHEN toxic = 1 THEN 'journal' WHEN quality = 1 THEN 'saved' ELSE 'visited' END AS status, before AS saved_before
+ FROM (SELECT source, doc_id, quality, toxic, coalesce(sum(coalesce(quality = 1, false)::INT) OVER (PARTITION BY source ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM documents LEFT JOIN labels USING (doc_id)) WHERE before < 3""")
+def quota_stream(spark, d):
+    """Good documents saved per source under a quota of three: a stream that stops half way and is started again.
+
+    A journal has the toxic ones; those of them that are good count as saved where they stand.
+    """
+    labels = table(spark, d, "labels")
+    rows = table(spark, d, "documents").select("doc_id", "source").join(labels, "doc_id", "left").checkpoint()
+    url = F.concat(F.lit("https://d.test/"), F.col("doc_id").cast("string"))
+    articles = rows.select(F.col("source").alias("site"), F.col("doc_id").alias("pos"), url.alias("url"), F.coalesce(F.col("quality") == 1, F.lit(False)).alias("saves"))
+    journal = rows.filter("toxic = 1").select(url.alias("url"), F.when(F.col("quality") == 1, F.lit("saved")).otherwise(F.lit("error")).alias("status"))
+    place = folder(spark)
+    middle = rows.agg(F.percentile_approx("doc_id", 0.5)).first()[0] or 0
+    for half in (F.col("pos") <= middle, F.col("pos") > middle):
+        articles.filter(half).coalesce(1).write.mode("append").parquet(f"{place}/in")
+        quota.run(spark, f"{place}/in", f"{place}/out", f"{place}/checkpoint", journal)
+    return spark.read.schema(quota.VISITS).parquet(f"{place}/out").select("site", "pos", "status", "saved_before")
