@@ -4,9 +4,10 @@ Lower-cased letters and single blanks give n-grams of one to three signs, hashed
 to ``BUCKETS`` dimensions. Document frequencies come from all documents that may
 be learned from. The weights are trained by follow-the-regularised-leader with
 elastic-net penalties (L1 leaves most weights at zero) on a sample of at most
-twice ``SAMPLE_ROWS`` different rows, spread evenly over the languages by a hash of
-id and text, so that a row that is repeated counts once; every fifth sampled row
-is kept apart and sets the temperature of the softmax.
+twice ``SAMPLE_ROWS`` different texts, spread evenly over the languages by a hash of
+the text. What share of a language is drawn follows from its number of different
+texts, so a text of which there are many copies counts once and takes no room
+from others; every fifth sampled text is kept apart and sets the temperature of the softmax.
 
 Only rows with a language whose crc32(doc_id as text) mod 4 is not 2 are learned
 from; a prediction uses nothing but the text. The model has a fixed size
@@ -15,7 +16,7 @@ from; a prediction uses nothing but the text. The model has a fixed size
 Defined results: a null text or one without a letter is ``und`` with score 0, as
 is everything when there is nothing to learn from; equal texts get equal
 predictions; ties go to the first language in alphabetical order; a null id is
-neither held out nor learned from.
+neither held out nor learned from; a text that stands under two languages counts once for each.
 """
 
 from __future__ import annotations
@@ -174,15 +175,15 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     df = np.zeros(BUCKETS)
     df[list(found)] = list(found.values())
     idf = np.log((1 + total) / (1 + df)) + 1
-    sizes = eligible.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    keyed = eligible.withColumn("key", F.xxhash64("text"))
+    sizes = keyed.select("lang", "key").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     n_languages = F.count(F.lit(1)).over(_whole())
     share = sizes.select(F.col("lang").alias("l"), F.least(F.lit(1.0), F.lit(float(sample_rows)) / n_languages / F.col("n")).alias("share"))  # one row per language
-    keyed = eligible.withColumn("key", F.xxhash64("doc_id", "text"))
     unit = F.pmod("key", F.lit(1 << 30)) / F.lit(float(1 << 30))
     drawn = keyed.join(F.broadcast(share), F.col("lang") == F.col("l")).filter(unit < F.col("share"))
-    # Repeated rows fold where they are read; the bound holds however the hashes fall.
-    once = drawn.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("lang").alias("lang"), F.first("text").alias("text"))
-    chosen = once.orderBy("key").limit(2 * sample_rows).select("doc_id", "lang", "text")
+    # Copies fold where they are read; the bound holds however the hashes fall.
+    once = drawn.groupBy("key", "lang").agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    chosen = once.orderBy("key", "lang").limit(2 * sample_rows).select("doc_id", "lang", "text")
     rows = chosen.mapInArrow(_sparse, "doc_id long, lang string, buckets binary, counts binary").collect()
     rows = [(r["doc_id"], r["lang"], np.frombuffer(r["buckets"], "<i4").astype(np.int64), np.frombuffer(r["counts"], "<i4").astype(np.float64)) for r in rows if r["buckets"]]
     rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes(), r[3].tobytes()))

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from gleanmill.llm import language_id as lid
 from tests.conftest import DATA
@@ -131,3 +132,24 @@ def test_very_long_texts(spark):
     model = lid.fit(data)
     told = {r.doc_id: r.lang_pred for r in lid.predict(data, model).collect()}
     assert told[4] == "de" and told[8] == "en" and lid.predict(data, model).count() == len(rows)
+
+
+@pytest.mark.parametrize("ids", ["one", "many"])
+def test_copies_take_no_room_from_other_texts(spark, ids):
+    """One text is nearly the whole table and far more rows than the sample takes; all others are told as without it."""
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(8)
+    words = {"en": "the and of that with this from have been which were their would there".split(), "de": "der und die das mit ist ein nicht auf eine wird auch nach werden".split()}
+    rows = [(i, " ".join(r.choice(words[k], 12)), k) for i in range(400) for k in (("en", "de")[i % 2],)]
+    few = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    often = spark.range(60_000).select((F.lit(3) if ids == "one" else F.col("id") + 1000).cast("long").alias("doc_id"), F.lit("one english text that is repeated").alias("text"), F.lit("en").alias("lang"))
+    model = lid.fit(few.union(often).repartition(6), sample_rows=100)
+    told = {x.doc_id: x.lang_pred for x in lid.predict(few, model).collect()}
+    assert [i for i, _, k in rows if told[i] != k] == []
+
+
+def test_a_text_under_two_languages(spark):
+    rows = [(i, f"plain words {i % 7}", ("en", "de")[i % 2]) for i in range(60)]
+    data = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert lid.fit(data) is not None and {x.lang_pred for x in lid.predict(data.repartition(3), lid.fit(data.repartition(5))).collect()} <= {"en", "de"}
