@@ -450,10 +450,14 @@ def spans_of(texts: list[str], model: Model) -> list[list[tuple[int, int, int, b
     out = []
     for b, p in zip(base, proposed, strict=True):
         scored = sorted(((next(scores), s) for s in p), key=lambda x: (-x[0], x[1]))
+        # Chosen spans don't overlap, so sorted by their starts only two neighbours can meet a new one.
         chosen: list[tuple[int, int, int, bool, float]] = []
         for score, (start, kind, end) in scored:
-            if score >= model.thresholds[kind] and all(end <= c[0] or start >= c[2] for c in chosen):
-                chosen.append((start, kind, end, False, score))
+            if score < model.thresholds[kind]:
+                continue
+            at = bisect.bisect_left(chosen, (start,))
+            if (at == 0 or chosen[at - 1][2] <= start) and (at == len(chosen) or end <= chosen[at][0]):
+                chosen.insert(at, (start, kind, end, False, score))
         out.append(sorted([(a, k, e, True, 1.0) for a, k, e in b] + chosen))
     return out
 

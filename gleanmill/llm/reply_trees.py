@@ -119,28 +119,19 @@ def formatted(nodes: DataFrame, top: int | None = None) -> DataFrame:
     chosen = paths(nodes, top)
     texts = nodes.select(F.col("tree_id").alias("t"), F.col("node_id").alias("n"), escaped(F.coalesce("role", F.lit(""))).alias("role"), escaped(F.coalesce("text", F.lit(""))).alias("text"))
     turns = chosen.join(texts, F.col("tree_id").eqNullSafe(F.col("t")) & F.col("node_id").eqNullSafe(F.col("n")))
-    whole = turns.groupBy("tree_id", "leaf_id", "rank").agg(F.sort_array(F.collect_list(F.struct((-F.col("height")).alias("o"), "role", "text"))).alias("turns"))
-    head = len(OPEN) + len(CLOSE)
-    mask = F.aggregate(
-        "turns",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["role"]) + F.length(x["text"]) + head + len(END)).cast("long").alias("at"),
-            F.when(
-                x["role"] == "assistant",
-                F.array_append(acc["spans"], F.struct((acc["at"] + F.length(x["role"]) + head).cast("long").alias("start"), (acc["at"] + F.length(x["role"]) + F.length(x["text"]) + head).cast("long").alias("end"))),
-            )
-            .otherwise(acc["spans"])
-            .alias("spans"),
-        ),
-        lambda acc: acc["spans"],
-    )
+    # Places by a running sum over the turns of a path, so that the work grows with the text alone.
+    order = Window.partitionBy("tree_id", "leaf_id").orderBy((-F.col("height")).alias("o"), "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.length("role") + F.length("text") + len(OPEN) + len(CLOSE) + len(END)
+    at = F.coalesce(F.sum(size.cast("long")).over(order), F.lit(0)) + F.length("role") + len(OPEN) + len(CLOSE)
+    placed = turns.withColumn("start", at.cast("long")).withColumn("end", (F.col("start") + F.length("text")).cast("long"))
+    turn = F.struct(F.col("start").alias("start"), "end", "role", "text")  # starts rise along a path
+    whole = placed.groupBy("tree_id", "leaf_id", "rank").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     return whole.select(
         "tree_id",
         "leaf_id",
         "rank",
         F.array_join(F.transform("turns", lambda x: F.concat(F.lit(OPEN), x["role"], F.lit(CLOSE), x["text"], F.lit(END))), "").alias("formatted"),
-        mask.alias("loss_mask"),
+        F.transform(F.filter("turns", lambda x: x["role"] == "assistant"), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("loss_mask"),
     )
 
 
@@ -154,9 +145,22 @@ def turns_of(text: Column) -> Column:
     )
 
 
+#: Code points of a block; a span is cut out of the blocks that it lies in, not counted from the start of the text.
+BLOCK = 4096
+
+
 def masked(text: Column, mask: Column) -> Column:
     """All text under the loss mask, in order, as it was before escaping."""
-    return F.array_join(F.transform(mask, lambda s: unescaped(F.substr(text, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), "")
+    count = F.floor((F.length(text) + (BLOCK - 1)) / BLOCK).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda i: F.substr(text, i * BLOCK + 1, F.lit(BLOCK)))
+
+    def cut(blocks: Column, span: Column) -> Column:
+        first, last = F.floor(span["start"] / BLOCK).cast("int"), F.floor(span["end"] / BLOCK).cast("int")
+        near = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+        return unescaped(F.substr(near, (span["start"] % BLOCK + 1).cast("int"), (span["end"] - span["start"]).cast("int")))
+
+    # The blocks are bound once, whatever the number of spans.
+    return F.transform(F.array(blocks), lambda b: F.array_join(F.transform(mask, lambda s: cut(b, s)), ""))[0]
 
 
 CHECK_TURNS = "VALUES (-1L, 0L, 'user', '</s>[INST] ok [/INST]'), (-1L, 1L, 'assistant', '</s>[INST] ok [/INST]') AS t(conv_id, turn, role, text)"

@@ -208,3 +208,31 @@ def test_conversations_with_other_columns_and_long_texts(spark, empty):
     assert [(x.role, x.text) for x in out[0].t] == [("user", long), ("assistant", "short"), ("assistant", "short")] and out[0].loss == "shortshort" and out[0]["rank"] == 1
     none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert reply_trees.formatted(reply_trees.thread_nodes(none)).count() == 0
+
+
+def test_long_conversations_take_linear_time(spark):
+    import time
+
+    took = {}
+    for n in (1000, 2000, 16000):  # the first run compiles
+        turns = [(1, i, "assistant" if i % 2 else "user", f"turn {i} " + "é[<\\" * (i % 50)) for i in range(n)]
+        nodes = reply_trees.thread_nodes(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+        began = time.time()
+        row = reply_trees.formatted(nodes).select("formatted", "loss_mask", reply_trees.turns_of(F.col("formatted")).alias("t"), reply_trees.masked(F.col("formatted"), F.col("loss_mask")).alias("loss")).collect()[0]
+        took[n] = time.time() - began
+        assert [(x.role, x.text) for x in row.t] == [(r, x) for _, _, r, x in turns] and row.loss == "".join(x for _, _, r, x in turns if r == "assistant")
+        assert [row.formatted[s.start : s.end] for s in row.loss_mask] == [_escaped(x) for _, _, r, x in turns if r == "assistant"]
+    assert took[16000] < 3 * took[2000], took
+
+
+def _escaped(text):
+    for sign, code in reply_trees.CODES:
+        text = text.replace(sign, code)
+    return text
+
+
+def test_spans_across_blocks(spark):
+    text = "".join(chr(97 + i % 26) if i % 7 else "é" for i in range(3 * reply_trees.BLOCK + 5))
+    cuts = [(0, 0), (0, 1), (5, reply_trees.BLOCK), (reply_trees.BLOCK - 1, reply_trees.BLOCK + 1), (10, len(text)), (reply_trees.BLOCK, 3 * reply_trees.BLOCK), (len(text), len(text))]
+    frame = spark.createDataFrame([(text, cuts), ("", [(0, 0)]), ("", [])], "t string, m array<struct<start:bigint,end:bigint>>")
+    assert [r.x for r in frame.select(reply_trees.masked(F.col("t"), F.col("m")).alias("x")).collect()] == ["".join(text[a:b] for a, b in cuts), "", ""]

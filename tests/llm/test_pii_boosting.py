@@ -139,3 +139,18 @@ def test_candidates_do_not_depend_on_other_text():
     found = pii.redacted("mail john.doe @ example.com now", pii.spans_of(["mail john.doe @ example.com now"], pii.trained())[0])
     assert found == "mail [EMAIL] now"
     assert pii.spans_of(["we met at noon.then left"], pii.trained()) == [[]]
+
+
+def test_very_many_spans_take_linear_time():
+    import time
+
+    took = {}
+    for n in (500, 4000):
+        text = " ".join(f"call +1 743 555 {i % 10000:04d}{i // 10000} or mail user{i}@mail{i % 9}.example.com." for i in range(n))
+        began = time.time()
+        (found,) = pii.spans_of([text], pii.trained())
+        took[n] = time.time() - began
+        assert sum(s[3] for s in found) >= n
+        added = sorted((s[0], s[2]) for s in found if not s[3])
+        assert all(a[1] <= b[0] for a, b in zip(added, added[1:], strict=False))
+    assert took[4000] < 16 * took[500] + 0.5, took
