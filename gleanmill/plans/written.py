@@ -1,8 +1,8 @@
 """Queries over files and tables that are written first: readers, writers and state, with what must come back.
 
 Each query writes under the folder for checkpoints, which driver and executors
-share, and reads its own files. Small configuration files are fixed; state and
-outcomes are those of whole tables.
+share, and reads its own files. All files, configurations included, are made of
+whole tables.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gleanmill.functions import classify, text, urls
 from gleanmill.functions import constants as C
+from gleanmill.operators import setops
 from gleanmill.plans import duck as D
 from gleanmill.plans import pipelines
 from gleanmill.session import ensure_checkpoint_dir, table
@@ -40,84 +41,89 @@ def folder(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/written-{uuid.uuid4().hex}"
 
 
-def written(spark: SparkSession, content: str) -> str:
-    """A text file with this content."""
+def lines_of(spark: SparkSession, rows: DataFrame, pos: str) -> str:
+    """A folder of text files with the column ``value``, whose lines are read back in the order of ``pos``."""
     path = folder(spark)
-    spark.createDataFrame([(content,)], "value string").coalesce(1).write.text(path, lineSep="\n")
+    rows.repartitionByRange(pos).sortWithinPartitions(pos).select("value").write.text(path)
     return path
 
 
-SEEDS = "# seeds\n\n  https://a.test/1 \nhttps://b.test/2\n#https://c.test/3\n"
+#: A seed file of all pages: a quarter comments, a quarter with blanks around, a quarter blank lines.
+SEED_LINES = "CASE page_id % 4 WHEN 0 THEN '# ' || url WHEN 1 THEN '  ' || url || ' ' WHEN 2 THEN '  ' ELSE url END"
 
 
-@query("SELECT * FROM (VALUES (1, 'https://a.test/1', 'https://a.test/1'), (2, 'https://b.test/2', 'https://b.test/2')) AS t(nth, value, plain)")
-def seed_lines(spark, d):
-    """Lines with and without the rule on comments; without it only the first two stay equal."""
-    path = written(spark, SEEDS)
-    nth = lambda rows: rows.withColumn("nth", F.rank().over(_by_pos())).select("nth", "value")
-    plain = readers.lines(spark, path, comments=False).filter(~F.col("value").startswith("#"))
-    return nth(readers.lines(spark, path)).join(nth(plain).withColumnRenamed("value", "plain"), "nth")
-
+def _seeds(spark: SparkSession, d: str) -> str:
+    pages = table(spark, d, "pages")
+    return lines_of(spark, pages.select("page_id", F.expr(SEED_LINES).alias("value")), "page_id")
 
-def _by_pos():
-    from pyspark.sql import Window
 
-    return Window.partitionBy(F.lit(1)).orderBy("pos")  # the lines of a configuration file
+@query(f"SELECT row_number() OVER (ORDER BY page_id) AS nth, trim({SEED_LINES}) AS value FROM pages WHERE page_id % 4 IN (1, 3)")
+def seed_lines(spark, d):
+    """Lines of a seed file in order, without comments and blank ones."""
+    return setops.numbered(readers.lines(spark, _seeds(spark, d)), "pos", "nth").select("nth", "value")
 
 
-@query("SELECT * FROM (VALUES ('# seeds', true), ('#https://c.test/3', true), ('https://a.test/1', false), ('https://b.test/2', false)) AS t(value, only_without_comments)")
+@query(f"SELECT trim({SEED_LINES}) AS value, page_id % 4 = 0 AS only_without_comments FROM pages WHERE page_id % 4 <> 2")
 def comment_lines(spark, d):
-    path = written(spark, SEEDS)
-    kept = readers.lines(spark, path).select(F.col("value").alias("v"))
-    every = readers.lines(spark, path, comments=False).join(kept, F.col("value") == F.col("v"), "left")
-    return every.select("value", F.col("v").isNull().alias("only_without_comments"))
+    """The same file read without the rule on comments."""
+    every = readers.lines(spark, _seeds(spark, d), comments=False)
+    return every.select("value", F.startswith("value", F.lit("#")).alias("only_without_comments"))
 
 
-@query("SELECT * FROM (VALUES (0, 'alpha', false), (1, 'beta', false), (2, 'alpha', false), (3, NULL, true)) AS t(nth, keyword, empty_is_an_error)")
+@query("""SELECT row_number() OVER (ORDER BY item_id) - 1 AS nth, lower(regexp_extract(text, '[A-Za-z]+', 0)) AS keyword, false AS empty_is_an_error FROM benchmark WHERE regexp_extract(text, '[A-Za-z]+', 0) <> '' UNION ALL SELECT -1, NULL, true""")
 def keyword_file(spark, d):
-    found = readers.keywords(spark, written(spark, "Alpha\n# no\n\nBETA\nalpha\n"))
+    """The first word of each benchmark item as a keyword file, and a file of comments alone, which is an error."""
+    rows = table(spark, d, "benchmark").select("item_id", F.regexp_extract("text", "[A-Za-z]+", 0).alias("value"))
+    found = readers.keywords(spark, lines_of(spark, rows, "item_id"))
     try:
-        readers.keywords(spark, written(spark, "# nothing\n\n"))
+        readers.keywords(spark, lines_of(spark, rows.withColumn("value", F.concat(F.lit("# "), "value")), "item_id"))
         failed = False
     except ValueError:
         failed = True
-    return spark.createDataFrame([*((i, k, False) for i, k in enumerate(found)), (len(found), None, failed)], "nth int, keyword string, empty_is_an_error boolean")
+    return spark.createDataFrame([*((i, k, False) for i, k in enumerate(found)), (-1, None, failed)], "nth long, keyword string, empty_is_an_error boolean")
+
 
+_SOURCE_LINE = "CASE page_id % 4 WHEN 0 THEN host WHEN 1 THEN ' https://WWW.' || host || '/ ' WHEN 2 THEN 'http://www.' || host || '/news/?a=1' ELSE '' END"
 
-@query("SELECT * FROM (VALUES ('https://exemple.test'), ('http://x.test/news')) AS t(source)")
+
+@query(f"""SELECT source, row_number() OVER (ORDER BY pos) AS nth FROM (SELECT source, min(page_id) AS pos FROM (SELECT page_id, {D.scheme('l')} || '://' || {D.domain('l')} || rtrim({D.path('l')}, '/') AS source
+ FROM (SELECT page_id, CASE WHEN starts_with(v, 'http') THEN v ELSE 'https://' || v END AS l FROM (SELECT page_id, trim({_SOURCE_LINE}) AS v FROM (SELECT page_id, {D.host_raw('url')} AS host FROM pages)) WHERE v <> '')) GROUP BY source)""")
 def source_file(spark, d):
-    return readers.sources(spark, written(spark, "exemple.test\nhttps://www.Exemple.test/\nhttp://www.x.test/news/?a=1\n\n# y.test\n")).select("source")
+    """Hosts of all pages as a source file; the first of equal sources stays, in the order of the file."""
+    rows = table(spark, d, "pages").select("page_id", F.regexp_extract("url", "//([^/?#]*)", 1).alias("host")).select("page_id", F.expr(_SOURCE_LINE).alias("value"))
+    return setops.numbered(readers.sources(spark, lines_of(spark, rows, "page_id")), "pos", "nth").select("source", "nth")
 
 
-@query("SELECT * FROM (VALUES ('https://a.test/1', 1), ('https://b.test/2', 1), (NULL, 0)) AS t(url_key, files)")
+@query("SELECT DISTINCT url AS url_key, 1 AS files FROM pages WHERE url <> '' UNION ALL SELECT NULL, 0")
 def seen_file(spark, d):
-    """Keys of a file, and one row without a key for a file that is not there."""
-    there = readers.seen_urls(spark, written(spark, "https://a.test/1\n\nhttps://b.test/2\nhttps://a.test/1\n")).withColumn("files", F.lit(1))
+    """URLs of all pages, each written twice, and one row without a key for a file that is not there."""
+    pages = table(spark, d, "pages").select("page_id", F.col("url").alias("value"))
+    there = readers.seen_urls(spark, lines_of(spark, pages.unionByName(pages), "page_id")).withColumn("files", F.lit(1))
     missing = readers.seen_urls(spark, folder(spark)).agg(F.max("url_key").alias("url_key"), F.count(F.lit(1)).cast("int").alias("files"))
     return there.unionByName(missing)
 
 
-SITES = """
-defaults: {date_regex: "[0-9]{4}", date_format: "%Y"}
-sites:
-  - {name: one, start_urls: ["https://a.test"], date_selector: "time.d"}
-  - {start_urls: ["https://b.test", "https://b.test/2"], date_regex: "20[0-9]{2}", disable_nav_filter: true}
-  - {name: none}
-"""
-
-
-@query("SELECT * FROM (VALUES ('one', 1, 'time.d', '[0-9]{4}', '%Y', false), ('https://b.test', 2, NULL, '20[0-9]{2}', '%Y', true)) AS t(name, starts, date_selector, date_regex, date_format, disable_nav_filter)")
+@query(f"""SELECT CASE WHEN length(h) % 2 = 0 THEN 'site ' || h ELSE 'https://' || h END AS name, CASE WHEN length(h) % 2 = 0 THEN 1 ELSE 2 END AS starts, CASE WHEN length(h) % 2 = 0 THEN 'time.d' END AS date_selector,
+ CASE WHEN length(h) % 2 = 0 THEN '[0-9]{{4}}' ELSE '20[0-9]{{2}}' END AS date_regex, '%Y' AS date_format, length(h) % 2 <> 0 AS disable_nav_filter FROM (SELECT DISTINCT {D.host_raw('url')} AS h FROM pages)""")
 def site_file(spark, d):
-    return readers.sites(spark, SITES).select("name", F.size("start_urls").alias("starts"), "date_selector", "date_regex", "date_format", "disable_nav_filter")
+    """A configuration with one site for every host, and one without start URLs, which is left out."""
+    hosts = sorted(r["h"] for r in table(spark, d, "pages").select(urls.host_raw(F.col("url")).alias("h")).distinct().collect())  # a configuration file
+    some = [f'  - {{name: "site {h}", start_urls: ["https://{h}"], date_selector: "time.d"}}' if len(h) % 2 == 0 else f'  - {{start_urls: ["https://{h}", "https://{h}/2"], date_regex: "20[0-9]{{2}}", disable_nav_filter: true}}' for h in hosts]
+    text_ = "\n".join(['defaults: {date_regex: "[0-9]{4}", date_format: "%Y"}', "sites:", *some, "  - {name: none}"])
+    return readers.sites(spark, text_).select("name", F.size("start_urls").alias("starts"), "date_selector", "date_regex", "date_format", "disable_nav_filter")
 
 
-@query("SELECT * FROM (VALUES ('Lyon', 'Dupont'), ('Paris', 'Martin')) AS t(place, name)")
+@query("SELECT trim(client_id || ' ' || coalesce(city, '')) AS place, coalesce(trim(name), '') AS name FROM clients")
 def practitioner_file(spark, d):
-    return readers.practitioners(spark, written(spark, "Lyon;Dupont\n Paris ; Martin;more\n"))
+    """All clients as a file of places and names with a further field."""
+    line = F.concat(F.lit(" "), F.col("client_id").cast("string"), F.lit(" "), F.coalesce("city", F.lit("")), F.lit(" ; "), F.coalesce("name", F.lit("")), F.lit(";more"))
+    path = folder(spark)
+    table(spark, d, "clients").select(line.alias("value")).write.text(path)
+    return readers.practitioners(spark, path).select("place", F.coalesce("name", F.lit("")).alias("name"))
 
 
 @query("""SELECT * FROM (SELECT 'article' AS kind, 'https://h.test/' || page_id AS url, CASE WHEN page_id % 3 = 0 THEN 'saved' WHEN page_id % 3 = 1 THEN 'skipped_year' ELSE 'error' END AS status, CASE WHEN page_id % 3 = 0 THEN 'page_' || page_id || '.html' END AS file, NULL::BIGINT AS links FROM pages
- UNION ALL SELECT 'listing', url, NULL, NULL, 2 FROM pages WHERE page_id < 5)""")
+ UNION ALL SELECT 'listing', url, NULL, NULL, 2 FROM (SELECT DISTINCT url FROM pages))""")
 def journal_entries(spark, d):
     """A journal of all pages, saved and read back: articles and listings apart."""
     articles, listings = readers.journal(spark, _journal(spark, d))
@@ -134,7 +140,7 @@ def _journal(spark: SparkSession, d: str) -> str:
         F.lit(200).alias("code"), F.lit(2025).alias("year"),
         F.when(n == 0, F.concat(F.lit("page_"), F.col("page_id").cast("string"), F.lit(".html"))).alias("file"), F.lit(None).cast("string").alias("message"),
     )
-    listings = pages.filter("page_id < 5").select("url", F.array(F.lit("a")).alias("articles"), F.array(F.lit("b")).alias("pagination"))
+    listings = pages.select("url").distinct().select("url", F.array(F.lit("a")).alias("articles"), F.array(F.lit("b")).alias("pagination"))
     path = folder(spark)
     sinks.write_journal(articles, listings, path)
     return path

@@ -27,9 +27,11 @@ SITE = T.StructType(
 def lines(spark: SparkSession, path: str, comments: bool = True, lower: bool = False) -> DataFrame:
     """(pos, value): stripped lines without blank ones, and without # lines where comments are allowed.
 
-    ``pos`` grows with the place in the file.
+    ``pos`` grows with the place in the file, and over several files in the order
+    of their names, whichever tasks read them.
     """
-    out = spark.read.text(path).withColumn("pos", F.monotonically_increasing_id()).withColumn("value", F.trim("value")).filter("value <> ''")
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    out = spark.read.text(path).select("value", place.alias("pos")).withColumn("value", F.trim("value")).filter("value <> ''")
     out = out.filter(~F.col("value").startswith("#")) if comments else out
     return out.select("pos", F.lower("value").alias("value") if lower else "value")
 

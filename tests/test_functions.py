@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanmill.functions import classify, dates, text, urls
-from gleanmill.plans import fixtures as X
+from tests import golden_tables as X
 from gleanmill.plans import pipelines
 
 
