@@ -21,7 +21,7 @@ an empty result.
 from __future__ import annotations
 
 from bisect import bisect_left
-from datetime import UTC, datetime, timedelta
+from datetime import UTC, datetime
 from zoneinfo import ZoneInfo, available_timezones
 
 import pyarrow as pa
