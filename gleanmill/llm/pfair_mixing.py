@@ -11,7 +11,8 @@ repeated.
 
 A phase's schedule repeats every P slots, so one fold over at most P slots per
 phase, and no more than the phase has, gives all of it, however many blocks there
-are. The folds are SQL expressions
+are. Sources of equal weight have equal windows and go in turn, so a slot looks at
+the different weights only, of which there are at most ``resolution``. The folds are SQL expressions
 over one row that holds an array element per source. P is at most ``resolution``
 times the number of sources. Rows are numbered inside (source, hash bucket)
 pairs, 4,096 buckets a source, and offsets of buckets are summed on the counts,
@@ -39,17 +40,39 @@ MOST_SOURCES = 1 << 20
 BROADCAST_SOURCES = 256
 SALTS = 32
 
-#: One slot: the released source with the earliest deadline, which then counts one more. Deadline and number share a long.
+#: Slots that are put together before they join the others, so that no fold copies a long list for each of its elements.
+CHUNK = 128
+
+#: One slot: the released source with the earliest deadline. Sources of one weight have the same windows, so they go in turn, and
+#: a state holds of each weight (cw: weights, mem: their sources) how many blocks it had, and of its next block the release and
+#: the deadline with the source's number in one long. Only the weight that gets the slot is worked out anew.
 _SLOT = f"""
-  transform(array(
-    array_min(transform(e, (w, s) -> if(w > 0 AND (st.done[s] * p) div w <= t, (((st.done[s] + 1) * p + w - 1) div w) * {MOST_SOURCES}L + s, NULL))) % {MOST_SOURCES}L
-  ), b -> named_struct('done', transform(st.done, (c, s) -> if(s = b, c + 1L, c)), 'slots', array_append(st.slots, int(b))))[0]
+  transform(array(array_min(transform(st.rel, (r, k) -> if(r <= t, st.key[k], NULL))) % {MOST_SOURCES}L), b ->
+  transform(array(int(array_position(cw, e[int(b)]) - 1)), at ->
+  transform(array((st.done[at] + 1L) div size(mem[at])), i ->
+    named_struct(
+      'done', transform(st.done, (c, k) -> if(k = at, c + 1L, c)),
+      'rel', transform(st.rel, (r, k) -> if(k = at, (i * p) div cw[at], r)),
+      'key', transform(st.key, (d, k) -> if(k = at, (((i + 1) * p + cw[at] - 1) div cw[at]) * {MOST_SOURCES}L + mem[at][int((st.done[at] + 1L) % size(mem[at]))], d)),
+      'slots', array_append(st.slots, int(b)))
+  )[0])[0])[0]
 """
 
 #: The source of each of the first ``n`` slots of a period.
 _PERIOD = f"""
-  aggregate(sequence(0L, n - 1L), named_struct('done', transform(e, w -> 0L), 'slots', cast(array() AS array<int>)),
-    (st, t) -> {_SLOT}, st -> st.slots)
+  aggregate(sequence(0L, (n - 1L) div {CHUNK}L), named_struct('done', transform(cw, w -> 0L), 'rel', transform(cw, w -> 0L), 'key', transform(cw, (w, k) -> ((p + w - 1) div w) * {MOST_SOURCES}L + mem[k][0]), 'slots', cast(array() AS array<array<int>>)),
+    (all, q) -> transform(array(aggregate(sequence(q * {CHUNK}L, least(n, (q + 1L) * {CHUNK}L) - 1L), named_struct('done', all.done, 'rel', all.rel, 'key', all.key, 'slots', cast(array() AS array<int>)), (st, t) -> {_SLOT})),
+      more -> named_struct('done', more.done, 'rel', more.rel, 'key', more.key, 'slots', array_append(all.slots, more.slots)))[0],
+    all -> flatten(all.slots))
+"""
+
+#: The slots of each source: those of its weight in turn; none for sources that are done.
+_OWN = """
+  transform(array_sort(concat(
+    flatten(transform(cw, (w, k) -> transform(array(filter(sequence(0, size(slots) - 1), i -> e[slots[i]] = w)), list ->
+      transform(mem[k], (s, j) -> named_struct('s', s, 'own', if(j < size(list), transform(sequence(j, size(list) - 1, size(mem[k])), i -> list[i]), cast(array() AS array<int>)))))[0])),
+    transform(filter(sequence(0, size(e) - 1), s -> e[s] = 0L), s -> named_struct('s', s, 'own', cast(array() AS array<int>)))
+  )), x -> x.own)
 """
 
 #: What one phase adds. Its length is the first time at which a source has no blocks left. That is known to lie before the
@@ -58,11 +81,13 @@ _STEP = f"""
   transform(array(transform(weights, (w, s) -> if(ph.rest[s] > 0, w, 0L))), e ->
   transform(array(aggregate(e, 0L, (a, w) -> a + w)), p ->
   transform(array(least(p, array_min(transform(e, (w, s) -> if(w > 0, (ph.rest[s] * p + w - 1L) div w, NULL))))), n ->
+  transform(array(array_sort(array_distinct(filter(e, w -> w > 0)))), cw ->
+  transform(array(transform(cw, w -> filter(sequence(0, size(e) - 1), s -> e[s] = w))), mem ->
   transform(array({_PERIOD}), slots ->
-  transform(array(transform(e, (w, s) -> if(w > 0, filter(sequence(0, size(slots) - 1), i -> slots[i] = s), cast(array() AS array<int>)))), own ->
+  transform(array({_OWN}), own ->
   transform(array(array_min(transform(e, (w, s) -> if(w > 0, ((ph.rest[s] - 1) div w) * p + get(own[s], int((ph.rest[s] - 1) % w)) + 1L, NULL)))), len ->
     named_struct('len', len, 'period', p, 'weights', e, 'own', own, 'had', transform(e, (w, s) -> (len div p) * w + size(filter(own[s], i -> i < len % p))))
-    )[0])[0])[0])[0])[0])[0]
+    )[0])[0])[0])[0])[0])[0])[0])[0]
 """
 
 _PHASE = f"""
@@ -116,14 +141,15 @@ def schedule(counts: DataFrame, block_rows: int = BLOCK_ROWS, weights: dict[str,
     planned = one.select("s", _once(_PHASES).alias("ph"))
     # Each source gets its own part of the phases before rows are made of them.
     parts = _once(f"""transform(s, (x, i) -> struct(x.key AS key, x.blocks * {block_rows} - x.n_rows AS missing,
-      transform(filter(ph, p -> p.had[i] > 0), p -> struct(p.start AS start, p.period AS period, p.weights[i] AS weight, p.own[i] AS own, p.first[i] AS first, p.had[i] AS had)) AS phases))""")
+      transform(filter(numbers, q -> ph[q].had[i] > 0), q -> struct(q AS q, ph[q].start AS start, ph[q].period AS period, ph[q].weights[i] AS weight, ph[q].own[i] AS own, ph[q].first[i] AS first, ph[q].had[i] AS had)) AS phases))""")
     last = "transform(slice(x.phases, -1, 1), p -> p.start + ((p.had - 1) div p.weight) * p.period + p.own[int((p.had - 1) % p.weight)])[0]"
-    parted = planned.select(parts.alias("parts"))
-    ends = parted.select("parts", _once(f"transform(parts, x -> struct({last} AS slot, x.missing AS missing))").alias("ends"))
+    planned = planned.select("s", "ph", F.expr("transform(ph, (p, q) -> q)").alias("numbers"), F.expr("transform(ph, p -> p.start)").alias("starts"))
+    parted = planned.select("starts", parts.alias("parts"))
+    ends = parted.select("starts", "parts", _once(f"transform(parts, x -> struct({last} AS slot, x.missing AS missing))").alias("ends"))
     # A phase ends with the last block of a source, so what such blocks lack is the same for all slots of a phase.
-    gap = "aggregate(filter(ends, e -> e.slot < p.start), 0L, (a, e) -> a + e.missing)"
-    told = f"transform(parts, x -> struct(x.key AS key, transform(x.phases, p -> struct(p.start AS start, p.period AS period, p.weight AS weight, p.own AS own, p.first AS first, p.had AS had, {gap} AS gap)) AS phases))"
-    return ends.select(F.explode(F.expr(told)).alias("x")).select("x.*")
+    gaps = ends.select("parts", _once("transform(starts, b -> aggregate(filter(ends, e -> e.slot < b), 0L, (a, e) -> a + e.missing))").alias("gaps"))
+    told = "transform(parts, x -> struct(x.key AS key, transform(x.phases, p -> struct(p.start AS start, p.period AS period, p.weight AS weight, p.own AS own, p.first AS first, p.had AS had, gaps[p.q] AS gap)) AS phases))"
+    return gaps.select(F.explode(F.expr(told)).alias("x")).select("x.*")
 
 
 def mix(rows: DataFrame, id_column: str = "doc_id", source_column: str = "source", block_rows: int = BLOCK_ROWS, weights: dict[str, int] | None = None, resolution: int = RESOLUTION) -> DataFrame:
