@@ -8,8 +8,11 @@ Two documents link when 5 * |A & B| >= 4 * |A | B| over their shingle sets.
    n - ceil(8n/9) + 1 tokens of the smaller set (its index tokens) is among the
    first n - ceil(4n/5) + 1 of the other (its probe tokens); only these are
    matched. Frequent tokens, such as those of passages that many documents share,
-   come last: the at most ``HOT_TOKENS`` commonest ones by counts over slices of
-   all texts. Any such list is right, a good one is fast: a passage that is less
+   come last: all that ``HOT_DOCS`` documents have by counts over slices of
+   all texts. Tasks know them by a table of ``BITS`` bits for each, which misses none
+   and grows with their number, up to ``MOST_BITS`` (16 MB); beyond, more of the other
+   tokens count as frequent too (a fifth for 33 million frequent ones). Any such order is
+   right, a good one is fast: a passage that is less
    than eight ninths of a document is never among its index tokens, so documents
    that share no more than that do not meet.
    A linked pair also shares o - ceil(4m/5) + 1 of its probe tokens, with o =
@@ -48,6 +51,7 @@ repeat an id each get the component of their own text; other columns are ignored
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -60,8 +64,10 @@ from gleanmill.llm.frames import kept
 from gleanmill.llm.shingles import mix, sets
 from gleanmill.session import ensure_checkpoint_dir, table
 
-HOT_TOKENS = 200_000
 HOT_DOCS = 48
+#: Bits of the table of frequent tokens for each of them, and the fewest and most of a table, as powers of two.
+BITS = 32
+LEAST_BITS, MOST_BITS = 16, 27
 PART = 64
 #: Ids or names of at most so many rows are broadcast to the texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -121,23 +127,40 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     release()
 
 
-def _common(scanned: DataFrame) -> np.ndarray:
-    """The commonest tokens, sorted; at most HOT_TOKENS, whatever the corpus."""
-    counted = scanned.filter("token IS NOT NULL").groupBy("token").agg(F.sum("docs").alias("docs"))
-    top = counted.filter(F.col("docs") >= HOT_DOCS).orderBy(F.col("docs").desc(), "token").limit(HOT_TOKENS).select("token").toArrow()
-    return np.sort(top.column(0).to_numpy().astype(np.int64).view(np.uint64))
+@dataclass(frozen=True)
+class Frequent:
+    """Which tokens are frequent: a bit for the high bits of each. None that is frequent is missed, a few others are told so."""
+
+    power: int
+    words: np.ndarray  # 64 bits each
 
+    def has(self, tokens: np.ndarray) -> np.ndarray:
+        at = tokens >> np.uint64(64 - self.power)
+        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
-def _matched(s: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The probe tokens of a set: the first ones in the order (common, hash)."""
-    if len(common):
-        at = np.minimum(np.searchsorted(common, s), len(common) - 1)
-        often = common[at] == s
+
+def _common(scanned: DataFrame) -> Frequent:
+    """The tokens of HOT_DOCS documents or more."""
+    counted = scanned.filter("token IS NOT NULL").groupBy("token").agg(F.sum("docs").alias("docs"))
+    hot = kept(counted.filter(F.col("docs") >= HOT_DOCS).select("token"))
+    power = min(MOST_BITS, max(LEAST_BITS, (BITS * hot.count()).bit_length()))
+    at = F.shiftrightunsigned("token", 64 - power)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+    found = hot.select(F.shiftrightunsigned(at, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^(MOST_BITS - 6) rows
+    words = np.zeros(1 << (power - 6), np.uint64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return Frequent(power, words)
+
+
+def _matched(s: np.ndarray, common: Frequent) -> np.ndarray:
+    """The probe tokens of a set: the first ones in the order (frequent, hash)."""
+    often = common.has(s)
+    if often.any():
         s = np.concatenate([s[~often], s[often]])
     return s[: len(s) - needed(len(s)) + 1]
 
 
-def _dealt(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
+def _dealt(docs: DataFrame, common: Frequent, buckets: int) -> DataFrame:
     """The tokens to match, dealt to buckets by their high bits: packed (39 low bits of the token and whether it is an index token, node) pairs."""
     shipped = docs.sparkSession.sparkContext.broadcast(common)
 
@@ -282,7 +305,7 @@ def _leader_links(held: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.filter(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b")
 
 
-def listed(docs: DataFrame, common: np.ndarray) -> DataFrame:
+def listed(docs: DataFrame, common: Frequent) -> DataFrame:
     """(list, size, times, node, index): one row per class and list of classes that meet over a token."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = _dealt(docs, common, 16 * partitions).repartition(partitions, "bucket").sortWithinPartitions("bucket")
@@ -419,8 +442,8 @@ def group_links(docs: DataFrame, queries: DataFrame, members: DataFrame, grouped
     return first.union(_met(rest, grouped, held, _opened, "a long, b long, g long")).select("a", "b")
 
 
-def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, np.ndarray]:
-    """(doc_id, row_key, n, node) of all rows, (node, n, rep) of all classes, and the common tokens."""
+def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, Frequent]:
+    """(doc_id, row_key, n, node) of all rows, (node, n, rep) of all classes, and the frequent tokens."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), row_key().alias("row_key"))
     scanned = rows.mapInArrow(_scanned, "doc_id long, row_key long, n long, node long, token long, docs long").checkpoint()
     named = scanned.filter("token IS NULL").select("doc_id", "row_key", "n", "node")
@@ -437,7 +460,7 @@ def groups(docs: DataFrame, members: DataFrame, known: DataFrame) -> tuple[DataF
     return first, parted(known.join(labels, F.col("node") == F.col("__gm_node"), "left").select("node", "n", "rep", F.coalesce("label", "node").alias("grp")))
 
 
-def links(docs: DataFrame, reps: DataFrame, common: np.ndarray) -> DataFrame:
+def links(docs: DataFrame, reps: DataFrame, common: Frequent) -> DataFrame:
     """Links (a, b) between classes, enough to connect every linked pair."""
     members = listed(docs, common)
     known = kept(reps.join(members.select("node").distinct(), "node", "left_semi"))

@@ -146,3 +146,32 @@ def test_components_of_a_chain(spark):
     found = {r.node: r.label for r in components(links).collect()}
     assert found == {i: 0 for i in range(201)} | {500: 500, 501: 500}
     assert components(links.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("most", [27, 12, 8])
+def test_many_frequent_tokens_ask_no_pairs(spark, monkeypatch, most):
+    """However small the table of frequent tokens is, none of them is missed, so shared lines bring no pairs together."""
+    monkeypatch.setattr(ngram_join, "HOT_DOCS", 20)
+    monkeypatch.setattr(ngram_join, "LEAST_BITS", 7)
+    monkeypatch.setattr(ngram_join, "MOST_BITS", most)
+    line = " ".join(f"licence{i}" for i in range(84))
+    counts = {}
+    for n in (200, 400):
+        docs = [(i, " ".join(f"w{i}x{j}" for j in range(16)) + " " + line) for i in range(n)]
+        queries, found = steps(spark, docs)
+        counts[n] = queries.count(), found.count()
+    if most > 8:  # with 256 bits, 80 shared tokens mark so many others that order alone no longer tells
+        assert counts[400][0] <= 2 * counts[200][0] + 10 and counts[400][0] <= 4 * 400
+    assert counts[400][1] <= 4 * counts[200][1] + 10
+
+
+def test_the_table_of_frequent_tokens_misses_none(spark):
+    rng = np.random.default_rng(4)
+    tokens = rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2)
+    scanned = spark.createDataFrame([(int(t.view(np.int64)), 100 if i % 5 else 3) for i, t in enumerate(tokens)], "token long, docs long")
+    common = ngram_join._common(scanned)
+    told = common.has(tokens)
+    hot = np.arange(5000) % 5 > 0
+    assert told[hot].all() and told[~hot].mean() < 0.06
+    none = ngram_join._common(scanned.limit(0))
+    assert not none.has(tokens).any()
