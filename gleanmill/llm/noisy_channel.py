@@ -71,12 +71,14 @@ STARS = "*#"
 APART = ".-_'~*,;:/"
 
 _SIGNS = re.escape("".join(LOOKS))
-#: A token with more than one path has one of these: a repeated letter, a sign, a separator that is not at its ends.
-_AMBIGUOUS = re.compile(rf"([a-z])\1|[{_SIGNS}]|(?<=[^{re.escape(APART)}])[ {re.escape(APART + STARS)}](?=.)", re.DOTALL)
+_BETWEEN = re.escape(APART + STARS)
+#: What gives a token more than one path: a repeated letter, a sign, a separator that is not at its ends.
+_AMBIGUOUS = re.compile(rf"([a-z])\1|[{_SIGNS}]|(?<=[^{re.escape(APART)}])[ {_BETWEEN}](?=.)", re.DOTALL)
+#: A whole token of that kind in a text; all others are passed over without a call.
+_TOKEN = re.compile(rf"(?<!\S)\S*?(?:([a-z])\1|[{_SIGNS}]|(?<=[^\s{re.escape(APART)}])[{_BETWEEN}](?=\S))\S*")
 _LETTER = re.compile(r"[a-z]")
 #: Letters and signs that stand alone, three or more of them with one blank between.
 _SPACED = re.compile(rf"(?<!\S)[a-z{_SIGNS}](?: [a-z{_SIGNS}]){{2,}}(?!\S)")
-_TOKEN = re.compile(r"\S+")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -171,6 +173,8 @@ class Restorer:
         for c in token[max(0, first - 3) : first]:
             symbol = symbols[c]
             context = (context * SYMBOLS + symbol) % full if symbol else 0
+        if found and found.group(1) and not _AMBIGUOUS.search(token, first + 1):
+            return self._paired(token, first, context)
         states: dict[int, tuple[float, tuple | None]] = {context: (0.0, (None, token[:first]))}  # last three symbols of the word: cost, what was said
         last = len(token) - 1
         for i in range(first, len(token)):
@@ -205,6 +209,22 @@ class Restorer:
             states = new
         return self._said(min(((total + (cost[context * SYMBOLS] if context else 0.0), said) for context, (total, said) in states.items()), key=lambda x: x[0])[1])
 
+    def _paired(self, token: str, first: int, context: int) -> str:
+        """A token whose one choice is whether the letter after ``first`` repeats it: two paths, compared until they meet."""
+        cost, full, symbols = self.cost, SYMBOLS**3, self.symbols
+        letter = symbols[token[first]]
+        short = (context * SYMBOLS + letter) % full
+        long, more = (short * SYMBOLS + letter) % full, cost[short * SYMBOLS + letter] - AGAIN_COST
+        for c in token[first + 2 :]:
+            if long == short:
+                break
+            symbol = symbols[c]
+            more += cost[long * SYMBOLS + symbol] - cost[short * SYMBOLS + symbol]
+            long, short = ((long * SYMBOLS + symbol) % full, (short * SYMBOLS + symbol) % full) if symbol else (0, 0)
+        if long != short:
+            more += cost[long * SYMBOLS] - cost[short * SYMBOLS]
+        return token if more <= 0 else token[: first + 1] + token[first + 2 :]
+
     @staticmethod
     def _said(said: tuple | None) -> str:
         out = []
@@ -214,9 +234,10 @@ class Restorer:
         return "".join(reversed(out))
 
     def token(self, token: str) -> str:
+        """A token with choices, decoded; without a letter it is a number or the like and stays."""
         found = self.known.get(token)
         if found is None:
-            found = self.decoded(token) if _AMBIGUOUS.search(token) and _LETTER.search(token) else token
+            found = self.decoded(token) if _LETTER.search(token) else token
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
             if len(token) < 64:
@@ -228,8 +249,8 @@ class Restorer:
         text = text.lower()
         if _SPACED.search(text):
             text = _SPACED.sub(lambda m: self.decoded(m.group()), text)
-        known, token = self.known, self.token
-        return _TOKEN.sub(lambda m: known.get(t := m.group()) or token(t), text)
+        token = self.token
+        return _TOKEN.sub(lambda m: token(m.group()), text)
 
 
 _IS_LETTER: list[np.ndarray] = []
