@@ -172,6 +172,16 @@ def scorer_summary(spark, d):
     return pipelines.score_pages(_pages(spark, d), KEYWORDS).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
 
 
+_SAVED_PAGES = "SELECT page_id, CASE WHEN contains(url, '?') THEN NULL ELSE html END AS html FROM {pages}"
+
+
+@query(f"""SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN html IS NULL THEN 'missing_blob' WHEN reason IS NOT NULL THEN 'rejected_structure' WHEN {D.keyword_score('t', KEYWORDS)} < {C.MIN_SCORE} THEN 'rejected_score' ELSE 'kept' END AS outcome
+ FROM (SELECT html, reason, lower({D.page_text('html', C.SCORER_TAGS)}) AS t FROM ({_REASON_SQL.replace('FROM pages', 'FROM ' + derived.duck(_SAVED_PAGES))}))) GROUP BY outcome""")
+def scorer_summary_blobs(spark, d):
+    """The same where pages with a query in their URL have lost their content."""
+    return pipelines.score_pages(derived.derived(spark, d, _SAVED_PAGES), KEYWORDS).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _news_sql(h: str) -> str:
     types = f"list_transform({D.json_blocks(h)}, lambda b: coalesce(json_extract(b, '$.\"@type\"')::VARCHAR, ''))"
     hits = f"len(list_filter({types}, lambda t: {D.any_of('t', C.ARTICLE_TYPES)}))"

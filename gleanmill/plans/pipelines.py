@@ -60,10 +60,10 @@ def run_counters(sources: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def score_pages(pages: DataFrame, keywords: list[str], threshold: float = C.MIN_SCORE) -> DataFrame:
-    """page_id, score, found, reason, outcome: structure first, then keywords on the visible text."""
-    scored = pages.select("page_id", classify.reject_reason(F.col("html")).alias("reason"), text.scorer_text(F.col("html")).alias("plain"))
+    """page_id, score, found, reason, outcome: a page without content first, then structure, then keywords on the visible text."""
+    scored = pages.select("page_id", F.col("html").isNull().alias("gone"), classify.reject_reason(F.col("html")).alias("reason"), text.scorer_text(F.col("html")).alias("plain"))
     scored = scored.withColumn("score", text.keyword_score(F.col("plain"), keywords))
-    outcome = F.when(F.col("reason").isNotNull(), F.lit("rejected_structure")).when(F.col("score") < threshold, F.lit("rejected_score")).otherwise(F.lit("kept"))
+    outcome = F.when(F.col("gone"), F.lit("missing_blob")).when(F.col("reason").isNotNull(), F.lit("rejected_structure")).when(F.col("score") < threshold, F.lit("rejected_score")).otherwise(F.lit("kept"))
     return scored.select("page_id", "score", F.array_join(text.keywords_found(F.col("plain"), keywords), ", ").alias("found"), "reason", outcome.alias("outcome"))
 
 
