@@ -75,6 +75,15 @@ def outcome_of_visit(url: Column, seed_host: Column, known: Column, content_type
     )
 
 
+#: Columns by which the table of what was met is bucketed and asked.
+MET = ("url", "seed_host")
+
+
+def not_met(step: DataFrame, met: DataFrame) -> DataFrame:
+    """Rows of a step that were not met yet; of a table in buckets only the step is shuffled."""
+    return step.join(met.select(*MET), list(MET), "left_anti")
+
+
 def crawl(seeds: DataFrame, pages: DataFrame, edges: DataFrame, max_depth: int, history: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
     """(url, depth, outcome) of every URL that a crawl meets, with its smallest depth.
 
@@ -83,8 +92,8 @@ def crawl(seeds: DataFrame, pages: DataFrame, edges: DataFrame, max_depth: int,
     pages that were fetched, are of the seed's host and allowed, and whose content
     type says html; whether a page is saved doesn't matter.
 
-    What has been met is a table that is bucketed by URL, and every round adds its
-    pages to it, so a round shuffles its own links, not all that was met before.
+    What has been met is a table that is bucketed by URL and seed's host, and every round adds
+    its pages to it, so a round shuffles its own links, not all that was met before.
     """
     spark = seeds.sparkSession
     ensure_checkpoint_dir(spark)
@@ -99,13 +108,13 @@ def crawl(seeds: DataFrame, pages: DataFrame, edges: DataFrame, max_depth: int,
             told = told.join(known, "url", "left") if known is not None else told.withColumn("__gm_known", F.lit(None).cast("boolean"))
             outcome = outcome_of_visit(F.col("url"), F.col("seed_host"), F.col("__gm_known").isNotNull(), F.col("content_type"))
             told = told.select("url", "seed_host", F.lit(depth).alias("depth"), outcome.alias("outcome"), F.contains("content_type", F.lit("html")).alias("html"))
-            told.write.mode("append").bucketBy(n, "url").sortBy("url").format("parquet").saveAsTable(met)
+            told.write.mode("append").bucketBy(n, *MET).sortBy(*MET).format("parquet").saveAsTable(met)
             if depth == max_depth:
                 break
             open_ = spark.table(met).filter((F.col("depth") == depth) & F.col("html") & F.col("outcome").isin("saved", "unmatched"))
             step = open_.join(edges, F.col("url") == F.col("src")).select(F.col("dst").alias("url"), "seed_host").filter("url IS NOT NULL").distinct()
             # The same URL may be off the domain of one seed and on that of another, so both are met.
-            front = step.join(spark.table(met).select("url", "seed_host"), ["url", "seed_host"], "left_anti").checkpoint()
+            front = not_met(step, spark.table(met)).checkpoint()
             if front.isEmpty():
                 break
         best = F.min(F.struct(F.col("outcome") == "off_domain", F.col("depth"), F.col("outcome")))

@@ -99,6 +99,22 @@ def test_crawl_by_rounds(spark):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("gleanmill_met")]
 
 
+def test_a_round_shuffles_its_own_links_alone(spark):
+    rows = spark.range(2000).select(F.concat(F.lit("https://h.test/"), F.col("id").cast("string")).alias("url"), F.concat(F.lit("h"), (F.col("id") % 3).cast("string")).alias("seed_host"))
+    rows.write.bucketBy(4, *walks.MET).sortBy(*walks.MET).mode("overwrite").format("parquet").saveAsTable("gleanmill_test_met")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        front = walks.not_met(rows.limit(50), spark.table("gleanmill_test_met"))
+        plan = front._jdf.queryExecution().executedPlan().toString()
+        scan = plan[plan.index("gleanmill_test_met") - 400 :] if "gleanmill_test_met" in plan else plan
+        assert "SelectedBucketsCount: 4 out of 4" in plan and plan.count("Exchange hashpartitioning") == 1, scan
+        assert front.count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.sql("DROP TABLE gleanmill_test_met")
+
+
 def test_running_totals_and_chunks(spark):
     r = random.Random(7)
     rows = [(r.choice(["k", "k", "k", "l", None]), i, r.choice([1, 2, None])) for i in range(2000)]
