@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanmill.functions import classify, dates, text, urls
 from gleanmill.functions import constants as C
+from gleanmill.operators import keywords as automaton
 from gleanmill.operators.setops import mark_first
 
 FUNNEL = ["excluded", "duplicate", "download_error", "other_skipped", "pdf_saved", "rejected_topic", "rejected_short", "rejected_no_date", "rejected_old", "rejected_judge", "html_saved"]
@@ -59,12 +60,19 @@ def run_counters(sources: DataFrame, results: DataFrame) -> DataFrame:
     return sources.agg(F.count(F.lit(1)).alias("sources_loaded")).join(F.broadcast(told)).select(*RUN)  # two rows are joined
 
 
+#: Keyword lists longer than this are looked for in one pass over a text.
+MANY_KEYWORDS = 64
+
+
 def score_pages(pages: DataFrame, keywords: list[str], threshold: float = C.MIN_SCORE) -> DataFrame:
     """page_id, score, found, reason, outcome: a page without content first, then structure, then keywords on the visible text."""
-    scored = pages.select("page_id", F.col("html").isNull().alias("gone"), classify.reject_reason(F.col("html")).alias("reason"), text.scorer_text(F.col("html")).alias("plain"))
-    scored = scored.withColumn("score", text.keyword_score(F.col("plain"), keywords))
+    plain = pages.select("page_id", F.col("html").isNull().alias("gone"), classify.reject_reason(F.col("html")).alias("reason"), text.scorer_text(F.col("html")).alias("plain"))
+    if len(keywords) > MANY_KEYWORDS:
+        scored = automaton.scored(plain, F.col("plain"), keywords, ["page_id", "gone", "reason"])
+    else:
+        scored = plain.withColumn("score", text.keyword_score(F.col("plain"), keywords)).withColumn("found", text.keywords_found(F.col("plain"), keywords))
     outcome = F.when(F.col("gone"), F.lit("missing_blob")).when(F.col("reason").isNotNull(), F.lit("rejected_structure")).when(F.col("score") < threshold, F.lit("rejected_score")).otherwise(F.lit("kept"))
-    return scored.select("page_id", "score", F.array_join(text.keywords_found(F.col("plain"), keywords), ", ").alias("found"), "reason", outcome.alias("outcome"))
+    return scored.select("page_id", "score", F.array_join("found", ", ").alias("found"), "reason", outcome.alias("outcome"))
 
 
 def visit_outcome(rows: DataFrame, current_year: int, keep_undated: bool = False) -> DataFrame:

@@ -251,7 +251,7 @@ def seen_appended(spark, d):
     history = rows.filter("page_id % 4 = 0").select("url_key")
     visited = rows.select("url_key", F.col("url_key").alias("final_key"), F.when(F.col("page_id") % 2 == 0, F.lit("SUCCESS")).otherwise(F.lit("OPEN_ERROR")).alias("status"))
     path = folder(spark)
-    sinks.append_seen(visited, history, path)
+    sinks.append_seen(visited, history, path, large=True)
     return readers.seen_urls(spark, path)
 
 

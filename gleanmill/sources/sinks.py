@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanmill.functions import text
+from gleanmill.operators import history
 from gleanmill.operators.setops import unseen
 
 
@@ -28,11 +29,14 @@ def blob_ids(rows: DataFrame) -> DataFrame:
     return rows.withColumn("uuid", F.sha2("url", 256))
 
 
-def append_seen(visited: DataFrame, history: DataFrame, path: str) -> DataFrame:
-    """Append the keys of successes, of the first and the final URL, that are new; returns them."""
+def append_seen(visited: DataFrame, known: DataFrame, path: str, large: bool = False) -> DataFrame:
+    """Append the keys of successes, of the first and the final URL, that are new; returns them.
+
+    A ``large`` history is asked behind a Bloom filter, so that surely new keys don't meet it.
+    """
     ok = visited.filter("status = 'SUCCESS'")
     keys = ok.select("url_key").union(ok.select(F.col("final_key").alias("url_key"))).filter("url_key IS NOT NULL AND url_key <> ''").distinct()
-    new = unseen(keys, "url_key", history)
+    new = history.unseen(keys, "url_key", known) if large else unseen(keys, "url_key", known)
     new.write.mode("append").text(path)
     return new
 

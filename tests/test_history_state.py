@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gleanmill.functions import text, urls
 from gleanmill.operators import history, html_trees, keywords, routing, setops
+from gleanmill.plans import pipelines
 from gleanmill.sources import buckets
 from gleanmill.streaming import quota
 from tests.conftest import DATA
@@ -116,6 +117,14 @@ def test_keyword_lists_as_the_native_ones(spark):
     assert both.filter("score <> native OR found <> words").count() == 0
 
 
+def test_pages_are_scored_alike_by_either_way(spark, monkeypatch):
+    pages = spark.read.parquet(f"{DATA}/pages.parquet").withColumn("html", F.when(F.col("page_id") % 9 != 4, F.col("html")))
+    words = ["the", "und", "tion", "que", "zzz", "ing that", "the"]
+    native = sorted(map(tuple, pipelines.score_pages(pages, words).collect()))
+    monkeypatch.setattr(pipelines, "MANY_KEYWORDS", 2)
+    assert sorted(map(tuple, pipelines.score_pages(pages, words).collect())) == native and {r[-1] for r in native} >= {"missing_blob"}
+
+
 def test_five_thousand_keywords(spark):
     """One pass is far faster than one pass per keyword, of which only a tenth is timed here."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").repartition(4).cache()
