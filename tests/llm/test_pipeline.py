@@ -61,7 +61,7 @@ def test_stages(spark, tmp_path, known):  # noqa: F811
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 14))
 
 
 def test_mixing_stage_orders_the_rows(spark, tmp_path):
