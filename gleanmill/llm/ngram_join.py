@@ -142,14 +142,18 @@ class Frequent:
 def _common(scanned: DataFrame) -> Frequent:
     """The tokens of HOT_DOCS documents or more."""
     counted = scanned.filter("token IS NOT NULL").groupBy("token").agg(F.sum("docs").alias("docs"))
-    hot = kept(counted.filter(F.col("docs") >= HOT_DOCS).select("token"))
-    power = min(MOST_BITS, max(LEAST_BITS, (BITS * hot.count()).bit_length()))
-    at = F.shiftrightunsigned("token", 64 - power)
+    at = F.shiftrightunsigned("token", 64 - MOST_BITS)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
-    found = hot.select(F.shiftrightunsigned(at, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^(MOST_BITS - 6) rows
-    words = np.zeros(1 << (power - 6), np.uint64)
-    words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
-    return Frequent(power, words)
+    words = counted.filter(F.col("docs") >= HOT_DOCS).select(F.shiftrightunsigned(at, 6).alias("word"), bit.alias("bit")).groupBy("word")
+    found = words.agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2^(MOST_BITS - 6) rows
+    bits = found["bits"].to_numpy().view(np.uint64)
+    places = np.concatenate([found["word"].to_numpy()[(bits >> np.uint64(k)) & np.uint64(1) == 1] * 64 + k for k in range(64)])
+    # The table shrinks to what its tokens need.
+    power = min(MOST_BITS, max(LEAST_BITS, (BITS * len(places)).bit_length()))
+    places = np.unique(places >> (MOST_BITS - power)).astype(np.uint64)
+    table_ = np.zeros(1 << (power - 6), np.uint64)
+    np.bitwise_or.at(table_, (places >> np.uint64(6)).astype(np.int64), np.uint64(1) << (places & np.uint64(63)))
+    return Frequent(power, table_)
 
 
 def _matched(s: np.ndarray, common: Frequent) -> np.ndarray:
