@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import html as standard
 import html.entities
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,6 +58,24 @@ def unescape(text: Column) -> Column:
     return let(text, lambda t: F.when(t.contains("&"), F.array_join(F.transform(F.split(t, "&"), lambda p, i: F.when(i == 0, p).otherwise(read(p))), "")).otherwise(t))
 
 
+_REFERENCE = re.compile(r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
+
+
+def unescaped(text: str) -> str:
+    """The same as ``unescape`` for a text inside a task."""
+
+    def sign(m: re.Match) -> str:
+        name = m[1]
+        if not name.startswith("#"):
+            return references().get(name, m[0])
+        code = int(name[2:], 16) if name[1] in "xX" else int(name[1:])
+        if code == 0 or code > 0x10FFFF or 0xD800 <= code <= 0xDFFF:
+            return "\ufffd"
+        return legacy_codes().get(code) or chr(code)
+
+    return _REFERENCE.sub(sign, text) if "&" in text else text
+
+
 def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
