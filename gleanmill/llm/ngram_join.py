@@ -71,6 +71,8 @@ LEAST_BITS, MOST_BITS = 16, 27
 PART = 64
 #: Ids or names of at most so many rows are broadcast to the texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: The same where names of some columns are joined with sets that are moved on by another key.
+BROADCAST_NAMES = 200_000
 CHUNK = 512
 WIDE = 1024
 #: Rows of one key that go to one task before the key is salted.
@@ -235,9 +237,9 @@ def _lists(held: list[bytes]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, kinds, strict=True)], ["list", "size", "part", "members", "index", "times"])
 
 
-def _few(frame: DataFrame, rows: int) -> DataFrame:
+def _few(frame: DataFrame, rows: int, most: int = BROADCAST_IDS) -> DataFrame:
     """A frame of names with its number of rows, marked for a broadcast if it is small."""
-    return F.broadcast(frame) if rows <= BROADCAST_IDS else frame
+    return F.broadcast(frame) if rows <= most else frame
 
 
 def _hashed(docs: DataFrame, wanted: DataFrame, told, kind: str, arrow: pa.DataType) -> DataFrame:
@@ -302,9 +304,10 @@ def _salted(frame: DataFrame, key: str, rows: int = CROWD) -> DataFrame:
 def _leader_links(held: DataFrame, pairs: DataFrame) -> DataFrame:
     """Links (a, b) among ``pairs`` (node, partner); one set is sent to the other, a partner of many is salted."""
     salts = kept(_salted(pairs.select(F.col("partner").alias("b")), "b", 256))
+    rows = pairs.count()
     named = pairs.join(salts, F.col("partner") == F.col("b")).select(F.col("node").alias("a"), "b", F.expr("pmod(xxhash64(node), salts)").alias("s"))
-    asks = held.select(F.col("node").alias("m"), F.col("tokens").alias("x")).join(named, F.col("m") == F.col("a")).select("a", "b", "s", "x")
-    leaders = held.select(F.col("node").alias("c"), F.col("tokens").alias("y")).join(salts, F.col("c") == F.col("b")).select("c", "y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("t"))
+    asks = held.select(F.col("node").alias("m"), F.col("tokens").alias("x")).join(_few(named, rows, BROADCAST_NAMES), F.col("m") == F.col("a")).select("a", "b", "s", "x")
+    leaders = held.select(F.col("node").alias("c"), F.col("tokens").alias("y")).join(_few(salts, rows, BROADCAST_NAMES), F.col("c") == F.col("b")).select("c", "y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("t"))
     both = asks.join(leaders, (F.col("b") == F.col("c")) & (F.col("s") == F.col("t")))
     return both.filter(9 * F.size(F.array_intersect("x", "y")) >= 4 * (F.size("x") + F.size("y"))).select("a", "b")
 
@@ -336,38 +339,46 @@ def parted(grouped: DataFrame) -> DataFrame:
     return kept(grouped.join(sizes, F.col("grp") == F.col("g")).select("node", "n", "rep", "grp", F.expr("pmod(xxhash64(node), parts)").alias("part")))
 
 
-def asked(members: DataFrame, grouped: DataFrame) -> DataFrame:
-    """(node, n, g): the queries, each with a group that has an index token of it and sizes that allow a link.
+def contested(members: DataFrame, grouped: DataFrame) -> DataFrame:
+    """(list, times, node, n, grp, index, salts): the entries of lists that still have several groups; in no other a class meets a group that is not its own.
 
-    ``grouped`` is (node, n, grp) of all listed classes. Rows grow with the
-    entries of lists that still have several groups, times the groups that have
-    the token as an index token.
+    ``grouped`` is (node, n, grp) of all listed classes.
     """
-    rows = members.join(grouped.select("node", "n", "grp"), "node").select("list", "node", "n", "grp", "index")
+    rows = members.join(grouped.select("node", "n", "grp"), "node").select("list", "times", "node", "n", "grp", "index")
     open_ = rows.groupBy("list").agg((F.min("grp") != F.max("grp")).alias("open"), F.expr(f"1 + count(1) div {CROWD}").alias("salts")).filter("open").select("list", "salts")
-    rows = kept(rows.join(open_, "list"))
+    return kept(rows.join(open_, "list"))
+
+
+def asked(members: DataFrame, grouped: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """(node, n, g): the queries, each with a group that has an index token of it and sizes that allow a link.
+
+    Rows grow with the ``contested`` entries (``rows``, if they are known), times
+    the groups that have the token as an index token.
+    """
+    rows = contested(members, grouped) if rows is None else rows
     groups = rows.filter("index").groupBy("list", "salts", F.col("grp").alias("g")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
     groups = groups.select("list", "g", "low", "high", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
-    probes = rows.withColumn("salt", F.expr("pmod(xxhash64(node), salts)")).drop("salts")
+    probes = rows.withColumn("salt", F.expr("pmod(xxhash64(node), salts)")).drop("salts", "times")
     return kept(probes.join(groups, ["list", "salt"]).filter("grp <> g AND n >= low AND 4 * n <= 5 * high").select("node", "n", "g").distinct())
 
 
 def qualified(queries: DataFrame, members: DataFrame, grouped: DataFrame) -> DataFrame:
     """(node, n, g, part): the parts whose union has enough of a query's tokens for a link with one of their sizes.
 
-    ``queries`` is (node, n, g), ``grouped`` (node, n, rep, grp, part). Only names
-    of lists move here, no sets.
+    ``queries`` is (node, n, g), ``members`` (list, times, node) of all lists or of the
+    contested ones, ``grouped`` (node, n, rep, grp, part). Only names of lists move here, no sets,
+    and of those a hash with the group, beside the number of the query: two that
+    collide can only raise a bound.
     """
+    key = F.xxhash64("list", "g", "crowd").alias("key")
     crowds = kept(queries.groupBy("g").agg(F.expr(f"1 + count(1) div {CROWD}").alias("crowds")))
     inside = grouped.join(crowds, F.col("grp") == F.col("g")).select("node", "n", "g", "part", "crowds")
     sizes = inside.groupBy("g", "part", "crowds").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    union = members.select("list", "node").join(inside.select("node", "g", "part", "crowds"), "node").select("list", "g", "part", "crowds").distinct()
-    union = union.select("list", "g", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("crowds") - 1)).alias("crowd"))
-    asks = queries.join(crowds, "g").select("node", "n", "g", F.expr("pmod(xxhash64(node), crowds)").alias("crowd"))
-    counts = (
-        asks.join(members.select("list", "times", F.col("node").alias("m")), F.col("node") == F.col("m")).drop("m")
-        .join(union, ["list", "g", "crowd"]).groupBy("node", "n", "g", "part").agg(F.sum("times").alias("bound"))
-    )
+    union = members.select("list", "times", "node").join(inside.select("node", "g", "part", "crowds"), "node").select("list", "times", "g", "part", "crowds").distinct()
+    union = union.select("list", "times", "g", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("crowds") - 1)).alias("crowd")).select(key, "times", "part")
+    numbered = kept(queries.join(crowds, "g").select("node", "n", "g", F.expr("pmod(xxhash64(node), crowds)").alias("crowd"), F.monotonically_increasing_id().alias("pair")))
+    asks = numbered.join(members.select("list", F.col("node").alias("m")), F.col("node") == F.col("m")).select(key, "pair")
+    counts = asks.join(union, "key").groupBy("pair", "part").agg(F.sum("times").alias("bound")).join(numbered.select("pair", "node", "n", "g"), "pair")
     sized = counts.join(sizes.drop("crowds"), ["g", "part"]).withColumn("lo", F.expr("greatest(low, (4 * n + 4) div 5)")).withColumn("hi", F.expr("least(high, (5 * n) div 4)"))
     # What a link needs rises with the other size up to n and then falls, but for rounding, which repeats every nine sizes.
     ends = ", ".join(_least("n", x) for x in ("lo", *(f"greatest(lo, hi - {k})" for k in range(9))))
@@ -418,8 +429,9 @@ def _met(pairs: DataFrame, grouped: DataFrame, tokens: DataFrame, run, schema: s
     there = grouped.select("node", "n", F.col("grp").alias("g"), "part").join(crowds, ["g", "part"]).select("node", "n", "g", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("crowds") - 1)).alias("crowd"))
 
     def side(rows: DataFrame):
+        rows = kept(rows)
         held = tokens.select(F.col("node").alias("m"), F.col("tokens").alias("tokens"))
-        return held.join(rows, F.col("m") == F.col("node")).select(*[F.col(c).alias(c) for c in (*key, "node", "n")], "tokens").groupBy(*key)  # names of its own for each side
+        return held.join(_few(rows, rows.count(), BROADCAST_NAMES), F.col("m") == F.col("node")).select(*[F.col(c).alias(c) for c in (*key, "node", "n")], "tokens").groupBy(*key)  # names of its own for each side
 
     return kept(side(asks).cogroup(side(there)).applyInArrow(run, schema))
 
@@ -469,7 +481,8 @@ def links(docs: DataFrame, reps: DataFrame, common: Frequent) -> DataFrame:
     members = listed(docs, common)
     known = kept(reps.join(members.select("node").distinct(), "node", "left_semi"))
     first, grouped = groups(docs, members, known)
-    return kept(first.union(group_links(docs, asked(members, grouped), members, grouped)))
+    rows = contested(members, grouped)
+    return kept(first.union(group_links(docs, asked(members, grouped, rows), rows, grouped)))
 
 
 def _joined(docs: DataFrame) -> DataFrame:

@@ -175,3 +175,18 @@ def test_the_table_of_frequent_tokens_misses_none(spark):
     assert told[hot].all() and told[~hot].mean() < 0.06
     none = ngram_join._common(scanned.limit(0))
     assert not none.has(tokens).any()
+
+
+def test_bounds_move_numbers_of_queries_and_contested_lists_only(spark):
+    """Lists within one group don't count, a bound from contested lists is the same, and what moves by list is two numbers."""
+    ensure_checkpoint_dir(spark)
+    # Groups 1 (classes 1, 2) and 9 (class 9): list 5 is of group 1 alone, lists 6 and 7 are of both.
+    entries = [(5, 1), (5, 2), (6, 1), (6, 2), (6, 9), (7, 2), (7, 9)]
+    members = spark.createDataFrame([(x, 2, 3, c, True) for x, c in entries], "list long, size long, times long, node long, index boolean")
+    grouped = spark.createDataFrame([(1, 10, 1, 1, 0), (2, 10, 2, 1, 0), (9, 10, 9, 9, 0)], "node long, n long, rep long, grp long, part long")
+    open_ = ngram_join.contested(members, grouped)
+    assert sorted((r.list, r.node) for r in open_.collect()) == [e for e in entries if e[0] != 5]
+    queries = ngram_join.asked(members, grouped)
+    assert sorted(queries.collect()) == sorted(ngram_join.asked(members, grouped, open_).collect())
+    told = [sorted(ngram_join.qualified(queries, m, grouped).select("node", "n", "g", "part").collect()) for m in (members, open_)]
+    assert told[0] == told[1] and {(r.node, r.g) for r in told[0]} == {(1, 9), (2, 9), (9, 1)}
