@@ -237,9 +237,9 @@ def _lists(held: list[bytes]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, kinds, strict=True)], ["list", "size", "part", "members", "index", "times"])
 
 
-def _few(frame: DataFrame, rows: int, most: int = BROADCAST_IDS) -> DataFrame:
+def _few(frame: DataFrame, rows: int, most: int | None = None) -> DataFrame:
     """A frame of names with its number of rows, marked for a broadcast if it is small."""
-    return F.broadcast(frame) if rows <= most else frame
+    return F.broadcast(frame) if rows <= min(BROADCAST_IDS, BROADCAST_IDS if most is None else most) else frame
 
 
 def _hashed(docs: DataFrame, wanted: DataFrame, told, kind: str, arrow: pa.DataType) -> DataFrame:
