@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanmill.llm.frames import kept
+from gleanmill.llm.frames import kept, release, side
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -20,10 +20,11 @@ def components(links: DataFrame) -> DataFrame:
     labels = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label"))
     labels = kept(labels)
     while True:
-        near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("m"))
-        low = labels.join(near, F.col("node") == F.col("a")).select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
+        near = both.join(side(labels), F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("m"))
+        low = labels.join(side(near), F.col("node") == F.col("a")).select("node", F.col("label").alias("old"), F.least("label", "m").alias("label"))
         up = low.select(F.col("node").alias("n"), F.col("label").alias("next"))
-        new = kept(low.join(up, F.col("label") == F.col("n"), "left").select("node", "old", F.least("label", "next").alias("label")))
+        new = kept(low.join(side(up), F.col("label") == F.col("n"), "left").select("node", "old", F.least("label", "next").alias("label")))
         labels = new.select("node", "label")
         if new.filter("old <> label").isEmpty():
+            release(links.sparkSession)
             return labels

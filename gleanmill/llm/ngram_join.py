@@ -58,9 +58,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanmill.llm import frames
 from gleanmill.llm.arrow_text import release, slices
 from gleanmill.llm.components import components
-from gleanmill.llm.frames import kept
+from gleanmill.llm.frames import kept, side
 from gleanmill.llm.shingles import mix, sets
 from gleanmill.session import ensure_checkpoint_dir, table
 
@@ -305,7 +306,7 @@ def _leader_links(held: DataFrame, pairs: DataFrame) -> DataFrame:
     """Links (a, b) among ``pairs`` (node, partner); one set is sent to the other, a partner of many is salted."""
     salts = kept(_salted(pairs.select(F.col("partner").alias("b")), "b", 256))
     rows = pairs.count()
-    named = pairs.join(salts, F.col("partner") == F.col("b")).select(F.col("node").alias("a"), "b", F.expr("pmod(xxhash64(node), salts)").alias("s"))
+    named = pairs.join(side(salts), F.col("partner") == F.col("b")).select(F.col("node").alias("a"), "b", F.expr("pmod(xxhash64(node), salts)").alias("s"))
     asks = held.select(F.col("node").alias("m"), F.col("tokens").alias("x")).join(_few(named, rows, BROADCAST_NAMES), F.col("m") == F.col("a")).select("a", "b", "s", "x")
     leaders = held.select(F.col("node").alias("c"), F.col("tokens").alias("y")).join(_few(salts, rows, BROADCAST_NAMES), F.col("c") == F.col("b")).select("c", "y", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("t"))
     both = asks.join(leaders, (F.col("b") == F.col("c")) & (F.col("s") == F.col("t")))
@@ -326,9 +327,9 @@ def partners(members: DataFrame, known: DataFrame) -> DataFrame:
     heads = known.select(F.col("node").alias("head"), F.col("n").alias("h"), F.col("rep").alias("h_rep"))
     # The head of a list is its member that meets most others: the text that a family of near copies was made from.
     met = members.groupBy("node").agg(F.sum(F.col("times") * F.col("size")).alias("meets"))
-    headed = members.join(met, "node").groupBy("list").agg(F.max_by("node", F.struct("meets", "node")).alias("head"))
-    pairs = members.join(headed, "list").filter("node <> head").groupBy("node", "head").agg(F.sum("times").alias("times"))
-    sized = pairs.join(known, "node").join(heads, "head").filter(f"5 * least(n, h) >= 4 * greatest(n, h) AND times >= {_least('n', 'h')}")
+    headed = members.join(side(met), "node").groupBy("list").agg(F.max_by("node", F.struct("meets", "node")).alias("head"))
+    pairs = members.join(side(headed), "list").filter("node <> head").groupBy("node", "head").agg(F.sum("times").alias("times"))
+    sized = pairs.join(side(known), "node").join(side(heads), "head").filter(f"5 * least(n, h) >= 4 * greatest(n, h) AND times >= {_least('n', 'h')}")
     best = sized.groupBy("node", "rep").agg(F.max_by(F.struct("head", "h_rep"), F.struct("times", -F.col("head"))).alias("best"))
     return kept(best.select("node", "rep", F.col("best.head").alias("partner"), F.col("best.h_rep").alias("partner_rep")))
 
@@ -336,7 +337,7 @@ def partners(members: DataFrame, known: DataFrame) -> DataFrame:
 def parted(grouped: DataFrame) -> DataFrame:
     """(node, n, rep, grp, part): the part of its group that a class is in."""
     sizes = grouped.groupBy(F.col("grp").alias("g")).agg(F.expr(f"1 + (count(1) - 1) div {PART}").alias("parts"))
-    return kept(grouped.join(sizes, F.col("grp") == F.col("g")).select("node", "n", "rep", "grp", F.expr("pmod(xxhash64(node), parts)").alias("part")))
+    return kept(grouped.join(side(sizes), F.col("grp") == F.col("g")).select("node", "n", "rep", "grp", F.expr("pmod(xxhash64(node), parts)").alias("part")))
 
 
 def contested(members: DataFrame, grouped: DataFrame) -> DataFrame:
@@ -344,9 +345,9 @@ def contested(members: DataFrame, grouped: DataFrame) -> DataFrame:
 
     ``grouped`` is (node, n, grp) of all listed classes.
     """
-    rows = members.join(grouped.select("node", "n", "grp"), "node").select("list", "times", "node", "n", "grp", "index")
+    rows = members.join(side(grouped.select("node", "n", "grp")), "node").select("list", "times", "node", "n", "grp", "index")
     open_ = rows.groupBy("list").agg((F.min("grp") != F.max("grp")).alias("open"), F.expr(f"1 + count(1) div {CROWD}").alias("salts")).filter("open").select("list", "salts")
-    return kept(rows.join(open_, "list"))
+    return kept(rows.join(side(open_), "list"))
 
 
 def asked(members: DataFrame, grouped: DataFrame, rows: DataFrame | None = None) -> DataFrame:
@@ -359,7 +360,7 @@ def asked(members: DataFrame, grouped: DataFrame, rows: DataFrame | None = None)
     groups = rows.filter("index").groupBy("list", "salts", F.col("grp").alias("g")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
     groups = groups.select("list", "g", "low", "high", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
     probes = rows.withColumn("salt", F.expr("pmod(xxhash64(node), salts)")).drop("salts", "times")
-    return kept(probes.join(groups, ["list", "salt"]).filter("grp <> g AND n >= low AND 4 * n <= 5 * high").select("node", "n", "g").distinct())
+    return kept(probes.join(side(groups), ["list", "salt"]).filter("grp <> g AND n >= low AND 4 * n <= 5 * high").select("node", "n", "g").distinct())
 
 
 def qualified(queries: DataFrame, members: DataFrame, grouped: DataFrame) -> DataFrame:
@@ -372,14 +373,14 @@ def qualified(queries: DataFrame, members: DataFrame, grouped: DataFrame) -> Dat
     """
     key = F.xxhash64("list", "g", "crowd").alias("key")
     crowds = kept(queries.groupBy("g").agg(F.expr(f"1 + count(1) div {CROWD}").alias("crowds")))
-    inside = grouped.join(crowds, F.col("grp") == F.col("g")).select("node", "n", "g", "part", "crowds")
+    inside = grouped.join(side(crowds), F.col("grp") == F.col("g")).select("node", "n", "g", "part", "crowds")
     sizes = inside.groupBy("g", "part", "crowds").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    union = members.select("list", "times", "node").join(inside.select("node", "g", "part", "crowds"), "node").select("list", "times", "g", "part", "crowds").distinct()
+    union = members.select("list", "times", "node").join(side(inside.select("node", "g", "part", "crowds")), "node").select("list", "times", "g", "part", "crowds").distinct()
     union = union.select("list", "times", "g", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("crowds") - 1)).alias("crowd")).select(key, "times", "part")
-    numbered = kept(queries.join(crowds, "g").select("node", "n", "g", F.expr("pmod(xxhash64(node), crowds)").alias("crowd"), F.monotonically_increasing_id().alias("pair")))
-    asks = numbered.join(members.select("list", F.col("node").alias("m")), F.col("node") == F.col("m")).select(key, "pair")
-    counts = asks.join(union, "key").groupBy("pair", "part").agg(F.sum("times").alias("bound")).join(numbered.select("pair", "node", "n", "g"), "pair")
-    sized = counts.join(sizes.drop("crowds"), ["g", "part"]).withColumn("lo", F.expr("greatest(low, (4 * n + 4) div 5)")).withColumn("hi", F.expr("least(high, (5 * n) div 4)"))
+    numbered = kept(queries.join(side(crowds), "g").select("node", "n", "g", F.expr("pmod(xxhash64(node), crowds)").alias("crowd"), F.monotonically_increasing_id().alias("pair")))
+    asks = numbered.join(side(members.select("list", F.col("node").alias("m"))), F.col("node") == F.col("m")).select(key, "pair")
+    counts = asks.join(side(union), "key").groupBy("pair", "part").agg(F.sum("times").alias("bound")).join(side(numbered.select("pair", "node", "n", "g")), "pair")
+    sized = counts.join(side(sizes.drop("crowds")), ["g", "part"]).withColumn("lo", F.expr("greatest(low, (4 * n + 4) div 5)")).withColumn("hi", F.expr("least(high, (5 * n) div 4)"))
     # What a link needs rises with the other size up to n and then falls, but for rounding, which repeats every nine sizes.
     ends = ", ".join(_least("n", x) for x in ("lo", *(f"greatest(lo, hi - {k})" for k in range(9))))
     return kept(sized.filter(f"lo <= hi AND bound >= least({ends})").select("node", "n", "g", "part"))
@@ -425,34 +426,37 @@ def _met(pairs: DataFrame, grouped: DataFrame, tokens: DataFrame, run, schema: s
     """What ``run`` finds between the queries and the members of each part, of ``pairs`` (node, n, g, part); parts with many queries are salted."""
     crowds = kept(pairs.groupBy("g", "part").agg(F.expr("1 + count(1) div 256").alias("crowds")))
     key = ["g", "part", "crowd"]
-    asks = pairs.join(crowds, ["g", "part"]).select("node", "n", "g", "part", F.expr("pmod(xxhash64(node), crowds)").alias("crowd"))
-    there = grouped.select("node", "n", F.col("grp").alias("g"), "part").join(crowds, ["g", "part"]).select("node", "n", "g", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("crowds") - 1)).alias("crowd"))
+    asks = pairs.join(side(crowds), ["g", "part"]).select("node", "n", "g", "part", F.expr("pmod(xxhash64(node), crowds)").alias("crowd"))
+    there = grouped.select("node", "n", F.col("grp").alias("g"), "part").join(side(crowds), ["g", "part"]).select("node", "n", "g", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("crowds") - 1)).alias("crowd"))
 
-    def side(rows: DataFrame):
+    def sent(rows: DataFrame):
         rows = kept(rows)
         held = tokens.select(F.col("node").alias("m"), F.col("tokens").alias("tokens"))
         return held.join(_few(rows, rows.count(), BROADCAST_NAMES), F.col("m") == F.col("node")).select(*[F.col(c).alias(c) for c in (*key, "node", "n")], "tokens").groupBy(*key)  # names of its own for each side
 
-    return kept(side(asks).cogroup(side(there)).applyInArrow(run, schema))
+    return kept(sent(asks).cogroup(sent(there)).applyInArrow(run, schema))
 
 
 def _named(found: DataFrame, grouped: DataFrame) -> DataFrame:
     """(node, rep) of the queries and of the members of the parts in ``found`` (node, g, part)."""
     parts = found.select("g", F.col("part").alias("p")).distinct()
-    members = grouped.join(parts, (F.col("grp") == F.col("g")) & (F.col("part") == F.col("p")), "left_semi").select("node", "rep")
-    return grouped.select("node", "rep").join(found.select(F.col("node").alias("m")).distinct(), F.col("node") == F.col("m"), "left_semi").union(members)
+    members = grouped.join(side(parts), (F.col("grp") == F.col("g")) & (F.col("part") == F.col("p")), "left_semi").select("node", "rep")
+    return grouped.select("node", "rep").join(side(found.select(F.col("node").alias("m")).distinct()), F.col("node") == F.col("m"), "left_semi").union(members)
 
 
 def group_links(docs: DataFrame, queries: DataFrame, members: DataFrame, grouped: DataFrame) -> DataFrame:
     """Links (a, b) between groups: the best part of each asked group first, then the others."""
     found = qualified(queries, members, grouped)
+    frames.release(docs.sparkSession)
     told = _hashed(docs, _named(found, grouped), prints, "binary", pa.binary())
     found = _met(found, grouped, told, _bounded, "node long, n long, g long, part long, bound long")
+    frames.release(docs.sparkSession)
     held = _sets(docs, _named(found, grouped))
     best = kept(found.groupBy("node", "n", "g").agg(F.max_by("part", F.struct("bound", "part")).alias("part")))
     first = _met(best, grouped, held, _opened, "a long, b long, g long")
+    frames.release(docs.sparkSession)
     done = first.select(F.col("a").alias("node"), "g")
-    rest = kept(found.select("node", "n", "g", "part").join(best, ["node", "g", "part"], "left_anti").join(done, ["node", "g"], "left_anti"))
+    rest = kept(found.select("node", "n", "g", "part").join(side(best), ["node", "g", "part"], "left_anti").join(side(done), ["node", "g"], "left_anti"))
     if rest.isEmpty():
         return first.select("a", "b")
     return first.union(_met(rest, grouped, held, _opened, "a long, b long, g long")).select("a", "b")
@@ -470,19 +474,23 @@ def classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, Frequent]:
 def groups(docs: DataFrame, members: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Links (a, b) with partners, and (node, n, rep, grp, part) of all listed classes by these links."""
     pairs = partners(members, known)
+    frames.release(docs.sparkSession)
     held = _sets(docs, pairs.select("node", "rep").union(pairs.select("partner", "partner_rep")))
     first = kept(_leader_links(held, pairs.select("node", "partner")))
     labels = components(first).withColumnRenamed("node", "__gm_node")
-    return first, parted(known.join(labels, F.col("node") == F.col("__gm_node"), "left").select("node", "n", "rep", F.coalesce("label", "node").alias("grp")))
+    return first, parted(known.join(side(labels), F.col("node") == F.col("__gm_node"), "left").select("node", "n", "rep", F.coalesce("label", "node").alias("grp")))
 
 
 def links(docs: DataFrame, reps: DataFrame, common: Frequent) -> DataFrame:
     """Links (a, b) between classes, enough to connect every linked pair."""
     members = listed(docs, common)
-    known = kept(reps.join(members.select("node").distinct(), "node", "left_semi"))
+    frames.release(docs.sparkSession)
+    known = kept(reps.join(side(members.select("node").distinct()), "node", "left_semi"))
     first, grouped = groups(docs, members, known)
     rows = contested(members, grouped)
-    return kept(first.union(group_links(docs, asked(members, grouped, rows), rows, grouped)))
+    queries = asked(members, grouped, rows)
+    frames.release(docs.sparkSession)
+    return kept(first.union(group_links(docs, queries, rows, grouped)))
 
 
 def _joined(docs: DataFrame) -> DataFrame:
@@ -490,11 +498,11 @@ def _joined(docs: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(docs.sparkSession)
     named, reps, common = classes(docs)
     labels = components(links(docs, reps, common)).withColumnRenamed("node", "__gm_node")
-    linked = reps.join(labels, F.col("node") == F.col("__gm_node")).select("node", "rep", "label")
+    linked = reps.join(side(labels), F.col("node") == F.col("__gm_node")).select("node", "rep", "label")
     linked = kept(linked)
     smallest = linked.groupBy(F.col("label").alias("l")).agg(F.min("rep").alias("component_id"))
-    of = linked.join(smallest, F.col("label") == F.col("l")).select(F.col("node").alias("c"), "component_id", "label")
-    classed = reps.select(F.col("node").alias("m"), "rep").join(of, F.col("m") == F.col("c"), "left")
+    of = linked.join(side(smallest), F.col("label") == F.col("l")).select(F.col("node").alias("c"), "component_id", "label")
+    classed = reps.select(F.col("node").alias("m"), "rep").join(side(of), F.col("m") == F.col("c"), "left")
     joined = named.join(classed.select("m", F.coalesce("component_id", "rep").alias("component_id"), F.coalesce("label", "m").alias("label")), F.col("node") == F.col("m"), "left")
     return joined.select("doc_id", "row_key", "n", "label", F.coalesce("component_id", "doc_id").alias("component_id"))
 

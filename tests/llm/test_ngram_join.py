@@ -1,6 +1,7 @@
 import collections
 import random
 import re
+import sys
 
 import numpy as np
 import pytest
@@ -190,3 +191,24 @@ def test_bounds_move_numbers_of_queries_and_contested_lists_only(spark):
     assert sorted(queries.collect()) == sorted(ngram_join.asked(members, grouped, open_).collect())
     told = [sorted(ngram_join.qualified(queries, m, grouped).select("node", "n", "g", "part").collect()) for m in (members, open_)]
     assert told[0] == told[1] and {(r.node, r.g) for r in told[0]} == {(1, 9), (2, 9), (9, 1)}
+
+
+def test_names_are_broadcast_only_where_sets_are_joined(spark, monkeypatch):
+    """However small they are, joins of narrow rows are shuffled; what finished steps hold is let go of."""
+    ensure_checkpoint_dir(spark)
+    released = []
+    monkeypatch.setattr(ngram_join.frames, "release", released.append)
+    entries = [(5, 1), (5, 2), (6, 1), (6, 2), (6, 9), (7, 2), (7, 9)]
+    members = spark.createDataFrame([(x, 2, 3, c, True) for x, c in entries], "list long, size long, times long, node long, index boolean")
+    grouped = spark.createDataFrame([(1, 10, 1, 1, 0), (2, 10, 2, 1, 0), (9, 10, 9, 9, 0)], "node long, n long, rep long, grp long, part long")
+    plans = []
+    for module in (ngram_join, sys.modules[components.__module__]):
+        monkeypatch.setattr(module, "kept", lambda frame: (frame.collect(), plans.append(frame._jdf.queryExecution().executedPlan().toString()), frame)[-1])
+    open_ = ngram_join.contested(members, grouped)
+    assert ngram_join.qualified(ngram_join.asked(members, grouped, open_), open_, grouped).count() == 3
+    assert {r.label for r in components(grouped.selectExpr("grp AS a", "node AS b")).collect()} == {1}
+    assert len(plans) > 6 and not any("BroadcastHashJoin" in p for p in plans)
+    docs = spark.createDataFrame(made(3)[:40], "doc_id long, text string")
+    monkeypatch.undo()
+    monkeypatch.setattr(ngram_join.frames, "release", released.append)
+    assert ngram_join.join(docs).count() == 40 and len(released) > 5
