@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Partitions of a shuffle whose narrow rows one task reads.
@@ -31,6 +33,7 @@ def release(spark: SparkSession) -> None:
     """Drop what finished steps hold: broadcasts and jobs in the driver, shuffle files and checkpoints on disk.
 
     Spark lets go of them when the driver happens to collect its garbage, which a job of many small steps can
-    put off until its heap is full.
+    put off until its heap is full. Frames that only a cycle in Python still holds go first.
     """
+    gc.collect()
     spark.sparkContext._jvm.System.gc()

@@ -8,8 +8,8 @@ Two documents link when 5 * |A & B| >= 4 * |A | B| over their shingle sets.
    n - ceil(8n/9) + 1 tokens of the smaller set (its index tokens) is among the
    first n - ceil(4n/5) + 1 of the other (its probe tokens); only these are
    matched. Frequent tokens, such as those of passages that many documents share,
-   come last: all that ``HOT_DOCS`` documents have by counts over slices of
-   all texts. Tasks know them by a table of ``BITS`` bits for each, which misses none
+   come last: all that ``HOT_DOCS`` documents have by counts over some 25 MB of
+   texts at a time, in each of those that have them three times. Tasks know them by a table of ``BITS`` bits for each, which misses none
    and grows with their number, up to ``MOST_BITS`` (16 MB); beyond, more of the other
    tokens count as frequent too (a fifth for 33 million frequent ones). Any such order is
    right, a good one is fast: a passage that is less
@@ -80,6 +80,8 @@ WIDE = 1024
 CROWD = 4096
 #: Bytes of text hashed at a time; the arrays take some forty times as much.
 SLICE = 5 << 18
+#: Tokens of so many are counted together (8 bytes each, twice while they are sorted): the texts of a task, or about 25 MB of them.
+COUNTED = 1 << 22
 _LONGS = pa.list_(pa.int64())
 
 
@@ -108,28 +110,40 @@ def _node(s: np.ndarray) -> int | None:
 
 
 def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two kinds of rows: (doc_id, row_key, n, node) of each text, and (token, docs) for tokens in three or more sets of a slice."""
+    """Two kinds of rows: (doc_id, row_key, n, node) of each text, and (token, docs) for tokens in three or more of the sets counted together."""
+    held: dict[int, np.ndarray] = {}
+    size = 0
     for rows, raw, offsets in slices(batches, "text", SLICE):
         every = list(sets(raw, offsets))
         nodes = [_node(s) for s in every]
-        n, distinct = len(every), list({k: s for k, s in zip(nodes, every, strict=True) if k is not None}.values())
-        tokens, docs = np.unique(np.concatenate(distinct), return_counts=True) if distinct else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        tokens, docs = tokens[docs > 2].view(np.int64), docs[docs > 2].astype(np.int64)
-        none = [None] * len(tokens)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.concat_arrays([rows.column(0), pa.array(none, pa.int64())]),
-                pa.concat_arrays([rows.column(2), pa.array(none, pa.int64())]),
-                pa.array([len(s) for s in every] + none, pa.int64()),
-                pa.array(nodes + none, pa.int64()),
-                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(tokens)]),
-                pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(docs)]),
-            ],
-            ["doc_id", "row_key", "n", "node", "token", "docs"],
-        )
+        none = pa.nulls(len(every), pa.int64())
+        yield _rows(rows.column(0), rows.column(2), pa.array([len(s) for s in every], pa.int64()), pa.array(nodes, pa.int64()), none, none)
+        for k, s in zip(nodes, every, strict=True):
+            if k is not None and k not in held:
+                held[k] = s
+                size += len(s)
+        if size >= COUNTED:
+            yield _repeated(held)
+            held, size = {}, 0
+    if held:
+        yield _repeated(held)
     release()
 
 
+def _rows(*columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), ["doc_id", "row_key", "n", "node", "token", "docs"])
+
+
+def _repeated(held: dict[int, np.ndarray]) -> pa.RecordBatch:
+    """(token, docs) of the tokens in three or more of these sets, which are let go of."""
+    tokens = np.concatenate(list(held.values()))
+    held.clear()
+    tokens.sort()
+    again, docs = np.unique(tokens[2:][tokens[2:] == tokens[:-2]], return_counts=True)
+    none = pa.nulls(len(again), pa.int64())
+    return _rows(none, none, none, none, pa.array(again.view(np.int64)), pa.array(docs.astype(np.int64) + 2))
+
+
 @dataclass(frozen=True)
 class Frequent:
     """Which tokens are frequent: a bit for the high bits of each. None that is frequent is missed, a few others are told so."""
@@ -487,6 +501,7 @@ def links(docs: DataFrame, reps: DataFrame, common: Frequent) -> DataFrame:
     frames.release(docs.sparkSession)
     known = kept(reps.join(side(members.select("node").distinct()), "node", "left_semi"))
     first, grouped = groups(docs, members, known)
+    frames.release(docs.sparkSession)
     rows = contested(members, grouped)
     queries = asked(members, grouped, rows)
     frames.release(docs.sparkSession)

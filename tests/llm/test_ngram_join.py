@@ -1,12 +1,15 @@
 import collections
+import gc
 import random
 import re
 import sys
+import weakref
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from gleanmill.llm import ngram_join
+from gleanmill.llm import frames, ngram_join
 from gleanmill.llm.components import components
 from gleanmill.session import ensure_checkpoint_dir
 from tests.llm.conftest import rows
@@ -212,3 +215,35 @@ def test_names_are_broadcast_only_where_sets_are_joined(spark, monkeypatch):
     monkeypatch.undo()
     monkeypatch.setattr(ngram_join.frames, "release", released.append)
     assert ngram_join.join(docs).count() == 40 and len(released) > 5
+
+
+@pytest.mark.parametrize("counted", [1 << 22, 600])
+def test_thinly_spread_lines_are_counted(monkeypatch, counted):
+    """A line that no three texts of a slice share is counted over many slices, copies of a set once."""
+    monkeypatch.setattr(ngram_join, "SLICE", 600)
+    monkeypatch.setattr(ngram_join, "COUNTED", counted)
+    line = " ".join(f"licence{i}" for i in range(24))
+    texts = [" ".join(f"w{i}x{j}" for j in range(60)) + (" " + line if i % 4 == 0 else "") for i in range(80)]
+    columns = [pa.array(range(81), pa.int64()), pa.array([*texts, texts[0]]), pa.array(range(81), pa.int64())]
+    batches = [pa.RecordBatch.from_arrays([c.slice(k, 9) for c in columns], ["doc_id", "text", "row_key"]) for k in range(0, 81, 9)]
+    out = [r for b in ngram_join._scanned(iter(batches)) for r in b.to_pylist()]
+    assert [r["doc_id"] for r in out if r["token"] is None] == list(range(81))
+    docs = collections.Counter()
+    for r in out:
+        if r["token"] is not None:
+            docs[r["token"]] += r["docs"]
+    assert len(docs) == 20
+    assert set(docs.values()) == {20} if counted > 600 else all(3 <= n <= 20 for n in docs.values())
+
+
+def test_release_lets_go_of_frames_in_cycles(spark):
+    frame = spark.range(3)
+    frame.own = frame
+    gone = weakref.ref(frame)
+    gc.disable()
+    try:
+        del frame
+        frames.release(spark)
+        assert gone() is None
+    finally:
+        gc.enable()
