@@ -23,8 +23,9 @@ Two documents link when 5 * |A & B| >= 4 * |A | B| over their shingle sets.
    is a group of its own.
 4. Token-group matrix: a group is kept in parts of about ``PART`` documents, and
    of each part the union of its tokens to match is stored, one row per token (or
-   per set of tokens that the same documents have) and part. A document that
-   meets another group over an index token is a query. Its tokens are counted in
+   per set of tokens that the same documents have) and part. Where two groups meet
+   over an index token of either, the documents of the smaller one that meet the other
+   are queries; so a large family does not ask each text that is just too far from it. Its tokens are counted in
    the unions of that group's parts; a part qualifies if the count reaches what a
    link with one of its sizes needs. Then the whole sets are bounded in the same
    way, by unions of 16 bits of every token (32 bits of sets with over
@@ -349,32 +350,40 @@ def partners(members: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def parted(grouped: DataFrame) -> DataFrame:
-    """(node, n, rep, grp, part): the part of its group that a class is in."""
-    sizes = grouped.groupBy(F.col("grp").alias("g")).agg(F.expr(f"1 + (count(1) - 1) div {PART}").alias("parts"))
-    return kept(grouped.join(side(sizes), F.col("grp") == F.col("g")).select("node", "n", "rep", "grp", F.expr("pmod(xxhash64(node), parts)").alias("part")))
+    """(node, n, rep, grp, part, docs): the part of its group that a class is in, and how many the group has."""
+    sizes = grouped.groupBy(F.col("grp").alias("g")).agg(F.expr(f"1 + (count(1) - 1) div {PART}").alias("parts"), F.count(F.lit(1)).alias("docs"))
+    return kept(grouped.join(side(sizes), F.col("grp") == F.col("g")).select("node", "n", "rep", "grp", F.expr("pmod(xxhash64(node), parts)").alias("part"), "docs"))
 
 
 def contested(members: DataFrame, grouped: DataFrame) -> DataFrame:
     """(list, times, node, n, grp, index, salts): the entries of lists that still have several groups; in no other a class meets a group that is not its own.
 
-    ``grouped`` is (node, n, grp) of all listed classes.
+    ``grouped`` is (node, n, grp) of all listed classes; if it has the sizes of groups (docs), the entries have them too.
     """
-    rows = members.join(side(grouped.select("node", "n", "grp")), "node").select("list", "times", "node", "n", "grp", "index")
+    docs = ["docs"] if "docs" in grouped.columns else []
+    rows = members.join(side(grouped.select("node", "n", "grp", *docs)), "node").select("list", "times", "node", "n", "grp", "index", *docs)
     open_ = rows.groupBy("list").agg((F.min("grp") != F.max("grp")).alias("open"), F.expr(f"1 + count(1) div {CROWD}").alias("salts")).filter("open").select("list", "salts")
     return kept(rows.join(side(open_), "list"))
 
 
 def asked(members: DataFrame, grouped: DataFrame, rows: DataFrame | None = None) -> DataFrame:
-    """(node, n, g): the queries, each with a group that has an index token of it and sizes that allow a link.
+    """(node, n, g): the queries, each with a group that it may link with by an index token of the smaller set.
 
     Rows grow with the ``contested`` entries (``rows``, if they are known), times
-    the groups that have the token as an index token.
+    the groups that have the token. With the sizes of groups (docs) only the smaller
+    of two groups asks the other, over its own index tokens too; without them each
+    document asks the groups whose index tokens it has.
     """
     rows = contested(members, grouped) if rows is None else rows
-    groups = rows.filter("index").groupBy("list", "salts", F.col("grp").alias("g")).agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    groups = groups.select("list", "g", "low", "high", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"))
+    sized = "docs" in rows.columns
+    of = ["list", "salts", F.col("grp").alias("g"), *([F.col("docs").alias("others")] if sized else [])]
+    own = [F.min(F.when(F.col("index"), F.col("n"))).alias("low"), F.max(F.when(F.col("index"), F.col("n"))).alias("high")]
+    groups = rows.groupBy(*of).agg(*own, F.min("n").alias("least"), F.max("n").alias("most")).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1))).drop("salts")
     probes = rows.withColumn("salt", F.expr("pmod(xxhash64(node), salts)")).drop("salts", "times")
-    return kept(probes.join(side(groups), ["list", "salt"]).filter("grp <> g AND n >= low AND 4 * n <= 5 * high").select("node", "n", "g").distinct())
+    larger = "n >= low AND 4 * n <= 5 * high"  # the document is the larger set of a pair
+    if sized:
+        larger = f"(docs < others OR docs = others AND grp < g) AND ({larger} OR index AND n <= most AND 4 * least <= 5 * n)"
+    return kept(probes.join(side(groups), ["list", "salt"]).filter(f"grp <> g AND {larger}").select("node", "n", "g").distinct())
 
 
 def qualified(queries: DataFrame, members: DataFrame, grouped: DataFrame) -> DataFrame:

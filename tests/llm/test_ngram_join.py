@@ -247,3 +247,16 @@ def test_release_lets_go_of_frames_in_cycles(spark):
         assert gone() is None
     finally:
         gc.enable()
+
+
+def test_a_family_does_not_ask_each_text_beside_it(spark):
+    """Texts just too far from a family ask it, not each of its members them, whichever set is the smaller one."""
+    ensure_checkpoint_dir(spark)
+    family, beside = range(100, 140), range(20)
+    for near, far in ((50, 45), (45, 50)):  # sizes; index tokens count in the smaller set
+        sizes = {**dict.fromkeys(family, near), **dict.fromkeys(beside, far)}
+        members = spark.createDataFrame([(7, 60, 1, c, n == 45) for c, n in sizes.items()], "list long, size long, times long, node long, index boolean")
+        grouped = ngram_join.parted(spark.createDataFrame([(c, n, c, 100 if c >= 100 else c) for c, n in sizes.items()], "node long, n long, rep long, grp long"))
+        queries = {(r.node, r.g) for r in ngram_join.asked(members, grouped).collect()}
+        assert {q for q in queries if 100 in q or q[0] >= 100} == {(c, 100) for c in beside}
+        assert len(queries) <= 20 + 20 * 19 // 2
